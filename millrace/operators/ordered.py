@@ -1,8 +1,8 @@
 """Row numbers and moving frames that never hold a whole group in one task.
 
 A plain window sorts each group in one task. Here the rows are range-partitioned by group and
-order, so that a group of any size spreads over many tasks, and only one row per group and
-partition is brought together to number them.
+order and numbered from end to end; the numbers cut them into blocks of bounded size, and a native
+window runs per group and block. A group of any size so spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from millrace.scratch import materialize
 
-_MARK, _PART, _FIRST, _ROWS, _BEFORE = "__mark", "__part", "__first", "__rows", "__before"
-_BLOCK, _HOME = "__block", "__home"
+_MARK, _PART, _ROWS, _OFFSET = "__mark", "__part", "__rows", "__offset"
+_INDEX, _START, _HOME, _BLOCK = "__index", "__start", "__home", "__block"
 _ID_BITS = 33  # monotonically_increasing_id keeps the row within the partition in the low bits
+_MAX_BLOCKS = 100_000  # bounds what is broadcast
 
 
 def positions(
@@ -26,29 +27,9 @@ def positions(
 ) -> DataFrame:
     """Number the rows of each group from 1, like ``row_number()``.
 
-    ``order_by`` should end in a key of the group; rows that tie are numbered in any order. The
-    sorted rows are written to the scratch folder once, so that numbering and rows agree even if
-    an executor is lost.
+    ``order_by`` should end in a key of the group; rows that tie are numbered in any order.
     """
-    by = list(by)
-    marked = df.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id())
-    rows = materialize(marked, "ordered").withColumn(_PART, F.shiftright(_MARK, _ID_BITS))
-    # A group has at most one row per sort partition in here.
-    earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    slices = materialize(
-        rows.groupBy(*by, _PART)
-        .agg(F.min(_MARK).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS))
-        .withColumn(_BEFORE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)))
-        .drop(_ROWS),
-        "slices",
-    )
-    same = reduce(and_, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, _PART]])
-    number = F.col(_BEFORE) + F.col(_MARK) - F.col(_FIRST) + 1
-    return (
-        rows.alias("r")
-        .join(slices.alias("s"), same)
-        .select(*[F.col(f"r.{c}") for c in df.columns], number.alias(name))
-    )
+    return moving(df, by, order_by, 0, lambda window: {}, name)
 
 
 def moving(
@@ -57,23 +38,69 @@ def moving(
     order_by: Sequence[str | Column],
     reach: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    position: str = "position",
+    position: str | None = None,
     block: int = 1 << 20,
 ) -> DataFrame:
-    """Window columns that look back at most ``reach`` rows, plus the row's position.
+    """Add window columns that look back at most ``reach`` rows, and the row number if wanted.
 
-    Each group is cut into blocks of ``block`` rows, and the last ``reach`` rows of a block are
-    copied into the next. A native window then runs per block, and the copies are dropped.
+    ``columns`` makes the columns from the window it is given. The last ``reach`` rows of a block
+    are copied into the next one, where the window sees them, and are dropped after it. The sorted
+    rows are written to the scratch folder once, so that numbers and rows agree even if an
+    executor is lost.
     """
+    by = list(by)
+    indexed, total = _indexed(df, by, order_by)
+    block = max(block, -(-total // _MAX_BLOCKS))
     if not 0 <= reach <= block:
         raise ValueError("reach must lie between 0 and block")
-    offset = F.col(position) - 1
-    home = ((offset - offset % block) / block).cast("long")
-    tail = offset % block >= block - reach
-    blocked = (
-        positions(df, by, order_by, position)
-        .withColumn(_HOME, home)
-        .withColumn(_BLOCK, F.explode(F.when(tail, F.array(_HOME, F.col(_HOME) + 1)).otherwise(F.array(_HOME))))
+    index = F.col(_INDEX)
+    rows = indexed.withColumn(_HOME, ((index - index % block) / block).cast("long"))
+    if reach and total > block:
+        copied = F.when(index % block >= block - reach, F.array(_HOME, F.col(_HOME) + 1))
+        rows = rows.withColumn(_BLOCK, F.explode(F.coalesce(copied, F.array(_HOME))))
+    else:
+        rows = rows.withColumn(_BLOCK, F.col(_HOME))
+
+    group = Window.partitionBy(*by, _BLOCK)
+    made = dict(columns(group.orderBy(_INDEX)))
+    if position is not None:
+        start = F.min(_INDEX).over(group)
+        if total > block:
+            rows = _joined(rows, _starts(indexed, by, block), by, "left")
+            start = F.coalesce(F.col(_START), start)
+        made[position] = index - start + 1
+    return rows.withColumns(made).where(F.col(_BLOCK) == F.col(_HOME)).select(*df.columns, *made)
+
+
+def _indexed(df: DataFrame, by: list[str], order_by: Sequence[str | Column]) -> tuple[DataFrame, int]:
+    """The rows with their place in the whole order, from 0, and how many there are."""
+    rows = materialize(df.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright(_MARK, _ID_BITS)
+    # One row per sort partition, so this window without groups and the broadcast are small.
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(
+        rows.groupBy(part.alias(_PART))
+        .agg(F.count(F.lit(1)).alias(_ROWS))
+        .withColumn(_OFFSET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0))),
+        "offsets",
+    )
+    total = offsets.agg(F.sum(_ROWS)).first()[0] or 0
+    index = F.col(_OFFSET) + F.col(_MARK).bitwiseAND((1 << _ID_BITS) - 1)
+    indexed = rows.join(F.broadcast(offsets), part == F.col(_PART)).select(*df.columns, index.alias(_INDEX))
+    return indexed, total
+
+
+def _starts(indexed: DataFrame, by: list[str], block: int) -> DataFrame:
+    """Where groups begin that reach into a later block: at most one per block."""
+    index = F.col(_INDEX)
+    reaching = indexed.where((index > 0) & (index % block == 0)).select(*by).distinct()
+    return materialize(
+        _joined(indexed, reaching, by, "left_semi").groupBy(*by).agg(F.min(_INDEX).alias(_START)), "starts"
     )
-    window = Window.partitionBy(*by, _BLOCK).orderBy(position)
-    return blocked.withColumns(columns(window)).where(F.col(_BLOCK) == F.col(_HOME)).drop(_BLOCK, _HOME)
+
+
+def _joined(rows: DataFrame, few: DataFrame, by: list[str], how: str) -> DataFrame:
+    """Join on the group, null being a group, to a frame with at most one row per block."""
+    renamed = few.withColumnsRenamed({c: f"__few_{c}" for c in by})
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__few_{c}`")) for c in by])
+    return rows.join(F.broadcast(renamed), same, how).drop(*renamed.drop(_START).columns)

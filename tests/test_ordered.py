@@ -1,0 +1,62 @@
+"""Distributed row numbers and frames against plain windows, hot and null groups included."""
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.operators import moving, positions
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Half of the rows fall in one group and some have none."""
+    return spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 11 == 0, None).otherwise(F.concat(F.lit("g"), F.col("id") % 37)).alias("g"),
+        ((F.col("id") * 7919) % 101).alias("v"),
+        "id",
+    )
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def window(spark):
+    return Window.partitionBy("g").orderBy(F.desc("v"), "id")
+
+
+def test_positions_equal_row_number(skewed, window):
+    got = positions(skewed, ["g"], [F.desc("v"), "id"])
+    assert got.columns == ["g", "v", "id", "position"]
+    assert rows_of(got) == rows_of(skewed.withColumn("position", F.row_number().over(window).cast("long")))
+
+
+@pytest.mark.parametrize("block", [3, 50, 999, 4000, 1 << 20])
+def test_frames_across_blocks(skewed, window, block):
+    def columns(w):
+        return {"prev": F.lag("id", 3).over(w), "s": F.sum("v").over(w.rowsBetween(-2, 0))}
+
+    got = moving(skewed, ["g"], [F.desc("v"), "id"], 3, columns, "rn", block)
+    want = skewed.withColumns({**columns(window), "rn": F.row_number().over(window).cast("long")})
+    assert rows_of(got) == rows_of(want)
+
+
+def test_windows_run_per_block(skewed):
+    got = moving(skewed, ["g"], ["v", "id"], 1, lambda w: {"p": F.lag("id").over(w)}, "rn", 100)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("__block" in line for line in windows)
+
+
+def test_two_group_columns_and_no_rows(skewed):
+    two = skewed.withColumn("k", F.col("id") % 3)
+    window = Window.partitionBy("g", "k").orderBy("id")
+    got = moving(two, ["g", "k"], ["id"], 0, lambda w: {}, "rn", 40)
+    assert rows_of(got) == rows_of(two.withColumn("rn", F.row_number().over(window).cast("long")))
+    assert positions(skewed.where("id < 0"), ["g"], ["id"]).collect() == []
+
+
+def test_reach_must_fit_in_a_block(skewed):
+    with pytest.raises(ValueError, match="reach"):
+        moving(skewed, ["g"], ["id"], 5, lambda w: {}, block=4)
