@@ -1,0 +1,32 @@
+"""Where intermediate tables go."""
+
+import pytest
+
+from millrace.scratch import materialize, scratch_path
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two and one.startswith(f"{base}/millrace/x-")
+
+
+class Session:
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_a_cluster_must_name_the_folder():
+    assert scratch_path(Session(spark_checkpoint_dir="hdfs:///ckpt/", spark_master="yarn"), "x").startswith(
+        "hdfs:///ckpt/millrace/x-"
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(spark_master="yarn"), "x")
+    assert "millrace-" in scratch_path(Session(spark_master="local[8]"), "x")
+
+
+def test_materialized_rows_are_the_same(spark):
+    df = spark.sql("select id, cast(id as decimal(38,2)) as d, named_struct('a', id) as s from range(100)")
+    back = materialize(df, "t")
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert materialize(df.where("id < 0"), "t").count() == 0
