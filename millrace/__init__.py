@@ -17,6 +17,7 @@ from millrace.plans import (
     PipelineSpec,
     Target,
     probe_sources,
+    probe_target,
     run_pipeline,
     run_report,
     spec_from_maps,
@@ -38,6 +39,7 @@ __all__ = [
     "positions",
     "preview",
     "probe_sources",
+    "probe_target",
     "read_files",
     "read_jdbc",
     "run_pipeline",

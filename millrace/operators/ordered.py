@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.scratch import materialize
+from millrace.scratch import materialize, materialize_counted
 
 _MARK, _PART, _ROWS, _OFFSET = "__mark", "__part", "__rows", "__offset"
 _INDEX, _START, _HOME, _BLOCK = "__index", "__start", "__home", "__block"
@@ -48,46 +48,49 @@ def moving(
     rows are written to the scratch folder once, so that numbers and rows agree even if an
     executor is lost.
     """
-    by = list(by)
-    indexed, total = _indexed(df, by, order_by)
-    block = max(block, -(-total // _MAX_BLOCKS))
     if not 0 <= reach <= block:
         raise ValueError("reach must lie between 0 and block")
+    by = list(by)
+    rows, total = materialize_counted(
+        df.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered"
+    )
+    if total <= block:
+        window = Window.partitionBy(*by).orderBy(_MARK)
+        made = dict(columns(window))
+        if position is not None:
+            made[position] = F.row_number().over(window).cast("long")
+        return rows.withColumns(made).select(*df.columns, *made)
+
+    block = max(block, -(-total // _MAX_BLOCKS))
     index = F.col(_INDEX)
+    indexed = _indexed(rows, df.columns)
     rows = indexed.withColumn(_HOME, ((index - index % block) / block).cast("long"))
-    if reach and total > block:
+    if reach:
         copied = F.when(index % block >= block - reach, F.array(_HOME, F.col(_HOME) + 1))
         rows = rows.withColumn(_BLOCK, F.explode(F.coalesce(copied, F.array(_HOME))))
     else:
         rows = rows.withColumn(_BLOCK, F.col(_HOME))
-
     group = Window.partitionBy(*by, _BLOCK)
     made = dict(columns(group.orderBy(_INDEX)))
     if position is not None:
-        start = F.min(_INDEX).over(group)
-        if total > block:
-            rows = _joined(rows, _starts(indexed, by, block), by, "left")
-            start = F.coalesce(F.col(_START), start)
-        made[position] = index - start + 1
+        rows = _joined(rows, _starts(indexed, by, block), by, "left")
+        made[position] = index - F.coalesce(F.col(_START), F.min(_INDEX).over(group)) + 1
     return rows.withColumns(made).where(F.col(_BLOCK) == F.col(_HOME)).select(*df.columns, *made)
 
 
-def _indexed(df: DataFrame, by: list[str], order_by: Sequence[str | Column]) -> tuple[DataFrame, int]:
-    """The rows with their place in the whole order, from 0, and how many there are."""
-    rows = materialize(df.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
+def _indexed(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The rows with their place in the whole order, from 0."""
     part = F.shiftright(_MARK, _ID_BITS)
     # One row per sort partition, so this window without groups and the broadcast are small.
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
         rows.groupBy(part.alias(_PART))
         .agg(F.count(F.lit(1)).alias(_ROWS))
-        .withColumn(_OFFSET, F.coalesce(F.sum(_ROWS).over(before), F.lit(0))),
+        .select(_PART, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET)),
         "offsets",
     )
-    total = offsets.agg(F.sum(_ROWS)).first()[0] or 0
     index = F.col(_OFFSET) + F.col(_MARK).bitwiseAND((1 << _ID_BITS) - 1)
-    indexed = rows.join(F.broadcast(offsets), part == F.col(_PART)).select(*df.columns, index.alias(_INDEX))
-    return indexed, total
+    return rows.join(F.broadcast(offsets), part == F.col(_PART)).select(*names, index.alias(_INDEX))
 
 
 def _starts(indexed: DataFrame, by: list[str], block: int) -> DataFrame:

@@ -7,7 +7,7 @@ from millrace.plans.etl import (
     run_pipeline,
     spec_from_maps,
 )
-from millrace.plans.probes import probe_sources
+from millrace.plans.probes import probe_sources, probe_target
 from millrace.plans.reports import (
     customer_analytics,
     department_report,
@@ -29,6 +29,7 @@ __all__ = [
     "department_report",
     "employee_analytics",
     "probe_sources",
+    "probe_target",
     "rep_sales_rollup",
     "run_pipeline",
     "run_report",

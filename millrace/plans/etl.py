@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from millrace.formats import checked_format
 from millrace.operators.columns import apply_transformations, standardize
 from millrace.operators.sql import sql_transform
-from millrace.sinks.files import checked_mode, write_files
+from millrace.sinks.files import checked_mode, refuse_overlap, write_files
 from millrace.sources.files import read_files
 from millrace.sources.jdbc import read_jdbc
 
@@ -105,6 +105,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, count_input: bool = Fa
     _check_target(spec.target)
     source = spec.source.load(spark)
     result = shape(source, spec)
+    if spec.target.mode.lower() == "overwrite":
+        refuse_overlap(result, spec.target.path)
     rows_in = source.count() if count_input else None
     return deliver(result, spec.target, rows_in)
 

@@ -1,12 +1,15 @@
-"""Checks that sources can be read."""
+"""Checks that sources can be read and targets written."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sinks.files import write_files
+
 _SCHEMA = "source string, status string, n long, error string"
 
 
@@ -19,11 +22,30 @@ def probe_sources(
     of them run at a time. Keep database probes small with a limit in their query.
     """
 
-    def probe(name: str) -> tuple[str, str, int | None, str | None]:
-        try:
-            return name, "ok", probes[name]().count(), None
-        except Exception as error:  # whatever a source raises is the finding
-            return name, "failed", None, f"{type(error).__name__}: {error}".splitlines()[0]
-
     with ThreadPoolExecutor(max(1, parallel)) as pool:
-        return spark.createDataFrame(list(pool.map(probe, probes)), _SCHEMA)
+        found = pool.map(lambda name: _outcome(name, lambda: probes[name]().count()), probes)
+        return spark.createDataFrame(list(found), _SCHEMA)
+
+
+def probe_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write two marker rows to ``path``, replacing what is there, and count them; the row as above.
+
+    Give it a path kept for this check.
+    """
+    now = datetime.now()
+    # The marker rows.
+    markers = [("test-connection", "SUCCESS"), ("write-service", "ACTIVE")]
+    rows = [(component, f"{now:%Y-%m-%d}", status, int(now.timestamp() * 1000)) for component, status in markers]
+
+    def write() -> int:
+        df = spark.createDataFrame(rows, "component string, test_date string, status string, timestamp long")
+        return write_files(df, path, fmt, verify=True).rows
+
+    return spark.createDataFrame([_outcome(path, write)], _SCHEMA)
+
+
+def _outcome(name: str, count: Callable[[], int]) -> tuple[str, str, int | None, str | None]:
+    try:
+        return name, "ok", count(), None
+    except Exception as error:  # whatever is raised is the finding
+        return name, "failed", None, f"{type(error).__name__}: {error}".splitlines()[0]

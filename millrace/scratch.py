@@ -11,7 +11,8 @@ import tempfile
 from functools import cache
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 @cache
@@ -36,6 +37,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     Reading it back also gives Catalyst the true size, which decides broadcast joins.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize_counted(df, label)[0]
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The same, with the number of rows as counted by the job that writes."""
+    path, counted = scratch_path(df.sparkSession, label), Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), counted.get["rows"]

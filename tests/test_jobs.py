@@ -12,6 +12,7 @@ from millrace import (
     PipelineSpec,
     Target,
     probe_sources,
+    probe_target,
     read_files,
     read_jdbc,
     run_pipeline,
@@ -243,3 +244,23 @@ def test_probes_do_not_stop_each_other(spark):
         ("orders", "ok", 3), ("gone", "failed", None), ("broken", "failed", None), ("late", "failed", None), ("database", "failed", None),
     ]
     assert got[0].error is None and got[2].error == "RuntimeError: no" and "PATH_NOT_FOUND" in got[1].error
+
+
+def test_a_target_is_probed_by_writing_to_it(spark, tmp_path):
+    path = str(tmp_path / "check")
+    for _ in range(2):
+        assert tuple(probe_target(spark, path).first()) == (path, "ok", 2, None)
+    assert {r.component for r in spark.read.parquet(path).collect()} == {"test-connection", "write-service"}
+    put = tmp_path / "file"
+    put.write_text("x")
+    assert probe_target(spark, f"{put}/below").first().status == "failed"
+    assert probe_target(spark, path, "orc").first().error.startswith("ValueError: Unsupported")
+
+
+def test_overlap_is_refused_before_the_input_is_counted(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_files(spark.range(3), path)
+    spec = PipelineSpec(FileSource(path, "parquet"), Target(path), "shop")
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.count", lambda df: pytest.fail("counted"))
+    with pytest.raises(ValueError, match="Cannot overwrite"):
+        run_pipeline(spark, spec, count_input=True)
