@@ -8,9 +8,10 @@ FORMATS = ("csv", "json", "parquet")
 # quoted empty field stays an empty string and only an unquoted one becomes null.
 CSV_NULL = "\ue000null\ue000"
 
-# Six fraction digits: Spark's own default for text files stops at milliseconds.
+# Six fraction digits, as Spark's own default for text files stops at milliseconds, and an offset
+# with seconds where a zone has them, which is so for local mean times of the past.
 TIMESTAMP_FORMATS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 

@@ -7,14 +7,20 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 
+def resolved(spark: SparkSession, path: str):
+    """``path`` as a Hadoop path, and the file system it lies on."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with scheme and without relative parts, as Spark itself resolves it."""
-    hadoop_path, fs = _resolve(spark, path)
+    hadoop_path, fs = resolved(spark, path)
     return fs.makeQualified(hadoop_path).toString()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _resolve(spark, path)
+    hadoop_path, fs = resolved(spark, path)
     return fs.exists(hadoop_path)
 
 
@@ -39,10 +45,5 @@ def read_paths(df: DataFrame) -> list[str]:
     return paths
 
 
-def _resolve(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _items(seq) -> Iterable:
     return (seq.apply(i) for i in range(seq.size()))

@@ -1,6 +1,7 @@
 """Intermediate tables in the folder that the cluster shares.
 
-A written table cuts lineage and survives the loss of the executors that made it.
+A written table cuts lineage and survives the loss of the executors that made it. All of them lie
+below one folder per application, which is deleted when the application ends.
 """
 
 from __future__ import annotations
@@ -14,22 +15,37 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.paths import resolved
 
-@cache
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
+_folders: dict[tuple[str, str], str] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``."""
+    key = (scratch_base(spark), spark.sparkContext.applicationId)
+    if key not in _folders:
+        folder = f"{key[0]}/millrace/{key[1]}-{uuid4().hex}"
+        path, fs = resolved(spark, folder)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _folders[key] = folder
+    return f"{_folders[key]}/{label}-{uuid4().hex}"
+
+
+def scratch_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-        base = _own_folder()
-    return f"{base.rstrip('/')}/millrace/{label}-{uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

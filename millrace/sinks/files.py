@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from millrace.formats import CSV_NULL, TIMESTAMP_FORMATS, checked_format
-from millrace.sinks.paths import overlap, path_exists, qualified, read_paths
+from millrace.paths import overlap, path_exists, qualified, read_paths
 from millrace.sources.files import read_files
 
 # The save modes Spark knows.
@@ -69,7 +70,7 @@ def write_files(
     # The count sits in the stage that writes: a stage before a shuffle may run a task twice,
     # or once more to sample sort ranges, and would count it again.
     placed = _placed(df, partition_by, sort_by, rebalance).observe(counted, F.count(F.lit(1)).alias("rows"))
-    writer = placed.write.mode(mode).format(fmt).options(**_options(df, fmt))
+    writer = placed.write.mode(mode).format(fmt).options(**_options(df, fmt, partition_by))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite":
@@ -99,14 +100,18 @@ def refuse_overlap(df: DataFrame, path: str) -> None:
 def _placed(df: DataFrame, partition_by: list[str], sort_by: list[str | Column], rebalance: bool) -> DataFrame:
     if sort_by:
         # The hash lets the sort split a value that many rows share.
-        spread = [f"`{f.name.replace('`', '``')}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
-        return df.orderBy(*partition_by, *sort_by, F.xxhash64(*spread))
+        spread = [f"`{f.name.replace('`', '``')}`" for f in df.schema if _hashable(f.dataType)]
+        return df.orderBy(*partition_by, *sort_by, *([F.xxhash64(*spread)] if spread else []))
     if rebalance:
         return df.hint("rebalance", *partition_by)
     return df
 
 
-def _options(df: DataFrame, fmt: str) -> dict[str, object]:
+def _hashable(kind: DataType) -> bool:
+    return not any(word in kind.simpleString() for word in ("map<", "variant"))
+
+
+def _options(df: DataFrame, fmt: str, partition_by: list[str]) -> dict[str, object]:
     if fmt == "csv":
         chosen = {
             "header": True,
@@ -115,7 +120,7 @@ def _options(df: DataFrame, fmt: str) -> dict[str, object]:
             "ignoreTrailingWhiteSpace": False,
             **TIMESTAMP_FORMATS,
         }
-        if len(df.columns) == 1:  # a lone null would be an empty line, which readers skip
+        if len(df.columns) == len(partition_by) + 1:  # a lone null would be an empty line, which readers skip
             chosen["nullValue"] = CSV_NULL
         return chosen
     if fmt == "json":

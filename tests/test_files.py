@@ -243,3 +243,52 @@ def test_options_reach_spark(spark, tmp_path):
     write_files(spark.sql("select 1 as a, 'x' as b"), path, "csv", options={"sep": "|", "compression": "gzip"})
     assert any(name.endswith(".csv.gz") for name in os.listdir(path))
     assert tuple(read_files(spark, path, options={"sep": "|"}).first()) == (1, "x")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_nulls_next_to_a_partition_column(spark, tmp_path, fmt):
+    df = spark.createDataFrame([("a", 1), (None, 1), (None, 2), ("", 2)], "s string, p int")
+    path = str(tmp_path / "t")
+    assert write_files(df, path, fmt, partition_by=["p"]).rows == 4
+    assert texts(read_files(spark, path, fmt, schema="s string, p int")) == texts(df)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "UTC"])
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_moments_in_any_zone(spark, tmp_path, zone, fmt):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", zone)
+    micros = [-3786825600123456, -2208988800000001, 0, 1, 1699163999999999, 1699167600000000, 253402300799999999]
+    df = other.createDataFrame([(m,) for m in micros], "m long").selectExpr("m", "timestamp_micros(m) as t")
+    path = str(tmp_path / "t")
+    write_files(df, path, fmt)
+    back = read_files(other, path, fmt, schema=df.schema)
+    assert back.where("unix_micros(t) = m").count() == len(micros)
+
+
+def test_counts_when_nothing_is_left_at_run_time(spark, tmp_path):
+    left = spark.range(100).withColumn("k", F.col("id") % 5)
+    none = spark.range(100).where("id % 7 = 9").groupBy("id").count()
+    for df in (
+        left.join(none, "id"),
+        left.join(none, "id").groupBy("k").count(),
+        left.join(none.hint("merge"), "id").distinct(),
+    ):
+        for extra in ({}, {"sort_by": ["k"]}, {"rebalance": True}):
+            assert write_files(df, str(tmp_path / "t"), verify=True, **extra).rows == 0
+
+
+def test_a_source_named_in_a_common_table_expression_is_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_files(spark.range(10), path)
+    df = spark.sql(f"with a as (select * from parquet.`{path}`), b as (select max(id) m from a) select m from b, a")
+    with pytest.raises(ValueError, match="Cannot overwrite"):
+        write_files(df, path)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_sorting_frames_with_maps(spark, tmp_path):
+    df = spark.range(20).selectExpr("map(id, id) as m")
+    assert write_files(df, str(tmp_path / "a"), sort_by=[F.col("m")[0]]).rows == 20
+    df = spark.range(20).selectExpr("id", "array(map(id, 1)) as m", "named_struct('a', id) as `s.t`")
+    assert write_files(df, str(tmp_path / "b"), sort_by=["id"]).rows == 20

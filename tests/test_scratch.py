@@ -1,14 +1,19 @@
 """Where intermediate tables go."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
-from millrace.scratch import materialize, scratch_path
+from millrace.scratch import materialize, scratch_base, scratch_path
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert one != two and one.startswith(f"{base}/millrace/x-")
+    assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    assert one.startswith(f"{base}/millrace/{spark.sparkContext.applicationId}-")
 
 
 class Session:
@@ -17,12 +22,25 @@ class Session:
 
 
 def test_a_cluster_must_name_the_folder():
-    assert scratch_path(Session(spark_checkpoint_dir="hdfs:///ckpt/", spark_master="yarn"), "x").startswith(
-        "hdfs:///ckpt/millrace/x-"
-    )
+    assert scratch_base(Session(spark_checkpoint_dir="hdfs:///ckpt/", spark_master="yarn")) == "hdfs:///ckpt"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session(spark_master="yarn"), "x")
-    assert "millrace-" in scratch_path(Session(spark_master="local[8]"), "x")
+        scratch_base(Session(spark_master="yarn"))
+    assert "millrace-" in scratch_base(Session(spark_master="local[8]"))
+
+
+def test_scratch_is_gone_when_the_application_ends(tmp_path):
+    code = f"""
+import os, sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from millrace.scratch import materialize
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+assert materialize(spark.range(5), "t").count() == 5
+assert os.listdir({str(tmp_path / "millrace")!r})
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
+    assert os.listdir(tmp_path / "millrace") == []
 
 
 def test_materialized_rows_are_the_same(spark):
