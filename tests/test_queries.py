@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the small tables."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as contract
 from compare import duck_result, spark_result
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
