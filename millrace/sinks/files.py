@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -75,7 +75,7 @@ def write_files(
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    _save(writer, path, options)
+    writer.options(**(options or {})).save(path)
     rows = counted.get["rows"]
     if verify:
         found = stored() - before
@@ -126,7 +126,3 @@ def _options(df: DataFrame, fmt: str, partition_by: list[str]) -> dict[str, obje
     if fmt == "json":
         return {"ignoreNullFields": False, **TIMESTAMP_FORMATS}
     return {}
-
-
-def _save(writer: DataFrameWriter, path: str, options: Mapping[str, object] | None) -> None:
-    writer.options(**(options or {})).save(path)

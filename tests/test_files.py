@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -292,3 +293,19 @@ def test_sorting_frames_with_maps(spark, tmp_path):
     assert write_files(df, str(tmp_path / "a"), sort_by=[F.col("m")[0]]).rows == 20
     df = spark.range(20).selectExpr("id", "array(map(id, 1)) as m", "named_struct('a', id) as `s.t`")
     assert write_files(df, str(tmp_path / "b"), sort_by=["id"]).rows == 20
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_random_texts_survive(spark, tmp_path, fmt):
+    chance = random.Random(7)
+    letters = '"",\\\n\r\t \'#;|a0\u0001 é ﻿😀'
+    rows = [
+        tuple(None if chance.random() < 0.1 else "".join(chance.choices(letters, k=chance.randrange(9))) for _ in range(3))
+        for _ in range(20000)
+    ]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "id int, a string, b string, c string")
+    for name, frame in {"many": df, "first": df.select("a", "id"), "one": df.select("a")}.items():
+        path = str(tmp_path / name)
+        write_files(frame, path, fmt, verify=True)
+        back = read_files(spark, path, fmt, schema=frame.schema)
+        assert frame.exceptAll(back).collect() == back.exceptAll(frame).collect() == []
