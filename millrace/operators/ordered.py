@@ -1,8 +1,9 @@
-"""Row numbers and moving frames that never hold a whole group in one task.
+"""Row numbers and moving frames that never hold a big group in one task.
 
-A plain window sorts each group in one task. Here the rows are range-partitioned by group and
-order and numbered from end to end; the numbers cut them into blocks of bounded size, and a native
-window runs per group and block. A group of any size so spreads over many tasks.
+A plain window sorts each group in one task, which is right as long as groups are small. So groups
+are counted first. The rows of those above a bound are range-partitioned by group and order and
+numbered from end to end; the numbers cut them into blocks, and the window runs per block. A group
+of any size so spreads over many tasks, and all other rows take the plain window.
 """
 
 from __future__ import annotations
@@ -14,22 +15,19 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.scratch import materialize, materialize_counted
+from millrace.scratch import materialize
 
-_MARK, _PART, _ROWS, _OFFSET = "__mark", "__part", "__rows", "__offset"
-_INDEX, _START, _HOME, _BLOCK = "__index", "__start", "__home", "__block"
+_ROWS, _START, _MARK, _PART, _OFFSET = "__rows", "__start", "__mark", "__part", "__offset"
+_PLACE, _HOME, _BLOCK = "__place", "__home", "__block"
 _ID_BITS = 33  # monotonically_increasing_id keeps the row within the partition in the low bits
-_MAX_BLOCKS = 100_000  # bounds what is broadcast
+_MAX_BIG = 100_000  # bounds the number of big groups, which are broadcast
 
 
 def positions(
-    df: DataFrame, by: Sequence[str], order_by: Sequence[str | Column], name: str = "position"
+    df: DataFrame, by: Sequence[str], order_by: Sequence[str | Column], name: str = "position", block: int = 1 << 20
 ) -> DataFrame:
-    """Number the rows of each group from 1, like ``row_number()``.
-
-    ``order_by`` should end in a key of the group; rows that tie are numbered in any order.
-    """
-    return moving(df, by, order_by, 0, lambda window: {}, name)
+    """Number the rows of each group from 1, like ``row_number()``; see :func:`moving`."""
+    return moving(df, by, order_by, 0, lambda window: {}, name, block)
 
 
 def moving(
@@ -43,67 +41,79 @@ def moving(
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows, and the row number if wanted.
 
-    ``columns`` makes the columns from the window it is given. The last ``reach`` rows of a block
-    are copied into the next one, where the window sees them, and are dropped after it. The sorted
-    rows are written to the scratch folder once, so that numbers and rows agree even if an
-    executor is lost.
+    ``columns`` makes the columns from the window it is given; their frames must count rows. A group
+    of more than ``block`` rows is cut into blocks of that size, each of which also sees the last
+    ``reach`` rows of the one before. ``order_by`` should end in a key of the group; rows that tie
+    come in any order.
+
+    ``df`` is read several times, so write one that is costly or not deterministic to the scratch
+    folder first (:func:`millrace.scratch.materialize`).
     """
     if not 0 <= reach <= block:
         raise ValueError("reach must lie between 0 and block")
     by = list(by)
-    rows, total = materialize_counted(
-        df.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered"
-    )
-    if total <= block:
-        window = Window.partitionBy(*by).orderBy(_MARK)
-        made = dict(columns(window))
-        if position is not None:
-            made[position] = F.row_number().over(window).cast("long")
-        return rows.withColumns(made).select(*df.columns, *made)
-
-    block = max(block, -(-total // _MAX_BLOCKS))
-    index = F.col(_INDEX)
-    indexed = _indexed(rows, df.columns)
-    rows = indexed.withColumn(_HOME, ((index - index % block) / block).cast("long"))
-    if reach:
-        copied = F.when(index % block >= block - reach, F.array(_HOME, F.col(_HOME) + 1))
-        rows = rows.withColumn(_BLOCK, F.explode(F.coalesce(copied, F.array(_HOME))))
-    else:
-        rows = rows.withColumn(_BLOCK, F.col(_HOME))
-    group = Window.partitionBy(*by, _BLOCK)
-    made = dict(columns(group.orderBy(_INDEX)))
-    if position is not None:
-        rows = _joined(rows, _starts(indexed, by, block), by, "left")
-        made[position] = index - F.coalesce(F.col(_START), F.min(_INDEX).over(group)) + 1
-    return rows.withColumns(made).where(F.col(_BLOCK) == F.col(_HOME)).select(*df.columns, *made)
-
-
-def _indexed(rows: DataFrame, names: list[str]) -> DataFrame:
-    """The rows with their place in the whole order, from 0."""
-    part = F.shiftright(_MARK, _ID_BITS)
-    # One row per sort partition, so this window without groups and the broadcast are small.
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(_ROWS))
+    total, largest = (found or 0 for found in sizes.agg(F.sum(_ROWS), F.max(_ROWS)).first())
+    block = max(block, -(-total // _MAX_BIG))
+
+    def plain(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order_by)
+        number = {} if position is None else {position: F.row_number().over(window).cast("long")}
+        return rows.withColumns({**columns(window), **number})
+
+    if largest <= block:
+        return plain(df)
+    big = materialize(sizes.where(F.col(_ROWS) > block), "big")
+    placed = _placed(_joined(df, big, by, "left_semi"), big, by, order_by)
+    blocked = _blocked(placed, by, reach, columns, block)
+    number = [] if position is None else [(F.col(_PLACE) + 1).alias(position)]
+    names = [name for name in blocked.columns if name not in (_PLACE, _HOME, _BLOCK)]
+    return plain(_joined(df, big, by, "left_anti")).unionByName(blocked.select(*names, *number))
+
+
+def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """The rows of big groups with their place in the group, from 0.
+
+    The sorted rows are written once, so that places and rows agree even if an executor is lost.
+    """
+    names, part = rows.columns, F.shiftright(_MARK, _ID_BITS)
+    ordered = materialize(rows.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
+    # One row per sort partition and one per big group: windows without groups and broadcasts of
+    # them are small.
     offsets = materialize(
-        rows.groupBy(part.alias(_PART))
+        ordered.groupBy(part.alias(_PART))
         .agg(F.count(F.lit(1)).alias(_ROWS))
-        .select(_PART, F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET)),
+        .select(_PART, _before(_PART).alias(_OFFSET)),
         "offsets",
     )
+    starts = big.select(*by, _before(*by).alias(_START))
     index = F.col(_OFFSET) + F.col(_MARK).bitwiseAND((1 << _ID_BITS) - 1)
-    return rows.join(F.broadcast(offsets), part == F.col(_PART)).select(*names, index.alias(_INDEX))
+    indexed = ordered.join(F.broadcast(offsets), part == F.col(_PART))
+    return _joined(indexed, starts, by, "inner").select(*names, (index - F.col(_START)).alias(_PLACE))
 
 
-def _starts(indexed: DataFrame, by: list[str], block: int) -> DataFrame:
-    """Where groups begin that reach into a later block: at most one per block."""
-    index = F.col(_INDEX)
-    reaching = indexed.where((index > 0) & (index % block == 0)).select(*by).distinct()
-    return materialize(
-        _joined(indexed, reaching, by, "left_semi").groupBy(*by).agg(F.min(_INDEX).alias(_START)), "starts"
-    )
+def _before(*order: str) -> Column:
+    """Sum of the counts that come earlier."""
+    window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(_ROWS).over(window), F.lit(0))
+
+
+def _blocked(
+    rows: DataFrame, by: list[str], reach: int, columns: Callable[[WindowSpec], dict[str, Column]], block: int
+) -> DataFrame:
+    place = F.col(_PLACE)
+    rows = rows.withColumn(_HOME, ((place - place % block) / block).cast("long"))
+    if reach:
+        copied = F.when(place % block >= block - reach, F.array(_HOME, F.col(_HOME) + 1))
+        rows = rows.withColumn(_BLOCK, F.explode(F.coalesce(copied, F.array(_HOME))))
+    else:
+        rows = rows.withColumn(_BLOCK, F.col(_HOME))
+    window = Window.partitionBy(*by, _BLOCK).orderBy(_PLACE)
+    return rows.withColumns(columns(window)).where(F.col(_BLOCK) == F.col(_HOME))
 
 
 def _joined(rows: DataFrame, few: DataFrame, by: list[str], how: str) -> DataFrame:
-    """Join on the group, null being a group, to a frame with at most one row per block."""
+    """Join on the group, null being a group, to a frame with one row per big group."""
     renamed = few.withColumnsRenamed({c: f"__few_{c}" for c in by})
     same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__few_{c}`")) for c in by])
-    return rows.join(F.broadcast(renamed), same, how).drop(*renamed.drop(_START).columns)
+    return rows.join(F.broadcast(renamed), same, how).drop(*[f"__few_{c}" for c in by])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.money import cents, total_of, wide
 from millrace.operators.ordered import positions
+from millrace.scratch import materialize
 
 
 def rep_sales_rollup(employees: DataFrame, sales: DataFrame) -> DataFrame:
@@ -28,8 +29,11 @@ def rep_sales_rollup(employees: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def employee_analytics(employees: DataFrame, sales: DataFrame) -> DataFrame:
-    """The roll-up per employee with the place in the department: most revenue first, then lowest id."""
-    totals = _employee_totals(employees, sales)
+    """The roll-up per employee with the place in the department: most revenue first, then lowest id.
+
+    The totals are written to the scratch folder, so that the sales are read once.
+    """
+    totals = materialize(_employee_totals(employees, sales), "totals")
     order = [F.desc_nulls_last("total_revenue"), "id", "name"]
     return positions(totals, ["department"], order, "department_rank").withColumn(
         "department_rank", F.col("department_rank").cast("int")

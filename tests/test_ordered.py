@@ -42,11 +42,25 @@ def test_frames_across_blocks(skewed, window, block):
     assert rows_of(got) == rows_of(want)
 
 
-def test_windows_run_per_block(skewed):
-    got = moving(skewed, ["g"], ["v", "id"], 1, lambda w: {"p": F.lag("id").over(w)}, "rn", 100)
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("__block" in line for line in windows)
+def windows_of(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Window [lag(" in line]
+
+
+def test_only_small_groups_take_a_plain_window(skewed):
+    def prev(w):
+        return {"p": F.lag("id").over(w)}
+
+    mixed = windows_of(moving(skewed, ["g"], ["v", "id"], 1, prev, None, 400))
+    assert len(mixed) == 2 and sum("__block" in line for line in mixed) == 1
+    plain = windows_of(moving(skewed, ["g"], ["v", "id"], 1, prev, "rn", 2000))
+    assert plain and not any("__block" in line for line in plain)
+
+
+@pytest.mark.parametrize("block", [100, 700])
+def test_positions_of_several_big_groups(skewed, window, block):
+    got = positions(skewed, ["g"], [F.desc("v"), "id"], "n", block)
+    assert rows_of(got) == rows_of(skewed.withColumn("n", F.row_number().over(window).cast("long")))
 
 
 def test_two_group_columns_and_no_rows(skewed):
