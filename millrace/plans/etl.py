@@ -36,7 +36,7 @@ class FileSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    url: str
+    url: str = field(repr=False)
     query: str
     options: Mapping[str, object] = field(default_factory=dict, repr=False)
     partition_column: str | None = None
@@ -73,6 +73,10 @@ class Target:
     verify: bool = False
     options: Mapping[str, object] = field(default_factory=dict)
 
+    @property
+    def replaces_everything(self) -> bool:
+        return self.mode.lower() == "overwrite" and self.run_date is None and not self.partition_by
+
 
 @dataclass(frozen=True)
 class PipelineSpec:
@@ -105,7 +109,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, count_input: bool = Fa
     _check_target(spec.target)
     source = spec.source.load(spark)
     result = shape(source, spec)
-    if spec.target.mode.lower() == "overwrite":
+    if spec.target.replaces_everything:
         refuse_overlap(result, spec.target.path)
     rows_in = source.count() if count_input else None
     return deliver(result, spec.target, rows_in)

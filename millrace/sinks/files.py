@@ -49,7 +49,8 @@ def write_files(
     for one task. ``verify`` reads the target back and compares counts. ``mode="ignore"`` leaves an
     existing target alone.
 
-    Overwriting a path that ``df`` still reads from is refused, as it would lose the data.
+    Overwriting a path that ``df`` still reads from is refused, as it would lose the data. Replacing
+    partitions of it is fine: Spark puts them in place after everything has been read.
     """
     fmt, mode = checked_format(fmt), checked_mode(mode)
     spark = df.sparkSession
@@ -57,7 +58,7 @@ def write_files(
     sort_by = [sort_by] if isinstance(sort_by, (str, Column)) else list(sort_by)
     if verify and partition_by and mode == "overwrite":
         raise ValueError("verify cannot tell replaced partitions from kept ones; verify an unpartitioned write")
-    if mode == "overwrite":
+    if mode == "overwrite" and not _dynamic(partition_by, options):
         refuse_overlap(df, path)
     if mode == "ignore" and path_exists(spark, path):
         return WriteResult(path, fmt, mode, 0, skipped=True)
@@ -97,6 +98,11 @@ def refuse_overlap(df: DataFrame, path: str) -> None:
             raise ValueError(f"Cannot overwrite {target}: the data to write is read from {source}")
 
 
+def _dynamic(partition_by: list[str], options: Mapping[str, object] | None) -> bool:
+    chosen = {key.lower(): str(value).lower() for key, value in (options or {}).items()}
+    return bool(partition_by) and chosen.get("partitionoverwritemode", "dynamic") == "dynamic"
+
+
 def _placed(df: DataFrame, partition_by: list[str], sort_by: list[str | Column], rebalance: bool) -> DataFrame:
     if sort_by:
         # The hash lets the sort split a value that many rows share.

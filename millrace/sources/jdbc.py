@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
@@ -15,7 +17,7 @@ ORACLE_PROPERTIES = {
 
 def derived_table(query: str, alias: str) -> str:
     """``query`` as a table expression; no ``AS``, which some databases reject before an alias."""
-    return f"({query.strip().rstrip(';').rstrip()}) {alias}"
+    return f"({query.strip().rstrip(';').rstrip()}\n) {alias}"  # the query may end in a line comment
 
 
 def read_jdbc(
@@ -71,8 +73,8 @@ def read_jdbc(
         return reader.load()
     return reader.options(
         partitionColumn=partition_column,
-        lowerBound=str(lower),
-        upperBound=str(upper),
+        lowerBound=_bound(lower, math.floor),
+        upperBound=_bound(upper, math.ceil),
         numPartitions=num_partitions,
     ).load()
 
@@ -81,6 +83,11 @@ def _reader(spark: SparkSession, url: str, properties: Mapping[str, str]) -> Dat
     return spark.read.format("jdbc").options(**properties).option("url", url)
 
 
+def _bound(value: object, whole: Callable[[Decimal | float], int]) -> str:
+    """Spark takes whole numbers only, also for decimal keys."""
+    return str(whole(value) if isinstance(value, (Decimal, float)) else value)
+
+
 def _bounds(
     spark: SparkSession, url: str, properties: Mapping[str, str], query: str, column: str
 ) -> tuple[object, object]:

@@ -20,6 +20,7 @@ def test_what_a_step_may_hold(spark):
     df = spark.createDataFrame([(1, "x y"), (2, "z")], "id int, t string")
     assert apply_transformations(df, [("w", "explode(split(t, ' '))")]).count() == 3
     assert [r.n for r in apply_transformations(df, [("n", "row_number() over (order by id)")]).orderBy("id").collect()] == [1, 2]
+    assert {r.m for r in apply_transformations(df, [("m", "(select max(x) from values (1), (7) t(x))")]).collect()} == {7}
     with pytest.raises(AnalysisException):
         apply_transformations(df, [("s", "sum(id)")])
     with pytest.raises(ArithmeticException):

@@ -202,6 +202,18 @@ def test_only_written_partitions_are_replaced(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_a_partitioned_target_may_be_read_while_its_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_files(spark.range(30).withColumn("day", F.col("id") % 3), path, partition_by="day")
+    stored = spark.read.parquet(path)
+    changed = stored.where("day < 2").groupBy("day").agg(F.sum("id").alias("id"))
+    assert write_files(changed, path, partition_by=["day"]).rows == 2
+    back = spark.read.parquet(path).groupBy("day").agg(F.sum("id"), F.count("id")).collect()
+    assert sorted(map(tuple, back)) == [(0, 135, 1), (1, 145, 1), (2, 155, 10)]
+    with pytest.raises(ValueError, match="Cannot overwrite"):
+        write_files(stored, path, partition_by=["day"], options={"PartitionOverwriteMode": "STATIC"})
+
+
 def test_verification_notices_missing_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sink, "read_files", lambda spark, *a, **k: spark.range(7))
     with pytest.raises(WriteVerificationError, match="10 rows"):

@@ -1,10 +1,12 @@
 """Database scans, as far as they can be checked without a database: what Spark is asked to do."""
 
+import datetime as dt
+from decimal import Decimal
 from unittest.mock import MagicMock
 
 import pytest
 
-from millrace import read_jdbc
+from millrace import JdbcSource, read_jdbc
 from millrace.sources.jdbc import derived_table
 
 URL = "jdbc:oracle:thin:@host:1521/service"
@@ -36,14 +38,14 @@ class Session:
 
 
 def test_query_becomes_a_derived_table():
-    assert derived_table(" select 1 from t ; ", "src") == "(select 1 from t) src"
+    assert derived_table(" select 1 from t ; ", "src") == "(select 1 from t\n) src"
     session = Session()
     read_jdbc(session, URL, "select * from sales;", LOGIN)
     assert session.loads == [
         {
             "format": "jdbc",
             "url": URL,
-            "dbtable": "(select * from sales) src",
+            "dbtable": "(select * from sales\n) src",
             "fetchsize": "10000",
             "oracle.jdbc.timezoneAsRegion": "false",
             "oracle.net.disableOob": "true",
@@ -72,13 +74,28 @@ def test_partitions_with_bounds():
 def test_missing_bounds_are_asked_for():
     session = Session(bounds=(5, 905))
     read_jdbc(session, URL, "select * from sales", LOGIN, "id", num_partitions=4)
-    assert session.loads[0]["dbtable"] == "(select min(id) lo, max(id) hi from (select * from sales) src) ends"
+    assert session.loads[0]["dbtable"] == "(select min(id) lo, max(id) hi from (select * from sales\n) src\n) ends"
     assert (session.loads[1]["lowerBound"], session.loads[1]["upperBound"]) == ("5", "905")
     session = Session(bounds=(5, 905))
     read_jdbc(session, URL, "select * from sales", LOGIN, "id", lower=0, num_partitions=4)
     assert (session.loads[1]["lowerBound"], session.loads[1]["upperBound"]) == ("0", "905")
 
 
+@pytest.mark.parametrize(
+    ("found", "bounds"),
+    [
+        ((Decimal("1.0000000000"), Decimal("904.5000000000")), ("1", "905")),
+        ((-0.5, 2.5), ("-1", "3")),
+        ((dt.date(2024, 1, 1), dt.date(2024, 6, 9)), ("2024-01-01", "2024-06-09")),
+        ((dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 9, 1, 2, 3, 4)), ("2024-01-01 00:00:00", "2024-06-09 01:02:03.000004")),
+    ],
+)
+def test_bounds_of_any_key(found, bounds):
+    session = Session(bounds=found)
+    read_jdbc(session, URL, "select * from sales", LOGIN, "id", num_partitions=4)
+    assert (session.loads[1]["lowerBound"], session.loads[1]["upperBound"]) == bounds
+
+
 def test_no_keys_at_all_is_one_partition():
     session = Session()
     read_jdbc(session, URL, "select * from sales", LOGIN, "id", num_partitions=4)
@@ -90,7 +107,7 @@ def test_predicates_for_uneven_keys():
     conditions = [f"mod(ora_hash(id), 8) = {i}" for i in range(8)]
     read_jdbc(session, URL, "select * from sales", LOGIN, predicates=conditions)
     (url, table, rest), = session.tables
-    assert (url, table, rest["predicates"]) == (URL, "(select * from sales) src", conditions)
+    assert (url, table, rest["predicates"]) == (URL, "(select * from sales\n) src", conditions)
     assert rest["properties"]["fetchsize"] == "10000" and rest["properties"]["user"] == "u"
 
 
@@ -110,9 +127,8 @@ def test_incomplete_partitioning_is_refused(wrong):
 
 
 def test_nothing_secret_is_printed(capfd):
-    from millrace import JdbcSource
-
     read_jdbc(Session(), URL, "select 1", LOGIN)
-    assert "secret" not in repr(JdbcSource(URL, "select 1", LOGIN))
+    shown = repr(JdbcSource(URL, "select 1", LOGIN))
+    assert "secret" not in shown and "host" not in shown
     out, err = capfd.readouterr()
     assert "host" not in out + err and "secret" not in out + err
