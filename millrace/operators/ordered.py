@@ -15,6 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from millrace.operators.spread import TIE, with_tie_breaker
 from millrace.scratch import materialize
 
 _ROWS, _START, _MARK, _PART, _OFFSET = "__rows", "__start", "__mark", "__part", "__offset"
@@ -77,7 +78,8 @@ def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: Sequence[s
     The sorted rows are written once, so that places and rows agree even if an executor is lost.
     """
     names, part = rows.columns, F.shiftright(_MARK, _ID_BITS)
-    ordered = materialize(rows.orderBy(*by, *order_by).withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
+    in_order = with_tie_breaker(rows).orderBy(*by, *order_by, TIE).drop(TIE)
+    ordered = materialize(in_order.withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
     # One row per sort partition and one per big group: windows without groups and broadcasts of
     # them are small.
     offsets = materialize(

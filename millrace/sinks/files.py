@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from millrace.formats import CSV_NULL, TIMESTAMP_FORMATS, checked_format
+from millrace.operators.spread import TIE, with_tie_breaker
 from millrace.paths import overlap, path_exists, qualified, read_paths
 from millrace.sources.files import read_files
 
@@ -44,7 +44,8 @@ def write_files(
     """Write ``df`` below ``path`` in a single job that also counts its rows.
 
     With ``partition_by``, ``mode="overwrite"`` replaces only the partitions that ``df`` has rows
-    for. ``sort_by`` orders the rows across all output files. ``rebalance`` shuffles rows of equal
+    for. ``sort_by`` orders the rows across all output files, and lets rows of equal keys, even copies
+    of one row, lie in several of them. ``rebalance`` shuffles rows of equal
     partition values together and evens out the file sizes; Spark splits values that are too big
     for one task. ``verify`` reads the target back and compares counts. ``mode="ignore"`` leaves an
     existing target alone.
@@ -105,18 +106,12 @@ def _dynamic(partition_by: list[str], options: Mapping[str, object] | None) -> b
 
 def _placed(df: DataFrame, partition_by: list[str], sort_by: list[str | Column], rebalance: bool) -> DataFrame:
     if sort_by:
-        # The hash lets the sort split a value that many rows share.
-        spread = [f"`{f.name.replace('`', '``')}`" for f in df.schema if _hashable(f.dataType)]
-        return df.orderBy(*partition_by, *sort_by, *([F.xxhash64(*spread)] if spread else []))
+        return with_tie_breaker(df).orderBy(*partition_by, *sort_by, TIE).drop(TIE)
     if rebalance:
         return df.hint("rebalance", *partition_by)
     return df
 
 
-def _hashable(kind: DataType) -> bool:
-    return not any(word in kind.simpleString() for word in ("map<", "variant"))
-
-
 def _options(df: DataFrame, fmt: str, partition_by: list[str]) -> dict[str, object]:
     if fmt == "csv":
         chosen = {

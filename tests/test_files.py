@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace import WriteVerificationError, read_files, write_files
+from millrace.operators.spread import TIE, with_tie_breaker
 from millrace.sinks import files as sink
 
 AWKWARD = [
@@ -234,15 +235,29 @@ def test_sorted_files_follow_one_another(spark, tmp_path):
     assert all(a.lo >= b.hi for a, b in zip(parts, parts[1:]))
 
 
-def test_a_hot_sort_value_is_split(spark):
-    df = spark.range(0, 20000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("v"))
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_sort_value_is_split(spark, copies):
+    hot = F.col("id") % 3 == 0
+    df = spark.range(0, 20000, 1, 8).select(
+        F.when(hot & F.lit(copies), 0).otherwise(F.col("id")).alias("id"), F.when(hot, None).otherwise(F.col("id")).alias("v")
+    )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         placed = sink._placed(df, [], [F.desc("v")], False)
         biggest = placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert biggest < 20000 / 3
+    assert placed.columns == ["id", "v"]
+    assert biggest < 20000 / 6
+
+
+def test_a_task_that_runs_again_numbers_its_rows_alike(spark):
+    rows = [(i % 50, float(i % 7), {"k": i % 3}) for i in range(3000)]
+    one = spark.createDataFrame(rows, "a int, b double, m map<string,int>").coalesce(1)
+    other = spark.createDataFrame(rows[::-1], one.schema).coalesce(1)
+    numbered = [sorted(map(str, with_tie_breaker(df).collect())) for df in (one, other)]
+    assert numbered[0] == numbered[1]
+    assert with_tie_breaker(one).select(TIE).distinct().count() == 3000
 
 
 def test_counts_with_a_sort_are_not_doubled(spark, tmp_path):

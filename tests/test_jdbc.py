@@ -37,6 +37,14 @@ class Session:
         return reader
 
 
+def test_source_of_a_job():
+    session = Session()
+    JdbcSource(URL, "select * from sales", LOGIN, "id", 1, 9, 3).load(session)
+    JdbcSource(URL, "select * from sales", LOGIN, predicates=("id < 5", "id >= 5 or id is null")).load(session)
+    assert session.loads[0]["numPartitions"] == 3
+    assert session.tables[0][2]["predicates"] == ["id < 5", "id >= 5 or id is null"]
+
+
 def test_query_becomes_a_derived_table():
     assert derived_table(" select 1 from t ; ", "src") == "(select 1 from t\n) src"
     session = Session()
