@@ -18,7 +18,7 @@ from millrace.sources.files import read_files
 from millrace.sources.jdbc import read_jdbc
 
 RUN_DATE = "execution_date"
-_STEP_PREFIX = "transform_"
+_STEP_PREFIX = "transform_"  # fixed value, like the other configuration keys in spec_from_maps
 
 
 @dataclass(frozen=True)

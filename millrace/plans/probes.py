@@ -33,7 +33,6 @@ def probe_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     Give it a path kept for this check.
     """
     now = datetime.now()
-    # The marker rows.
     markers = [("test-connection", "SUCCESS"), ("write-service", "ACTIVE")]
     rows = [(component, f"{now:%Y-%m-%d}", status, int(now.timestamp() * 1000)) for component, status in markers]
 

@@ -15,6 +15,7 @@ from millrace.plans.etl import PipelineResult, Target, deliver
 
 Tables = Mapping[str, DataFrame]
 
+# The names that jobs are started by.
 REPORTS: dict[str, Callable[[Tables, date], DataFrame]] = {
     "oracle-to-gcs": lambda t, day: reports.rep_sales_rollup(t["employees"], t["sales"]),
     "employee-analytics": lambda t, day: reports.employee_analytics(t["employees"], t["sales"]),
