@@ -21,7 +21,8 @@ from millrace.scratch import materialize
 _ROWS, _START, _MARK, _PART, _OFFSET = "__rows", "__start", "__mark", "__part", "__offset"
 _PLACE, _HOME, _BLOCK = "__place", "__home", "__block"
 _ID_BITS = 33  # monotonically_increasing_id keeps the row within the partition in the low bits
-_MAX_BIG = 100_000  # bounds the number of big groups, which are broadcast
+_MAX_BIG = 100_000  # bounds the number of big groups
+_MAX_BROADCAST = 64 << 20  # characters of their keys
 
 
 def positions(
@@ -64,7 +65,7 @@ def moving(
 
     if largest <= block:
         return plain(df)
-    big = materialize(sizes.where(F.col(_ROWS) > block), "big")
+    big = _broadcast_if_small(materialize(sizes.where(F.col(_ROWS) > block), "big"), by)
     placed = _placed(_joined(df, big, by, "left_semi"), big, by, order_by)
     blocked = _blocked(placed, by, reach, columns, block)
     number = [] if position is None else [(F.col(_PLACE) + 1).alias(position)]
@@ -80,7 +81,7 @@ def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: Sequence[s
     names, part = rows.columns, F.shiftright(_MARK, _ID_BITS)
     in_order = with_tie_breaker(rows).orderBy(*by, *order_by, TIE).drop(TIE)
     ordered = materialize(in_order.withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
-    # One row per sort partition and one per big group: windows without groups and broadcasts of
+    # One row of two numbers per sort partition, and one row per big group: windows over all of
     # them are small.
     offsets = materialize(
         ordered.groupBy(part.alias(_PART))
@@ -114,8 +115,14 @@ def _blocked(
     return rows.withColumns(columns(window)).where(F.col(_BLOCK) == F.col(_HOME))
 
 
+def _broadcast_if_small(big: DataFrame, by: list[str]) -> DataFrame:
+    """Keys may be long texts: beyond the bound Spark picks the joins, and splits skewed ones."""
+    keys = big.agg(F.sum(F.length(F.to_json(F.struct(*by))))).first()[0]
+    return F.broadcast(big) if keys <= _MAX_BROADCAST else big
+
+
 def _joined(rows: DataFrame, few: DataFrame, by: list[str], how: str) -> DataFrame:
     """Join on the group, null being a group, to a frame with one row per big group."""
     renamed = few.withColumnsRenamed({c: f"__few_{c}" for c in by})
     same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__few_{c}`")) for c in by])
-    return rows.join(F.broadcast(renamed), same, how).drop(*[f"__few_{c}" for c in by])
+    return rows.join(renamed, same, how).drop(*[f"__few_{c}" for c in by])

@@ -113,7 +113,8 @@ def test_row_wise_operators_accept_a_stream(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(source)
     schema = spark.read.parquet(source).schema
     stream = spark.readStream.schema(schema).parquet(source)
-    shaped = standardize(apply_transformations(stream, [("Twice It", "value * 2")]), "clicks")
+    chosen = sql_transform(stream, "select event_id, value from source_data where value is not null")
+    shaped = standardize(apply_transformations(chosen, [("Twice It", "value * 2")]), "clicks")
     query = (
         shaped.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", str(tmp_path / "state"))

@@ -281,6 +281,18 @@ def test_nulls_next_to_a_partition_column(spark, tmp_path, fmt):
     assert texts(read_files(spark, path, fmt, schema="s string, p int")) == texts(df)
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_a_partition_column_anywhere_and_several_paths(spark, tmp_path, fmt):
+    df = spark.range(12).selectExpr("cast(id % 3 as int) as p", "id", "concat('t', id) as s")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    write_files(df, one, fmt, partition_by=["p"])
+    back = read_files(spark, one, fmt, schema=df.schema).select("p", "id", "s")
+    assert texts(back) == texts(df) and back.where("p = 1").count() == 4
+    write_files(df.drop("p"), two, fmt)
+    write_files(df.drop("p"), one + "b", fmt)
+    assert read_files(spark, [two, one + "b"], fmt, schema=df.drop("p").schema).count() == 24
+
+
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata", "UTC"])
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
 def test_moments_in_any_zone(spark, tmp_path, zone, fmt):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import moving, positions
+from millrace.operators import moving, ordered, positions
 
 
 @pytest.fixture(scope="module")
@@ -57,10 +57,20 @@ def test_only_small_groups_take_a_plain_window(skewed):
     assert plain and not any("__block" in line for line in plain)
 
 
+@pytest.mark.parametrize("bound", [64 << 20, 0])
 @pytest.mark.parametrize("block", [100, 700])
-def test_positions_of_several_big_groups(skewed, window, block):
-    got = positions(skewed, ["g"], [F.desc("v"), "id"], "n", block)
-    assert rows_of(got) == rows_of(skewed.withColumn("n", F.row_number().over(window).cast("long")))
+def test_positions_of_several_big_groups(spark, skewed, window, block, bound, monkeypatch):
+    monkeypatch.setattr(ordered, "_MAX_BROADCAST", bound)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = positions(skewed, ["g"], [F.desc("v"), "id"], "n", block)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = rows_of(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The offsets always, the keys of big groups twice or never.
+    assert plan.count("BroadcastHashJoin") == (3 if bound else 1)
+    assert rows == rows_of(skewed.withColumn("n", F.row_number().over(window).cast("long")))
 
 
 def test_two_group_columns_and_no_rows(skewed):
