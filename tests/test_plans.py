@@ -1,0 +1,67 @@
+"""What Spark makes of the queries: no pair joins, no Python, few shuffles, small scans."""
+
+import pytest
+
+from millrace.workload import columns, reports, text
+
+FOLDER = "/root/testdata/sf0.001"
+LAZY = {**reports.CASES, **columns.CASES, **text.CASES}
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "CollectLimit", "SinglePartition")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_nothing_unwanted(spark, no_broadcast, name):
+    plan = plan_of(LAZY[name].run(spark, FOLDER))
+    allowed = {"sql_scalar_subquery": ("SinglePartition",)}.get(name, ())  # one average of all orders
+    assert not [word for word in UNWANTED if word in plan and word not in allowed], plan
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        ("rep_sales_rollup", 3),
+        ("sales_analytics", 2),
+        ("customer_analytics", 2),
+        ("department_report", 3),
+        ("sample_data_processing", 2),
+        ("sql_semi_join", 2),
+        ("sql_anti_join", 2),
+        ("sql_window_by_month", 2),
+        ("sql_top_k", 0),
+        ("apply_transformations", 0),
+        ("standardize", 0),
+    ],
+)
+def test_shuffles(spark, no_broadcast, name, shuffles):
+    assert plan_of(LAZY[name].run(spark, FOLDER)).count("Exchange hashpartitioning") == shuffles
+
+
+@pytest.mark.parametrize(
+    ("name", "wanted"),
+    [
+        ("sample_data_processing", ["GreaterThanOrEqual(ts,2024-01-15", "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"]),
+        ("rep_sales_rollup", ["ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double>"]),
+        ("rep_returns_rollup", ["EqualTo(l_returnflag,R)"]),
+        ("sql_transform", ["GreaterThan(o_totalprice,100000.0)", "ReadSchema: struct<o_totalprice:double,o_orderpriority:string>"]),
+        ("sql_json", ["ReadSchema: struct<event_id:bigint,props:string>"]),
+        ("count_col_vs_star", ["ReadSchema: struct<doc_id:bigint,lang:string>", "ReadSchema: struct<doc_id:bigint,quality:int>"]),
+    ],
+)
+def test_scans(spark, name, wanted):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = plan_of(LAZY[name].run(spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert not [text for text in wanted if text not in plan], plan
