@@ -94,7 +94,7 @@ class PipelineSpec:
 @dataclass(frozen=True)
 class PipelineResult:
     path: str
-    rows_out: int
+    rows_out: int | None
     rows_in: int | None = None
     skipped: bool = False
 

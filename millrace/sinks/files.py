@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from threading import Thread
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from millrace.sources.files import read_files
 # The save modes Spark knows.
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists", "default")
 
+_PATIENCE = 600  # seconds
+
 
 class WriteVerificationError(RuntimeError):
     """The rows found after a write are not the rows that were written."""
@@ -23,10 +26,12 @@ class WriteVerificationError(RuntimeError):
 
 @dataclass(frozen=True)
 class WriteResult:
+    """``rows`` is None if Spark did not report the count of a write that succeeded."""
+
     path: str
     fmt: str
     mode: str
-    rows: int
+    rows: int | None
     skipped: bool = False
 
 
@@ -78,7 +83,7 @@ def write_files(
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.options(**(options or {})).save(path)
-    rows = counted.get["rows"]
+    rows = _reported(counted)
     if verify:
         found = stored() - before
         if found != rows:
@@ -86,6 +91,15 @@ def write_files(
     return WriteResult(path, fmt, mode, rows)
 
 
+def _reported(counted: Observation) -> int | None:
+    """The count, which comes through the listener bus; an overloaded driver may drop it there."""
+    found: list[int] = []
+    waiting = Thread(target=lambda: found.append(counted.get["rows"]), daemon=True)
+    waiting.start()
+    waiting.join(_PATIENCE)
+    return found[0] if found else None
+
+
 def checked_mode(mode: str) -> str:
     if mode.lower() not in SAVE_MODES:
         raise ValueError(f"Unsupported save mode: {mode!r}; expected one of {', '.join(SAVE_MODES)}")

@@ -3,9 +3,11 @@
 import datetime as dt
 import os
 import random
+from threading import Event
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millrace import WriteVerificationError, read_files, write_files
@@ -221,6 +223,19 @@ def test_verification_notices_missing_rows(spark, tmp_path, monkeypatch):
         write_files(spark.range(10), str(tmp_path / "t"), verify=True)
 
 
+def test_a_count_that_never_comes_does_not_hold_up_the_job(spark, tmp_path, monkeypatch):
+    class Lost(Observation):
+        get = property(lambda self: Event().wait(30) or {"rows": -1})
+
+    monkeypatch.setattr(sink, "Observation", Lost)
+    monkeypatch.setattr(sink, "_PATIENCE", 0.2)
+    path = str(tmp_path / "t")
+    assert write_files(spark.range(10), path).rows is None
+    assert spark.read.parquet(path).count() == 10
+    with pytest.raises(WriteVerificationError, match="Wrote None rows"):
+        write_files(spark.range(10), path, verify=True)
+
+
 def test_sorted_files_follow_one_another(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(0, 20000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000).alias("v"))
