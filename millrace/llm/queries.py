@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, pieces, quality, simhash
+from millrace.llm import decontaminate, pieces, quality, repeats, simhash
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -72,6 +72,16 @@ def near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def suffix_dedup(spark, folder):
+    return repeats.repeats(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("cut", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["start"]).alias("n_removed"),
+        F.size("cut").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def fitted(spark, folder):
     return quality.train(table(spark, folder, "documents"), table(spark, folder, "labels"), F.expr(LEARNED), metadata=METADATA)
 
@@ -97,6 +107,7 @@ def encoded(spark, folder):
 CASES = {
     "op3_decontamination": Case(decontamination, DECONTAMINATION_SQL),
     "op4_simhash_near_dedup": Case(near_duplicates),
+    "op6_suffix_array_dedup": Case(suffix_dedup),
     "op7_quality_classifier": Case(quality_scores),
     "op10_sentencepiece": Case(encoded),
 }
