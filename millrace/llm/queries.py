@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, pieces, quality, repeats, simhash
+from millrace.llm import decontaminate, language_model, pieces, quality, repeats, simhash
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -24,6 +24,12 @@ METADATA = ("n_chars",)
 LEARNED = "crc32(cast(doc_id as string)) % 3 <> 1"
 
 
+def language_model_scores(spark, folder):
+    rest = F.crc32(F.col("doc_id").cast("string")) % 10
+    scores = language_model.scores(table(spark, folder, "documents"), rest != 0)
+    return scores.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def decontamination(spark, folder):
     found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -105,6 +111,7 @@ def encoded(spark, folder):
 
 
 CASES = {
+    "op1_language_model": Case(language_model_scores),
     "op3_decontamination": Case(decontamination, DECONTAMINATION_SQL),
     "op4_simhash_near_dedup": Case(near_duplicates),
     "op6_suffix_array_dedup": Case(suffix_dedup),

@@ -101,8 +101,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(content: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return hashes(prefix_sums(content.astype(np.uint64) + np.uint64(1)), begin, end)
+def word_hashes(content: np.ndarray, begin: np.ndarray, end: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word; ``most`` bytes, or one longer word, at a time."""
+    out, k = np.empty(len(begin), np.uint64), 0
+    while k < len(begin):
+        first = begin[k]
+        last = max(k + 1, int(np.searchsorted(end, first + most, side="right")))
+        sums = prefix_sums(content[first : end[last - 1]].astype(np.uint64) + np.uint64(1))
+        out[k:last] = hashes(sums, begin[k:last] - first, end[k:last] - first)
+        k = last
+    return out
 
 
 def running(counts: np.ndarray) -> np.ndarray:
