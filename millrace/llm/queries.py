@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, pieces, quality, repeats, simhash
+from millrace.llm import decontaminate, language_model, pieces, quality, repeats, shards, simhash
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -30,6 +30,16 @@ def language_model_scores(spark, folder):
     return scores.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def sharding(spark, folder):
+    text = F.coalesce("text", F.lit(""))
+    sized = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    return shards.shuffled(sized, 8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def decontamination(spark, folder):
     found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -112,6 +122,7 @@ def encoded(spark, folder):
 
 CASES = {
     "op1_language_model": Case(language_model_scores),
+    "op2_sharding": Case(sharding),
     "op3_decontamination": Case(decontamination, DECONTAMINATION_SQL),
     "op4_simhash_near_dedup": Case(near_duplicates),
     "op6_suffix_array_dedup": Case(suffix_dedup),
