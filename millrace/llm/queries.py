@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, pieces, quality, repeats, shards, simhash
+from millrace.llm import decontaminate, language_model, neighbours, pieces, quality, repeats, shards, simhash
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -112,6 +112,11 @@ def quality_scores(spark, folder):
     )
 
 
+def nearest_neighbours(spark, folder):
+    found = neighbours.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def model_bytes() -> bytes:
     return pieces.load(os.path.join(TOKENIZERS, MODEL))
 
@@ -127,5 +132,6 @@ CASES = {
     "op4_simhash_near_dedup": Case(near_duplicates),
     "op6_suffix_array_dedup": Case(suffix_dedup),
     "op7_quality_classifier": Case(quality_scores),
+    "op9_nearest_neighbours": Case(nearest_neighbours),
     "op10_sentencepiece": Case(encoded),
 }
