@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, neighbours, pieces, quality, repeats, shards, simhash
+from millrace.llm import decontaminate, language_model, neighbours, pieces, quality, repeats, shards, simhash, urls
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -88,6 +88,10 @@ def near_duplicates(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def url_verdicts(spark, folder):
+    return urls.verdicts(table(spark, folder, "pages"))
+
+
 def suffix_dedup(spark, folder):
     return repeats.repeats(table(spark, folder, "documents")).select(
         "doc_id",
@@ -130,6 +134,7 @@ CASES = {
     "op2_sharding": Case(sharding),
     "op3_decontamination": Case(decontamination, DECONTAMINATION_SQL),
     "op4_simhash_near_dedup": Case(near_duplicates),
+    "op5_url_filters": Case(url_verdicts),
     "op6_suffix_array_dedup": Case(suffix_dedup),
     "op7_quality_classifier": Case(quality_scores),
     "op9_nearest_neighbours": Case(nearest_neighbours),
