@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, neighbours, pieces, quality, repeats, shards, simhash, urls
+from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, urls
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -116,6 +116,10 @@ def quality_scores(spark, folder):
     )
 
 
+def substring_dedup(spark, folder):
+    return passages.classes(table(spark, folder, "documents"))
+
+
 def nearest_neighbours(spark, folder):
     found = neighbours.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
@@ -137,6 +141,7 @@ CASES = {
     "op5_url_filters": Case(url_verdicts),
     "op6_suffix_array_dedup": Case(suffix_dedup),
     "op7_quality_classifier": Case(quality_scores),
+    "op8_substring_dedup": Case(substring_dedup),
     "op9_nearest_neighbours": Case(nearest_neighbours),
     "op10_sentencepiece": Case(encoded),
 }
