@@ -140,12 +140,12 @@ def _spans(hit: np.ndarray, begin: np.ndarray, end: np.ndarray, start: int) -> l
     return [(int(begin[a] - start), int(end[b] - start)) for a, b in zip(first, last)]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_mb: int) -> list[Broadcast]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_mb: float) -> list[Broadcast]:
     """The windows, broadcast in blocks of a bounded size."""
     spark = benchmark.sparkSession
     rows = windows(benchmark, id_col, text_col, width)
     size = rows.agg(F.sum(F.length("window") + F.coalesce(F.length("item"), F.lit(0)) + 64)).first()[0] or 0
-    parts = math.ceil(size / (block_mb << 20))
+    parts = math.ceil(size / (block_mb * (1 << 20)))
     if parts > 1:
         rows = rows.persist()
     share = []
@@ -165,7 +165,7 @@ def find(
     item_col: str = "item_id",
     item_text: str = "text",
     width: int = WIDTH,
-    block_mb: int = BLOCK_MB,
+    block_mb: float = BLOCK_MB,
 ) -> DataFrame:
     """``id_col``, n_words, n_hit, items (ids as strings, sorted) and spans (bytes of hit runs) of each text."""
     share = _blocks(benchmark, item_col, item_text, width, block_mb)
