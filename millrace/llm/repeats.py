@@ -43,14 +43,14 @@ from millrace.scratch import materialize
 LENGTH = 400
 ANCHOR = 128
 WIDTH = LENGTH - ANCHOR + 1
-GROUP = 256
+GROUP = 16_384
 BAND = 35
 
 #: Length of the anchors that a crowded anchor is refined to.
 INNER = LENGTH - BAND + 1
 
 #: Bytes of a long text looked at together.
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 
 def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -215,9 +215,9 @@ def columns(group: np.ndarray, left: list[bytes], right: list[bytes], anchor: in
 def _symbols(strings: list[bytes], reach: int) -> np.ndarray:
     """Symbol k of every string as row k: 1 to 256, or 0 beyond its end."""
     size = np.array([len(x) for x in strings], np.int64)
-    out = np.zeros((len(strings), reach), np.int64)
+    out = np.zeros((len(strings), reach), np.int16)
     flat = np.frombuffer(b"".join(strings), np.uint8)
-    out[np.repeat(np.arange(len(strings)), size), texts.within(np.zeros(len(strings), np.int64), size)] = flat.astype(np.int64) + 1
+    out[np.repeat(np.arange(len(strings)), size), texts.within(np.zeros(len(strings), np.int64), size)] = flat.astype(np.int16) + 1
     return np.ascontiguousarray(out.T)
 
 
@@ -270,31 +270,39 @@ def _collections(batches, most: int = 8_000):
 
 
 def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
-    """The same for refined anchors. Rows of an anchor are never brought together: they meet in sums and joins."""
-    bands = materialize(bands, "bands")
-    around = F.xxhash64("left", "right")
-    sums = bands.groupBy("run").agg(
-        F.min(_place()).alias("a"), F.max(_place()).alias("b"), F.min(around).alias("c"), F.max(around).alias("d")
-    )
-    fewest, most = F.greatest(F.lit(0), F.lit(BAND - 1) - F.octet_length("right")), F.octet_length("left")
-    joined = materialize(
-        bands.join(sums.where("a <> b").select("run", (F.col("c") == F.col("d")).alias("alike")), "run")
-        .withColumns({"fewest": fewest, "most": most})
+    """The same for refined anchors. Rows of an anchor are never brought together: they meet in sums and joins.
+
+    What stands around an anchor in several places repeats as a whole. What stands around it once is compared
+    window by window with every other surrounding that the anchor has.
+    """
+    bands = materialize(bands.withColumn("around", F.xxhash64("left", "right")), "bands")
+    once = {c: F.first(c).alias(c) for c in ("k1", "k2", "at", "left", "right")}
+    around = materialize(
+        bands.groupBy("run", "around")
+        .agg((F.min(_place()) == F.max(_place())).alias("single"), *once.values())
+        .withColumns({"fewest": F.greatest(F.lit(0), F.lit(BAND - 1) - F.octet_length("right")), "most": F.octet_length("left")})
         .where("fewest <= most"),
-        "bands",
+        "around",
     )
-    alike = joined.where("alike").select("k1", "k2", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("fewest") + LENGTH).alias("end"))
+    whole = bands.select("run", "around", "k1", "k2", "at").join(
+        around.where("not single").select("run", "around", "fewest", "most"), ["run", "around"]
+    )
+    whole = whole.select("k1", "k2", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("fewest") + LENGTH).alias("end"))
+    several = around.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 and any").select("run")
     windows = (
-        joined.where("not alike")
+        around.join(several, "run")
         .withColumn("n", F.explode(F.sequence("fewest", "most")))
-        .withColumn("l", F.expr(f"substring(left, octet_length(left) - n + 1, n)"))
+        .withColumn("l", F.expr("substring(left, octet_length(left) - n + 1, n)"))
         .withColumn("r", F.expr(f"substring(right, 1, {BAND - 1} - n)"))
-        .select("k1", "k2", (F.col("at") - F.col("n")).alias("at"), F.xxhash64("run", "n", "l", "r").alias("w1"), F.xxhash64("r", "l", "n", "run").alias("w2"))
-    )
+        .select(
+            "single", "k1", "k2", (F.col("at") - F.col("n")).alias("at"),
+            F.xxhash64("run", "n", "l", "r").alias("w1"), F.xxhash64("r", "l", "n", "run").alias("w2"),
+        )
+    )
     windows = materialize(windows, "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.min(_place()).alias("a"), F.max(_place()).alias("b")).where("a <> b").select("w1", "w2")
-    single = windows.join(twice, ["w1", "w2"]).select("k1", "k2", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
-    return alike.unionByName(single)
+    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    found = windows.where("single").join(twice, ["w1", "w2"]).select("k1", "k2", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
+    return whole.unionByName(found)
 
 
 def _merged(found: list[dict]) -> list[tuple[int, int]]:
