@@ -1,0 +1,98 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest_llm import blanked
+from millrace.llm import language_model
+
+
+def brute(rows, learns, order, strength):
+    """Scores by counting n-grams in dictionaries and walking each text."""
+    counts = [Counter() for _ in range(order + 1)]  # counts[0] is that of contexts of no token
+    texts = [[b"<s>", *blanked(t), b"</s>"] for _, t in rows]
+    for (i, _), tokens in zip(rows, texts):
+        if learns(i):
+            for m in range(1, order + 1):
+                counts[m].update(tuple(tokens[k - m + 1 : k + 1]) for k in range(1, len(tokens)) if k - m + 1 >= 0)
+    starts = sum(bool(learns(i)) for i, _ in rows)
+    total, kinds = sum(counts[1].values()), len(counts[1])
+
+    def of_context(context):
+        return starts if context == (b"<s>",) else counts[len(context)][context]
+
+    out = []
+    for (i, _), tokens in zip(rows, texts):
+        base = score = 0.0
+        for k in range(1, len(tokens)):
+            p = (counts[1][(tokens[k],)] + 0.1) / (total + 0.1 * (kinds + 1))
+            base += math.log10(p)
+            for m in range(2, order + 1):
+                if k - m + 1 >= 0:
+                    context = tuple(tokens[k - m + 1 : k])
+                    p = (counts[m][(*context, tokens[k])] + strength * p) / (of_context(context) + strength)
+            score += math.log10(p)
+        known = sum(counts[1][(t,)] > 0 for t in tokens[1:])
+        out.append((i, len(tokens) - 1, known, total, base, score))
+    return out
+
+
+def compare(found, wanted):
+    def key(x):
+        return (x[0] is None, x[0] or 0, x[1], round(x[4], 6))
+
+    for a, b in zip(sorted(found, key=key), sorted(wanted, key=key), strict=True):
+        assert a[:4] == b[:4]
+        assert a[4:] == pytest.approx(b[4:], rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_equal_those_of_counting(frame, corpus, order):
+    found = language_model.scores(frame(corpus), F.col("doc_id") % 10 != 0, order=order, chunk=20_000)
+    assert found.columns == "doc_id learned n_tokens n_known train_tokens base_score score".split()
+    got = [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found.collect()]
+    compare(got, brute(corpus, lambda i: i is not None and i % 10 != 0, order, language_model.STRENGTH))
+    assert all(r.learned == (r.doc_id is not None and r.doc_id % 10 != 0) for r in found.collect())
+
+
+def test_contexts_help_on_texts_that_were_not_learned_from(frame):
+    rng = random.Random(1)
+    phrases = [" ".join(f"w{rng.randrange(200)}" for _ in range(6)) for _ in range(20)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(30))) for i in range(200)]
+    found = language_model.scores(frame(rows), F.col("doc_id") % 10 != 0).where("not learned").agg(F.sum("score"), F.sum("base_score")).first()
+    assert found[0] > 0.7 * found[1] and len(rows) == 200
+
+
+def test_nothing_to_learn_from_and_empty_table(frame):
+    found = language_model.scores(frame([(1, "a b"), (2, None)]), F.lit(False)).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in found] == [(3, 0, 0), (1, 0, 0)]
+    assert [r.score for r in found] == pytest.approx([0.0, 0.0])
+    assert language_model.scores(frame([]), F.lit(True)).count() == 0
+
+
+def test_probabilities_of_a_context_sum_to_one(frame):
+    rows = [(1, "a b a c a b")] + [(10 + k, f"a {w}") for k, w in enumerate(["a", "b", "c", "never"])] + [(20, "a")]
+    found = {r.doc_id: r for r in language_model.scores(frame(rows), F.col("doc_id") == 1).collect()}
+    first = found[20].score
+    # P(w | a) is what "a w </s>" has beyond P(a | <s>) and P(</s> | w); the latter follows from the counts.
+    c = Counter({"a": 3, "b": 2, "c": 1, "</s>": 1})
+    n, v, s = 7, 4, language_model.STRENGTH
+    end = {"a": 0, "b": 1, "c": 0, "never": 0}
+    p0 = {w: (c[w] + 0.1) / (n + 0.1 * (v + 1)) for w in [*c, "never"]}
+    after = {"</s>": (0 + s * p0["</s>"]) / (3 + s)}
+    start = 10**first / after["</s>"]
+    for k, w in enumerate(["a", "b", "c", "never"]):
+        stop = (end[w] + s * p0["</s>"]) / (c[w] + s)
+        after[w] = 10 ** found[10 + k].score / start / stop
+    assert sum(after.values()) == pytest.approx(1)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(0)
+    for values in (np.zeros(0, np.uint64), rng.integers(0, 2**63, 1000).astype(np.uint64), np.array([2**64 - 1], np.uint64)):
+        assert (language_model.unpack(language_model.pack(values)) == values).all()
+        values = np.unique(values)
+        assert (language_model.unpack_sorted(language_model.pack_sorted(values)) == values).all()

@@ -1,0 +1,82 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import shards
+
+
+def test_sizes_are_exact_and_slots_have_no_gaps(frame, corpus):
+    docs = frame(corpus, partitions=7)
+    for count, cell in ((8, shards.CELL), (3, 5), (1, 4), (200, 2)):
+        rows = shards.shuffled(docs, count, cell=cell)
+        assert rows.columns == [*docs.columns, "_shard", "_slot"]
+        got = rows.select("doc_id", "text", "_shard", "_slot").collect()
+        assert Counter((r.doc_id, r.text) for r in got) == Counter(corpus)
+        sizes = Counter(r["_shard"] for r in got)
+        low = len(corpus) // count
+        assert all(sizes[j] == low + (j < len(corpus) % count) for j in range(count))
+        for j in sizes:
+            assert sorted(r["_slot"] for r in got if r["_shard"] == j) == list(range(sizes[j]))
+
+
+def test_empty_table_and_fewer_rows_than_shards(spark):
+    assert shards.shuffled(spark.range(0), 8).collect() == []
+    rows = shards.shuffled(spark.range(3), 8).collect()
+    assert sorted((r.shard, r.slot) for r in rows) == [(0, 0), (1, 0), (2, 0)]
+
+
+def test_the_same_seed_gives_the_same_rows_and_another_does_not(spark):
+    table = spark.range(0, 500, 1, 5)
+    first = {r.id: (r.shard, r.slot) for r in shards.shuffled(table, 4).collect()}
+    assert first == {r.id: (r.shard, r.slot) for r in shards.shuffled(table, 4).collect()}
+    assert first != {r.id: (r.shard, r.slot) for r in shards.shuffled(table, 4, seed=1).collect()}
+
+
+@pytest.mark.parametrize("good, bad, draws", [(30, 50, 20), (3, 2, 4), (1, 200, 90), (500, 400, 30), (40, 40, 79)])
+def test_draws_follow_the_hypergeometric_law(spark, good, bad, draws):
+    n = 12_000
+    drawn = shards.hypergeometric(*[F.lit(x).cast("long") for x in (good, bad, draws)], F.lit(5), F.col("id"))
+    found = {r.k: r["count"] for r in spark.range(n).select(drawn.alias("k")).groupBy("k").count().collect()}
+    chi = degrees = 0
+    for k in range(draws + 1):
+        expected = n * math.comb(good, k) * math.comb(bad, draws - k) / math.comb(good + bad, draws)
+        if expected > 5:
+            chi += (found.get(k, 0) - expected) ** 2 / expected
+            degrees += 1
+        elif expected == 0:
+            assert k not in found
+    assert chi < degrees + 5 * math.sqrt(2 * degrees) + 5
+
+
+def test_moments_of_draws_from_very_many(spark):
+    good, bad, draws = 10**10, 9 * 10**10, 10**9
+    drawn = shards.hypergeometric(*[F.lit(x).cast("long") for x in (good, bad, draws)], F.lit(5), F.col("id"))
+    mean, deviation = spark.range(4000).select(drawn.alias("k")).agg(F.avg("k"), F.stddev("k")).first()
+    wanted = math.sqrt(draws * 0.1 * 0.9 * (1 - draws / (good + bad)))
+    assert abs(mean - draws * 0.1) < 5 * wanted / math.sqrt(4000) and abs(deviation / wanted - 1) < 0.06
+
+
+def test_the_matrix_has_the_given_sums(spark):
+    counts = spark.createDataFrame([(0, 5), (2, 0), (3, 90), (7, 1), (8, 30)], "part int, n long")
+    room = F.array(*[F.lit(x).cast("long") for x in (40, 1, 0, 85)])
+    rows = {r.part: r.sends for r in shards.matrix(counts, room).collect()}
+    assert {p: sum(s) for p, s in rows.items()} == {0: 5, 2: 0, 3: 90, 7: 1, 8: 30}
+    assert [sum(x) for x in zip(*rows.values())] == [40, 1, 0, 85]
+    assert all(x >= 0 for s in rows.values() for x in s)
+
+
+def test_every_row_is_as_likely_to_go_anywhere(spark):
+    """Shard of a row over many seeds: the row's place in the input says nothing."""
+    table = spark.range(0, 24, 1, 4)
+    seen = Counter()
+    for seed in range(60):
+        for r in shards.shuffled(table, 2, seed=seed).collect():
+            seen[r.id < 12, r.shard] += 1
+    assert abs(seen[True, 0] - 360) < 75
+
+
+def test_only_built_in_functions_run(spark):
+    plan = shards.shuffled(spark.range(0, 100, 1, 3), 8)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
