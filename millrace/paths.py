@@ -32,7 +32,8 @@ def overlap(one: str, other: str) -> bool:
 def read_paths(df: DataFrame) -> list[str]:
     """Root paths of all file scans in ``df``, subqueries included.
 
-    These are a few strings per scan; ``inputFiles`` would bring every file name to the driver.
+    They come in one call per scan: a glob has a root path for every file it matches. Scans that are not Spark's own
+    file relations (other table formats, the newer file readers) say nothing about their paths and are not seen.
     """
     analyzed = df._jdf.queryExecution().analyzed()
     paths = []
@@ -41,7 +42,8 @@ def read_paths(df: DataFrame) -> list[str]:
             if leaf.nodeName().startswith("LogicalRelation"):
                 relation = leaf.relation()
                 if relation.getClass().getSimpleName() == "HadoopFsRelation":
-                    paths += [root.toString() for root in _items(relation.location().rootPaths())]
+                    roots = relation.location().rootPaths().mkString("\0")
+                    paths += roots.split("\0") if roots else []
     return paths
 
 

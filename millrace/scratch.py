@@ -1,14 +1,19 @@
 """Intermediate tables in the folder that the cluster shares.
 
 A written table cuts lineage and survives the loss of the executors that made it. All of them lie
-below one folder per application, which is deleted when the application ends.
+below one folder per application, which is deleted when the application ends; those made within ``scope``
+are deleted when it ends.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 from uuid import uuid4
 
@@ -17,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.paths import resolved
 
 _folders: dict[tuple[str, str], str] = {}
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -28,14 +34,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         fs.mkdirs(path)
         fs.deleteOnExit(path)
         _folders[key] = folder
-    return f"{_folders[key]}/{label}-{uuid4().hex}"
+    return "/".join([_folders[key], *_scopes.get(), f"{label}-{uuid4().hex}"])
 
 
 def scratch_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # Only where the driver is the executor, as in tests, may the folder be this machine's own.
+    if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     return _own_folder()
 
@@ -47,6 +54,20 @@ def _own_folder() -> str:
     return folder
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made within are deleted at its end; results that read them must be written before."""
+    name = f"scope-{uuid4().hex}"
+    token = _scopes.set((*_scopes.get(), name))
+    try:
+        yield
+    finally:
+        own = "/".join([_folders.get((scratch_base(spark), spark.sparkContext.applicationId), ""), *_scopes.get()])
+        _scopes.reset(token)
+        path, fs = resolved(spark, own)
+        fs.delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of what was written.
 

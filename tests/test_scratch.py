@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from millrace.scratch import materialize, scratch_base, scratch_path
+from millrace.scratch import materialize, scope, scratch_base, scratch_path
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
@@ -25,9 +25,21 @@ def test_a_cluster_must_name_the_folder():
     assert scratch_base(Session(spark_checkpoint_dir="hdfs:///ckpt/", spark_master="yarn")) == "hdfs:///ckpt"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_base(Session(spark_master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_base(Session(spark_master="local-cluster[2,1,1024]"))
     assert "millrace-" in scratch_base(Session(spark_master="local[8]"))
 
 
+def test_tables_of_a_scope_go_when_it_ends(spark):
+    with scope(spark):
+        with scope(spark):
+            inner = materialize(spark.range(3), "t").inputFiles()[0]
+        outer = materialize(spark.range(3), "t").inputFiles()[0]
+        assert not os.path.exists(inner.removeprefix("file://")) and os.path.exists(outer.removeprefix("file://"))
+    assert not os.path.exists(outer.removeprefix("file://"))
+    assert "scope-" not in scratch_path(spark, "t")
+
+
 def test_scratch_is_gone_when_the_application_ends(tmp_path):
     code = f"""
 import os, sys
