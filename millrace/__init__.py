@@ -1,6 +1,8 @@
 """Configured batch data jobs on Spark DataFrames."""
 
 from millrace.operators import (
+    Lag,
+    Rolling,
     add_metadata,
     apply_transformations,
     moving,
@@ -28,8 +30,10 @@ from millrace.sources import read_files, read_jdbc
 __all__ = [
     "FileSource",
     "JdbcSource",
+    "Lag",
     "PipelineResult",
     "PipelineSpec",
+    "Rolling",
     "Target",
     "WriteResult",
     "WriteVerificationError",

@@ -1,9 +1,11 @@
 from millrace.operators.columns import add_metadata, apply_transformations, standardize, standardize_columns
-from millrace.operators.ordered import moving, positions
+from millrace.operators.ordered import Lag, Rolling, moving, positions
 from millrace.operators.preview import preview
 from millrace.operators.sql import sql_transform
 
 __all__ = [
+    "Lag",
+    "Rolling",
     "add_metadata",
     "apply_transformations",
     "moving",

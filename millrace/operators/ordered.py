@@ -1,128 +1,219 @@
-"""Row numbers and moving frames that never hold a big group in one task.
+"""Row numbers, lags and rolling frames that never hold a big group in one task.
 
 A plain window sorts each group in one task, which is right as long as groups are small. So groups
 are counted first. The rows of those above a bound are range-partitioned by group and order and
 numbered from end to end; the numbers cut them into blocks, and the window runs per block. A group
-of any size so spreads over many tasks, and all other rows take the plain window.
+of any size so spreads over many tasks, and all other rows take the plain window. Columns are declared, so that
+both ways give the same values: they look back a known number of rows and no further.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.operators.spread import TIE, with_tie_breaker
+from millrace.operators.spread import unused, with_numbers
 from millrace.scratch import materialize
 
-_ROWS, _START, _MARK, _PART, _OFFSET = "__rows", "__start", "__mark", "__part", "__offset"
-_PLACE, _HOME, _BLOCK = "__place", "__home", "__block"
 _ID_BITS = 33  # monotonically_increasing_id keeps the row within the partition in the low bits
-_MAX_BIG = 100_000  # bounds the number of big groups
-_MAX_BROADCAST = 64 << 20  # characters of their keys
+_MAX_BIG = 100_000  # groups above the bound: a window over one row each of them is one task's work
+_HOW = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count}
+
+
+@dataclass(frozen=True)
+class Lag:
+    """The value of ``column`` ``n`` rows before; null where the group does not reach back so far."""
+
+    column: str
+    n: int = 1
+
+    @property
+    def reach(self) -> int:
+        return self.n
+
+    def over(self, window: WindowSpec) -> Column:
+        return F.lag(_named(self.column), self.n).over(window)
+
+
+@dataclass(frozen=True)
+class Rolling:
+    """``how`` (sum, min, max, avg, count) of ``column`` over the last ``rows`` rows, this one included."""
+
+    how: str
+    column: str
+    rows: int
+
+    @property
+    def reach(self) -> int:
+        return self.rows - 1
+
+    def over(self, window: WindowSpec) -> Column:
+        return _HOW[self.how](_named(self.column)).over(window.rowsBetween(1 - self.rows, 0))
 
 
 def positions(
-    df: DataFrame, by: Sequence[str], order_by: Sequence[str | Column], name: str = "position", block: int = 1 << 20
+    df: DataFrame,
+    by: Sequence[str],
+    order_by: Sequence[str | Column],
+    name: str = "position",
+    block: int | None = 1 << 20,
 ) -> DataFrame:
     """Number the rows of each group from 1, like ``row_number()``; see :func:`moving`."""
-    return moving(df, by, order_by, 0, lambda window: {}, name, block)
+    return moving(df, by, order_by, {}, name, block)
 
 
 def moving(
     df: DataFrame,
     by: Sequence[str],
     order_by: Sequence[str | Column],
-    reach: int,
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    columns: Mapping[str, Lag | Rolling],
     position: str | None = None,
-    block: int = 1 << 20,
+    block: int | None = 1 << 20,
 ) -> DataFrame:
-    """Add window columns that look back at most ``reach`` rows, and the row number if wanted.
+    """Add window columns by name, and the row number if ``position`` names it.
 
-    ``columns`` makes the columns from the window it is given; their frames must count rows. A group
-    of more than ``block`` rows is cut into blocks of that size, each of which also sees the last
-    ``reach`` rows of the one before. ``order_by`` should end in a key of the group; rows that tie
-    come in any order.
+    A group of more than ``block`` rows is cut into blocks of that size, each of which also sees as many
+    rows of the one before as the columns look back. At most 100,000 groups may be that big; with
+    more the call is refused, and a bigger ``block`` is needed. ``block=None`` is for callers who know that
+    their groups are small: groups are not counted then and none is cut. Without ``by`` all rows are one group.
+    ``order_by`` should end in a key of the group; rows that tie come in any order.
 
+    Groups are counted, and big ones sorted and written, when this is called, not when its result is read.
     ``df`` is read several times, so write one that is costly or not deterministic to the scratch
     folder first (:func:`millrace.scratch.materialize`).
     """
-    if not 0 <= reach <= block:
-        raise ValueError("reach must lie between 0 and block")
-    by = list(by)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(_ROWS))
-    total, largest = (found or 0 for found in sizes.agg(F.sum(_ROWS), F.max(_ROWS)).first())
-    block = max(block, -(-total // _MAX_BIG))
-
-    def plain(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order_by)
-        number = {} if position is None else {position: F.row_number().over(window).cast("long")}
-        return rows.withColumns({**columns(window), **number})
-
-    if largest <= block:
-        return plain(df)
-    big = _broadcast_if_small(materialize(sizes.where(F.col(_ROWS) > block), "big"), by)
-    placed = _placed(_joined(df, big, by, "left_semi"), big, by, order_by)
-    blocked = _blocked(placed, by, reach, columns, block)
-    number = [] if position is None else [(F.col(_PLACE) + 1).alias(position)]
-    names = [name for name in blocked.columns if name not in (_PLACE, _HOME, _BLOCK)]
-    return plain(_joined(df, big, by, "left_anti")).unionByName(blocked.select(*names, *number))
-
-
-def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: Sequence[str | Column]) -> DataFrame:
+    columns, by = dict(columns), list(by)
+    _check(df, columns, position, block)
+    taken = [*df.columns, *columns, *([position] if position else [])]
+    names = _Names(*(unused(taken, f"__{part}") for part in _Names.__dataclass_fields__))
+    rows = df
+    if not by:
+        rows, by = df.withColumn(names.all, F.lit(0)), [names.all]
+    order_by = [_named(c) if isinstance(c, str) else c for c in order_by]
+
+    def plain(some: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*map(_named, by)).orderBy(*order_by)
+        return some.withColumns(_results(window, columns, position and F.row_number().over(window).cast("long"), position))
+
+    def done(some: DataFrame) -> DataFrame:
+        return some.select(*map(_named, taken))
+
+    if block is None:
+        return done(plain(rows))
+    sizes = rows.groupBy(*map(_named, by)).agg(F.count(F.lit(1)).alias(names.rows))
+    big = materialize(sizes.where(F.col(names.rows) > block), "big")
+    n_big = big.count()
+    if n_big > _MAX_BIG:
+        raise ValueError(f"{n_big} groups have more than {block} rows; at most {_MAX_BIG} may: take a bigger block")
+    if not n_big:
+        return done(plain(rows))
+    placed = _placed(_joined(rows, big, by, "left_semi"), big, by, order_by, names)
+    blocked = _blocked(placed, by, columns, position, block, names)
+    return done(plain(_joined(rows, big, by, "left_anti"))).unionByName(done(blocked))
+
+
+@dataclass(frozen=True)
+class _Names:
+    """Helper columns, named unlike any column of the data or of the result."""
+
+    all: str
+    rows: str
+    start: str
+    mark: str
+    part: str
+    offset: str
+    place: str
+    home: str
+    block: str
+
+
+def _check(df: DataFrame, columns: Mapping[str, Lag | Rolling], position: str | None, block: int | None) -> None:
+    for name, column in columns.items():
+        if not isinstance(column, (Lag, Rolling)):
+            raise TypeError(f"{name}: declare the column as Lag or Rolling")
+        if isinstance(column, Lag) and column.n < 1 or isinstance(column, Rolling) and column.rows < 1:
+            raise ValueError(f"{name}: a column looks back, by one row at least")
+        if isinstance(column, Rolling) and column.how not in _HOW:
+            raise ValueError(f"{name}: unknown {column.how!r}; expected one of {', '.join(_HOW)}")
+        if block is not None and column.reach > block:
+            raise ValueError(f"{name}: reach {column.reach} must not exceed the block of {block} rows")
+    if block is not None and block < 1:
+        raise ValueError("block must be one row at least")
+    results = [*columns, *([position] if position else [])]
+    seen = [name.lower() for name in df.columns]
+    for name in results:
+        if name.lower() in seen:
+            raise ValueError(f"The data already has a column {name}")
+        seen.append(name.lower())
+    odd = [c.name for c in df.schema if "interval" in c.dataType.simpleString()]
+    if odd:
+        raise ValueError(f"Interval columns cannot be written to the scratch folder: {', '.join(odd)}")
+
+
+def _named(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def _results(window: WindowSpec, columns: Mapping[str, Lag | Rolling], number: Column | None, position: str | None):
+    found = {name: column.over(window) for name, column in columns.items()}
+    return found if position is None else {**found, position: number}
+
+
+def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: list[Column], names: _Names) -> DataFrame:
     """The rows of big groups with their place in the group, from 0.
 
     The sorted rows are written once, so that places and rows agree even if an executor is lost.
     """
-    names, part = rows.columns, F.shiftright(_MARK, _ID_BITS)
-    in_order = with_tie_breaker(rows).orderBy(*by, *order_by, TIE).drop(TIE)
-    ordered = materialize(in_order.withColumn(_MARK, F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright(names.mark, _ID_BITS)
+    numbered, tie = with_numbers(rows)
+    in_order = numbered.orderBy(*map(_named, by), *order_by, tie).drop(tie)
+    ordered = materialize(in_order.withColumn(names.mark, F.monotonically_increasing_id()), "ordered")
     # One row of two numbers per sort partition, and one row per big group: windows over all of
-    # them are small.
+    # them are small. Both are written, so Spark knows their size and broadcasts them if they are small.
     offsets = materialize(
-        ordered.groupBy(part.alias(_PART))
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .select(_PART, _before(_PART).alias(_OFFSET)),
+        ordered.groupBy(part.alias(names.part))
+        .agg(F.count(F.lit(1)).alias(names.rows))
+        .select(names.part, _before(names, F.col(names.part)).alias(names.offset)),
         "offsets",
     )
-    starts = big.select(*by, _before(*by).alias(_START))
-    index = F.col(_OFFSET) + F.col(_MARK).bitwiseAND((1 << _ID_BITS) - 1)
-    indexed = ordered.join(F.broadcast(offsets), part == F.col(_PART))
-    return _joined(indexed, starts, by, "inner").select(*names, (index - F.col(_START)).alias(_PLACE))
+    starts = big.select(*map(_named, by), _before(names, *map(_named, by)).alias(names.start))
+    starts = materialize(starts, "starts")
+    index = F.col(names.offset) + F.col(names.mark).bitwiseAND((1 << _ID_BITS) - 1)
+    indexed = ordered.join(offsets, part == F.col(names.part))
+    return _joined(indexed, starts, by, "inner").select(
+        *map(_named, rows.columns), (index - F.col(names.start)).alias(names.place)
+    )
 
 
-def _before(*order: str) -> Column:
+def _before(names: _Names, *order: Column) -> Column:
     """Sum of the counts that come earlier."""
     window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(_ROWS).over(window), F.lit(0))
+    return F.coalesce(F.sum(names.rows).over(window), F.lit(0))
 
 
 def _blocked(
-    rows: DataFrame, by: list[str], reach: int, columns: Callable[[WindowSpec], dict[str, Column]], block: int
+    rows: DataFrame, by: list[str], columns: Mapping[str, Lag | Rolling], position: str | None, block: int, names: _Names
 ) -> DataFrame:
-    place = F.col(_PLACE)
-    rows = rows.withColumn(_HOME, ((place - place % block) / block).cast("long"))
+    place, reach = F.col(names.place), max([0, *(column.reach for column in columns.values())])
+    rows = rows.withColumn(names.home, ((place - place % block) / block).cast("long"))
     if reach:
-        copied = F.when(place % block >= block - reach, F.array(_HOME, F.col(_HOME) + 1))
-        rows = rows.withColumn(_BLOCK, F.explode(F.coalesce(copied, F.array(_HOME))))
+        copied = F.when(place % block >= block - reach, F.array(names.home, F.col(names.home) + 1))
+        rows = rows.withColumn(names.block, F.explode(F.coalesce(copied, F.array(names.home))))
     else:
-        rows = rows.withColumn(_BLOCK, F.col(_HOME))
-    window = Window.partitionBy(*by, _BLOCK).orderBy(_PLACE)
-    return rows.withColumns(columns(window)).where(F.col(_BLOCK) == F.col(_HOME))
-
-
-def _broadcast_if_small(big: DataFrame, by: list[str]) -> DataFrame:
-    """Keys may be long texts: beyond the bound Spark picks the joins, and splits skewed ones."""
-    keys = big.agg(F.sum(F.length(F.to_json(F.struct(*by))))).first()[0]
-    return F.broadcast(big) if keys <= _MAX_BROADCAST else big
+        rows = rows.withColumn(names.block, F.col(names.home))
+    window = Window.partitionBy(*map(_named, by), names.block).orderBy(names.place)
+    found = rows.withColumns(_results(window, columns, place + 1, position))
+    return found.where(F.col(names.block) == F.col(names.home))
 
 
 def _joined(rows: DataFrame, few: DataFrame, by: list[str], how: str) -> DataFrame:
     """Join on the group, null being a group, to a frame with one row per big group."""
-    renamed = few.withColumnsRenamed({c: f"__few_{c}" for c in by})
-    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__few_{c}`")) for c in by])
-    return rows.join(renamed, same, how).drop(*[f"__few_{c}" for c in by])
+    own = {c: unused([*rows.columns, *few.columns], f"__few_{i}") for i, c in enumerate(by)}
+    renamed = few.select(*[_named(c).alias(own.get(c, c)) for c in few.columns])
+    same = reduce(and_, [_named(c).eqNullSafe(_named(own[c])) for c in by])
+    return rows.join(renamed, same, how).drop(*own.values())

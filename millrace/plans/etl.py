@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.formats import checked_format
@@ -61,7 +60,13 @@ class JdbcSource:
 
 @dataclass(frozen=True)
 class Target:
-    """Where to write. ``run_date`` adds a partition column that a rerun of the day replaces."""
+    """Where to write.
+
+    ``run_date`` puts the data into a folder of that day, ``execution_date=<day>`` below ``path``, which readers
+    of ``path`` see as a partition column. Overwriting replaces the whole day, whatever rows the rerun
+    has, and no other day; appending, ``ignore`` and ``error`` look at that day alone. All days
+    of a target must have the same ``partition_by``, or ``path`` cannot be read as one table.
+    """
 
     path: str
     fmt: str = "parquet"
@@ -72,10 +77,18 @@ class Target:
     rebalance: bool = False
     verify: bool = False
     options: Mapping[str, object] = field(default_factory=dict)
+    split_copies: bool = False
+
+    @property
+    def replaces_a_folder(self) -> bool:
+        return self.mode.lower() == "overwrite" and (self.run_date is not None or not self.partition_by)
 
     @property
-    def replaces_everything(self) -> bool:
-        return self.mode.lower() == "overwrite" and self.run_date is None and not self.partition_by
+    def folder(self) -> str:
+        """What is written, and replaced, as a whole."""
+        if self.run_date is None:
+            return self.path
+        return f"{self.path.rstrip('/')}/{RUN_DATE}={_day(self.run_date)}"
 
 
 @dataclass(frozen=True)
@@ -109,8 +122,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, count_input: bool = Fa
     _check_target(spec.target)
     source = spec.source.load(spark)
     result = shape(source, spec)
-    if spec.target.replaces_everything:
-        refuse_overlap(result, spec.target.path)
+    if spec.target.replaces_a_folder:
+        refuse_overlap(result, spec.target.folder)
     rows_in = source.count() if count_input else None
     return deliver(result, spec.target, rows_in)
 
@@ -126,22 +139,22 @@ def shape(source: DataFrame, spec: PipelineSpec) -> DataFrame:
 
 def deliver(df: DataFrame, target: Target, rows_in: int | None = None) -> PipelineResult:
     _check_target(target)
-    partition_by = list(target.partition_by)
+    options = dict(target.options)
     if target.run_date is not None:
-        if RUN_DATE in df.columns:
+        if RUN_DATE in [name.lower() for name in df.columns]:
             raise ValueError(f"The data already has a column {RUN_DATE}")
-        df = df.withColumn(RUN_DATE, F.lit(str(target.run_date)).cast("date"))
-        partition_by.insert(0, RUN_DATE)
+        options.setdefault("partitionOverwriteMode", "static")
     written = write_files(
         df,
-        target.path,
+        target.folder,
         target.fmt,
         target.mode,
-        partition_by,
+        target.partition_by,
         target.sort_by,
         target.rebalance,
         target.verify,
-        target.options,
+        options,
+        target.split_copies,
     )
     return PipelineResult(target.path, written.rows, rows_in, written.skipped)
 
@@ -157,7 +170,8 @@ def spec_from_maps(
     """A spec from plain string maps, as a job's configuration file would hold them.
 
     ``source_type`` is ``oracle`` (``project_id``, ``secret_id``, ``query``) or ``gcs``
-    (``file_path``, ``file_format``, ``header``), in any case. ``transform`` may hold ``sql_query``,
+    (``file_path``, ``file_format``, ``header``, and ``multi_line`` and ``schema`` as :func:`read_files`
+    takes them), in any case. ``transform`` may hold ``sql_query``,
     ``temp_view`` and one ``transform_<column>`` per step; ``target`` holds ``output_path``,
     ``file_format`` and ``mode``. ``credentials`` looks up ``url`` and connection options by
     project and secret.
@@ -170,7 +184,11 @@ def spec_from_maps(
         chosen: FileSource | JdbcSource = JdbcSource(found.pop("url"), source["query"], found)
     elif kind == "gcs":
         chosen = FileSource(
-            source["file_path"], source.get("file_format", "csv"), _flag(source.get("header", "true"))
+            source["file_path"],
+            source.get("file_format", "csv"),
+            _flag(source.get("header", "true")),
+            source.get("schema"),
+            _flag(source["multi_line"]) if "multi_line" in source else None,
         )
     else:
         raise ValueError(f"Unsupported source type: {source_type!r}")
@@ -191,6 +209,10 @@ def _check_target(target: Target) -> None:
     checked_mode(target.mode)
 
 
+def _day(run_date: date | str) -> str:
+    return date.fromisoformat(str(run_date)).isoformat()
+
+
 def _flag(text: str) -> bool:
     if text.lower() not in ("true", "false"):
         raise ValueError(f"Expected true or false, not {text!r}")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.formats import CSV_NULL, TIMESTAMP_FORMATS, checked_format
-from millrace.operators.spread import TIE, with_tie_breaker
+from millrace.operators.spread import with_hashes, with_numbers
 from millrace.paths import overlap, path_exists, qualified, read_paths
 from millrace.sources.files import read_files
 
@@ -45,12 +45,17 @@ def write_files(
     rebalance: bool = False,
     verify: bool = False,
     options: Mapping[str, object] | None = None,
+    split_copies: bool = False,
 ) -> WriteResult:
     """Write ``df`` below ``path`` in a single job that also counts its rows.
 
     With ``partition_by``, ``mode="overwrite"`` replaces only the partitions that ``df`` has rows
-    for. ``sort_by`` orders the rows across all output files, and lets rows of equal keys, even copies
-    of one row, lie in several of them. ``rebalance`` shuffles rows of equal
+    for, unless the option ``partitionOverwriteMode`` is ``static``: then all of ``path`` goes. An empty text
+    is refused as a partition value, because folders cannot tell it from null; readers that want other types than
+    folder names suggest (``007``) pass a schema.
+
+    ``sort_by`` orders the rows across all output files and lets rows of equal keys lie in several of them;
+    ``split_copies`` lets even copies of one row, at the price of a sort within each task before. ``rebalance`` shuffles rows of equal
     partition values together and evens out the file sizes; Spark splits values that are too big
     for one task. ``verify`` reads the target back and compares counts. ``mode="ignore"`` leaves an
     existing target alone.
@@ -62,7 +67,7 @@ def write_files(
     spark = df.sparkSession
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     sort_by = [sort_by] if isinstance(sort_by, (str, Column)) else list(sort_by)
-    if verify and partition_by and mode == "overwrite":
+    if verify and mode == "overwrite" and _dynamic(partition_by, options):
         raise ValueError("verify cannot tell replaced partitions from kept ones; verify an unpartitioned write")
     if mode == "overwrite" and not _dynamic(partition_by, options):
         refuse_overlap(df, path)
@@ -76,7 +81,7 @@ def write_files(
     counted = Observation()
     # The count sits in the stage that writes: a stage before a shuffle may run a task twice,
     # or once more to sample sort ranges, and would count it again.
-    placed = _placed(df, partition_by, sort_by, rebalance).observe(counted, F.count(F.lit(1)).alias("rows"))
+    placed = _placed(_checked(df, partition_by), partition_by, sort_by, rebalance, split_copies).observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = placed.write.mode(mode).format(fmt).options(**_options(df, fmt, partition_by))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -86,6 +91,8 @@ def write_files(
     rows = _reported(counted)
     if verify:
         found = stored() - before
+        if rows is None:  # not a mismatch: the count was lost, so the data is counted once more
+            rows = df.count()
         if found != rows:
             raise WriteVerificationError(f"Wrote {rows} rows to {path} but found {found}")
     return WriteResult(path, fmt, mode, rows)
@@ -118,9 +125,21 @@ def _dynamic(partition_by: list[str], options: Mapping[str, object] | None) -> b
     return bool(partition_by) and chosen.get("partitionoverwritemode", "dynamic") == "dynamic"
 
 
-def _placed(df: DataFrame, partition_by: list[str], sort_by: list[str | Column], rebalance: bool) -> DataFrame:
+def _checked(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """An empty text among the partition values stops the write."""
+    for name in partition_by:
+        if df.schema[name].dataType.simpleString() == "string":
+            told = F.raise_error(F.lit(f"Partition column {name} holds an empty text"))
+            df = df.withColumn(name, F.when(F.col(f"`{name}`") == "", told).otherwise(F.col(f"`{name}`")))
+    return df
+
+
+def _placed(
+    df: DataFrame, partition_by: list[str], sort_by: list[str | Column], rebalance: bool, split_copies: bool
+) -> DataFrame:
     if sort_by:
-        return with_tie_breaker(df).orderBy(*partition_by, *sort_by, TIE).drop(TIE)
+        tied, tie = with_numbers(df) if split_copies else with_hashes(df)
+        return tied.orderBy(*partition_by, *sort_by, tie).drop(tie)
     if rebalance:
         return df.hint("rebalance", *partition_by)
     return df

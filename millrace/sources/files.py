@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.formats import CSV_NULL, checked_format
 
@@ -18,6 +18,7 @@ def read_files(
     schema: StructType | str | None = None,
     multi_line: bool | None = None,
     options: Mapping[str, object] | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Scan CSV, JSON or Parquet files below ``path``.
 
@@ -26,9 +27,21 @@ def read_files(
 
     ``multi_line`` lets a CSV field or a JSON document span lines. Such a file is read by a single
     task, so turn it off for large CSV files without line breaks inside fields. It defaults to
-    true for CSV and to false for JSON, where each line is one object and a bad line is an error.
+    true for CSV and to false for JSON, where each line is one object.
+
+    A row of CSV or JSON that does not fit the columns that are read is an error: too few fields or too many, or a value
+    that is not of its type. ``corrupt_column`` keeps such rows instead, as they stand in the file, in a text column
+    of that name, which is null for all others. It needs ``schema``, and there is then no check of
+    a CSV header.
     """
     fmt = checked_format(fmt)
+    if corrupt_column is not None and (schema is None or fmt == "parquet"):
+        raise ValueError("corrupt_column needs CSV or JSON and a schema")
+    strict: dict[str, object] = {"mode": "FAILFAST"}
+    if corrupt_column is not None:
+        shape = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = StructType([*shape.fields, StructField(corrupt_column, StringType())])
+        strict = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
     reader = spark.read
     if fmt == "csv":
         reader = reader.options(
@@ -37,10 +50,11 @@ def read_files(
             escape='"',
             nullValue=CSV_NULL,
             inferSchema=schema is None,
-            enforceSchema=schema is None or not header,
+            enforceSchema=schema is None or not header or corrupt_column is not None,
+            **strict,
         )
     elif fmt == "json":
-        reader = reader.options(multiLine=bool(multi_line), mode="FAILFAST")
+        reader = reader.options(multiLine=bool(multi_line), **strict)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**(options or {})).format(fmt).load(path)

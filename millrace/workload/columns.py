@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.money import cents, total_of, wide
-from millrace.operators import add_metadata, apply_transformations, moving, standardize, standardize_columns
+from millrace.operators import (
+    Lag,
+    Rolling,
+    add_metadata,
+    apply_transformations,
+    moving,
+    positions,
+    standardize,
+    standardize_columns,
+)
 from millrace.workload.case import Case, money, table
 
 def _clock():
@@ -69,20 +78,32 @@ def count_col_vs_star(spark, folder):
 
 def row_number_and_lag(spark, folder):
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
-    return moving(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], 1, lambda w: {"prev": F.lag("o_orderkey").over(w)}, "rn"
-    ).select("o_orderkey", "rn", "prev")
+    return moving(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"prev": Lag("o_orderkey")}, "rn").select(
+        "o_orderkey", "rn", "prev"
+    )
 
 
 def rolling_sum(spark, folder):
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", cents("value").alias("value"))
-    return moving(
-        events,
-        ["user_id"],
-        ["ts", "event_id"],
-        2,
-        lambda w: {"s3": wide(F.sum("value").over(w.rowsBetween(-2, 0)))},
-    ).select("event_id", "s3")
+    return moving(events, ["user_id"], ["ts", "event_id"], {"s3": Rolling("sum", "value", 3)}).select(
+        "event_id", wide(F.col("s3")).alias("s3")
+    )
+
+
+def blocks_row_number(spark, folder):
+    """All lines as few groups, each cut into blocks."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
+    return positions(lines, ["l_returnflag"], order, "rn", block=1000).drop("l_shipdate")
+
+
+def blocks_rolling(spark, folder):
+    """Events of a type, cut into blocks that a frame reaches across."""
+    events = table(spark, folder, "events").select("event_type", "ts", "event_id", cents("value").alias("value"))
+    columns = {"s5": Rolling("sum", "value", 5), "n5": Rolling("count", "value", 5), "prev": Lag("event_id", 3)}
+    return moving(events, ["event_type"], ["ts", "event_id"], columns, block=100).select(
+        "event_id", wide(F.col("s5")).alias("s5"), "n5", "prev"
+    )
 
 
 def group_totals(spark, folder):
@@ -150,6 +171,20 @@ CASES = {
     select o_orderkey, row_number() over w as rn, lag(o_orderkey) over w as prev
     from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)""",
     ),
+    "window_blocks_row_number": Case(
+        blocks_row_number,
+        """
+    select l_returnflag, l_orderkey, l_linenumber, l_partkey, row_number() over (
+             partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey) as rn
+    from lineitem""",
+    ),
+    "window_blocks_rolling": Case(
+        blocks_rolling,
+        """
+    select event_id, cast(sum(cast(value as decimal(18,2))) over w as decimal(38,2)) as s5, count(value) over w as n5,
+           lag(event_id, 3) over (partition by event_type order by ts, event_id) as prev
+    from events window w as (partition by event_type order by ts, event_id rows between 4 preceding and current row)""",
+    ),
     "window_rolling_sum": Case(
         rolling_sum,
         """

@@ -11,7 +11,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millrace import WriteVerificationError, read_files, write_files
-from millrace.operators.spread import TIE, with_tie_breaker
+from millrace.operators.spread import with_numbers
 from millrace.sinks import files as sink
 
 AWKWARD = [
@@ -88,9 +88,37 @@ def test_csv_headers(spark, tmp_path):
     assert (empty.count(), empty.dtypes) == (0, [("a", "string"), ("b", "string")])
 
 
-def test_csv_short_and_long_rows(spark, tmp_path):
-    path = put(tmp_path / "c", "a,b\n1\n2,3,4\n")
-    assert sorted(map(tuple, read_files(spark, path).collect())) == [(1, None), (2, 3)]
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("schema", [None, "a int, b string"])
+@pytest.mark.parametrize("rows", ["1\n", "2,3,4\n", "bad,y\n"])
+def test_csv_rows_that_do_not_fit_are_errors(spark, tmp_path, rows, schema, multi_line):
+    path = put(tmp_path / "c", "a,b\n1,x\n" + rows)
+    if schema is None and rows.startswith("bad"):
+        assert read_files(spark, path, multi_line=multi_line).dtypes[0] == ("a", "string")
+        return
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        read_files(spark, path, schema=schema, multi_line=multi_line).collect()
+
+
+def test_a_line_break_in_a_field_needs_multi_line(spark, tmp_path):
+    path = put(tmp_path / "c", 'a,b\n1,"x\ny"\n')
+    assert tuple(read_files(spark, path, schema="a int, b string").first()) == (1, "x\ny")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        read_files(spark, path, schema="a int, b string", multi_line=False).collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rows_that_do_not_fit_can_be_kept(spark, tmp_path, multi_line):
+    path = put(tmp_path / "c", "a,b\n1,x\nbad,y\n3,z,EXTRA\n4\n")
+    rows = read_files(spark, path, schema="a int, b string", multi_line=multi_line, corrupt_column="odd")
+    assert rows.columns == ["a", "b", "odd"]
+    assert sorted(r.odd for r in rows.collect() if r.odd is not None) == ["3,z,EXTRA", "4", "bad,y"]
+    assert [tuple(r) for r in rows.collect() if r.odd is None] == [(1, "x", None)]
+    lines = put(tmp_path / "j", '{"a": 1}\n{"a": \n')
+    assert {tuple(r) for r in read_files(spark, lines, "json", schema="a int", corrupt_column="odd").collect()} == {(1, None), (None, '{"a": ')}
+    for fmt, schema in (("csv", None), ("parquet", "a int")):
+        with pytest.raises(ValueError, match="corrupt_column"):
+            read_files(spark, path, fmt, schema=schema, corrupt_column="odd")
 
 
 def test_csv_schema_must_fit_the_header(spark, tmp_path):
@@ -232,8 +260,7 @@ def test_a_count_that_never_comes_does_not_hold_up_the_job(spark, tmp_path, monk
     path = str(tmp_path / "t")
     assert write_files(spark.range(10), path).rows is None
     assert spark.read.parquet(path).count() == 10
-    with pytest.raises(WriteVerificationError, match="Wrote None rows"):
-        write_files(spark.range(10), path, verify=True)
+    assert write_files(spark.range(10), path, verify=True).rows == 10  # counted once more
 
 
 def test_sorted_files_follow_one_another(spark, tmp_path):
@@ -250,6 +277,39 @@ def test_sorted_files_follow_one_another(spark, tmp_path):
     assert all(a.lo >= b.hi for a, b in zip(parts, parts[1:]))
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_helper_columns_leave_the_data_alone(spark, tmp_path, copies):
+    df = spark.range(0, 500, 1, 4).select("id", (F.col("id") % 7).alias("g"), (-F.col("id")).alias("__tie"), F.lit("x").alias("___TIE"))
+    path = str(tmp_path / "t")
+    write_files(df, path, sort_by=["__tie"], split_copies=copies)
+    back = spark.read.parquet(path)
+    assert back.columns == df.columns and back.exceptAll(df).isEmpty() and back.count() == 500
+    firsts = back.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.min("__tie"), F.max("__tie")).orderBy("f").collect()
+    assert all(a[2] <= b[1] for a, b in zip(firsts, firsts[1:]))
+
+
+def test_no_task_sorts_before_rows_are_dealt_unless_asked(spark):
+    df = spark.range(0, 500, 1, 4)
+    plans = [sink._placed(df, [], ["id"], False, c)._jdf.queryExecution().executedPlan().toString() for c in (False, True)]
+    assert [p.count("Sort [") for p in plans] == [1, 2]
+
+
+def test_an_empty_text_is_no_partition(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "id long, p string")
+    with pytest.raises(Exception, match="empty text"):
+        write_files(df, str(tmp_path / "t"), partition_by=["p"])
+    path = str(tmp_path / "u")
+    assert write_files(df.where("id <> 2"), path, partition_by=["p"]).rows == 2
+    assert sorted(map(str, spark.read.parquet(path).select("id", "p").collect())) == ["Row(id=1, p='a')", "Row(id=3, p=None)"]
+
+
+def test_many_root_paths_come_in_one_call(spark, tmp_path):
+    for k in range(30):
+        (tmp_path / f"{k}.csv").write_text("a\n1\n")
+    found = sink.read_paths(read_files(spark, f"{tmp_path}/*.csv", schema="a int"))
+    assert len(found) == 30 and all(f.startswith("file:/") and f.endswith(".csv") for f in found)
+
+
 @pytest.mark.parametrize("copies", [False, True])
 def test_a_hot_sort_value_is_split(spark, copies):
     hot = F.col("id") % 3 == 0
@@ -258,7 +318,7 @@ def test_a_hot_sort_value_is_split(spark, copies):
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        placed = sink._placed(df, [], [F.desc("v")], False)
+        placed = sink._placed(df, [], [F.desc("v")], False, copies)
         biggest = placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -270,9 +330,10 @@ def test_a_task_that_runs_again_numbers_its_rows_alike(spark):
     rows = [(i % 50, float(i % 7), {"k": i % 3}) for i in range(3000)]
     one = spark.createDataFrame(rows, "a int, b double, m map<string,int>").coalesce(1)
     other = spark.createDataFrame(rows[::-1], one.schema).coalesce(1)
-    numbered = [sorted(map(str, with_tie_breaker(df).collect())) for df in (one, other)]
+    numbered = [sorted(map(str, with_numbers(df)[0].collect())) for df in (one, other)]
     assert numbered[0] == numbered[1]
-    assert with_tie_breaker(one).select(TIE).distinct().count() == 3000
+    df, name = with_numbers(one)
+    assert df.select(name).distinct().count() == 3000
 
 
 def test_counts_with_a_sort_are_not_doubled(spark, tmp_path):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import moving, ordered, positions
+from millrace.operators import Lag, Rolling, moving, ordered, positions
 
 
 @pytest.fixture(scope="module")
@@ -34,53 +34,104 @@ def test_positions_equal_row_number(skewed, window):
 
 @pytest.mark.parametrize("block", [3, 50, 999, 4000, 1 << 20])
 def test_frames_across_blocks(skewed, window, block):
-    def columns(w):
-        return {"prev": F.lag("id", 3).over(w), "s": F.sum("v").over(w.rowsBetween(-2, 0))}
-
-    got = moving(skewed, ["g"], [F.desc("v"), "id"], 3, columns, "rn", block)
-    want = skewed.withColumns({**columns(window), "rn": F.row_number().over(window).cast("long")})
+    columns = {"prev": Lag("id", 3), "s": Rolling("sum", "v", 3), "m": Rolling("avg", "v", 2), "n": Rolling("count", "g", 3)}
+    got = moving(skewed, ["g"], [F.desc("v"), "id"], columns, "rn", block)
+    want = skewed.withColumns(
+        {
+            "prev": F.lag("id", 3).over(window),
+            "s": F.sum("v").over(window.rowsBetween(-2, 0)),
+            "m": F.avg("v").over(window.rowsBetween(-1, 0)),
+            "n": F.count("g").over(window.rowsBetween(-2, 0)),
+            "rn": F.row_number().over(window).cast("long"),
+        }
+    )
+    assert got.columns == want.columns
     assert rows_of(got) == rows_of(want)
 
 
+@pytest.mark.parametrize("block", [10, 1 << 20, None])
+def test_odd_names_and_no_groups(spark, block):
+    rows = [(i, i % 3, f"t{i}", i, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "`a.b` long, `g``x` long, __tie string, __start long, __block long")
+    got = moving(df, ["g`x"], ["a.b"], {"p.q": Lag("a.b"), "__place": Rolling("max", "__start", 2)}, "__home", block)
+    window = Window.partitionBy("`g``x`").orderBy("`a.b`")
+    want = df.withColumns(
+        {
+            "p.q": F.lag("`a.b`").over(window),
+            "__place": F.max("__start").over(window.rowsBetween(-1, 0)),
+            "__home": F.row_number().over(window).cast("long"),
+        }
+    )
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
+    alone = moving(df, [], ["a.b"], {"p": Lag("a.b", 7)}, "n", block)
+    assert sorted((r["a.b"], r.p, r.n) for r in alone.collect()) == sorted(
+        ((i, i - 7 if i > 6 else None, i + 1) for i in range(100)), key=lambda r: r[0]
+    )
+
+
+@pytest.mark.parametrize("block", [10, 1 << 20, None])
+def test_what_cannot_be_the_same_at_every_size_is_refused(spark, skewed, block):
+    def call(columns, position=None, df=skewed):
+        return moving(df, ["g"], ["id"], columns, position, block)
+
+    with pytest.raises(TypeError, match="Lag or Rolling"):
+        call({"r": F.rank().over(Window.partitionBy("g").orderBy("id"))})
+    for bad in (Lag("id", -1), Lag("id", 0), Rolling("sum", "v", 0), Rolling("first", "v", 2)):
+        with pytest.raises(ValueError):
+            call({"r": bad})
+    for name in ("id", "G"):
+        with pytest.raises(ValueError, match="already"):
+            call({name: Lag("id")})
+        with pytest.raises(ValueError, match="already"):
+            call({}, name)
+    with pytest.raises(ValueError, match="already"):
+        call({"n": Lag("id")}, "N")
+    with pytest.raises(ValueError, match="Interval"):
+        call({"p": Lag("id")}, None, skewed.withColumn("i", F.expr("interval 1 day")))
+
+
+def test_more_big_groups_than_a_task_can_order_are_refused(skewed, monkeypatch):
+    monkeypatch.setattr(ordered, "_MAX_BIG", 2)
+    with pytest.raises(ValueError, match="bigger block"):
+        positions(skewed, ["g"], ["id"], "n", 20)
+
+
 def windows_of(df):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     return [line for line in plan.splitlines() if "Window [lag(" in line]
 
 
 def test_only_small_groups_take_a_plain_window(skewed):
-    def prev(w):
-        return {"p": F.lag("id").over(w)}
-
-    mixed = windows_of(moving(skewed, ["g"], ["v", "id"], 1, prev, None, 400))
+    prev = {"p": Lag("id")}
+    mixed = windows_of(moving(skewed, ["g"], ["v", "id"], prev, None, 400))
     assert len(mixed) == 2 and sum("__block" in line for line in mixed) == 1
-    plain = windows_of(moving(skewed, ["g"], ["v", "id"], 1, prev, "rn", 2000))
+    plain = windows_of(moving(skewed, ["g"], ["v", "id"], prev, "rn", 2000))
     assert plain and not any("__block" in line for line in plain)
 
 
-@pytest.mark.parametrize("bound", [64 << 20, 0])
+@pytest.mark.parametrize("bound", ["10m", "-1"])
 @pytest.mark.parametrize("block", [100, 700])
-def test_positions_of_several_big_groups(spark, skewed, window, block, bound, monkeypatch):
-    monkeypatch.setattr(ordered, "_MAX_BROADCAST", bound)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_positions_of_several_big_groups(spark, skewed, window, block, bound):
+    """What is broadcast is Spark's choice, by the size of written tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     try:
         got = positions(skewed, ["g"], [F.desc("v"), "id"], "n", block)
         plan = got._jdf.queryExecution().executedPlan().toString()
         rows = rows_of(got)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The offsets always, the keys of big groups twice or never.
-    assert plan.count("BroadcastHashJoin") == (3 if bound else 1)
+    assert plan.count("BroadcastHashJoin") == (0 if bound == "-1" else 3)
     assert rows == rows_of(skewed.withColumn("n", F.row_number().over(window).cast("long")))
 
 
 def test_two_group_columns_and_no_rows(skewed):
     two = skewed.withColumn("k", F.col("id") % 3)
     window = Window.partitionBy("g", "k").orderBy("id")
-    got = moving(two, ["g", "k"], ["id"], 0, lambda w: {}, "rn", 40)
+    got = moving(two, ["g", "k"], ["id"], {}, "rn", 40)
     assert rows_of(got) == rows_of(two.withColumn("rn", F.row_number().over(window).cast("long")))
     assert positions(skewed.where("id < 0"), ["g"], ["id"]).collect() == []
 
 
 def test_reach_must_fit_in_a_block(skewed):
     with pytest.raises(ValueError, match="reach"):
-        moving(skewed, ["g"], ["id"], 5, lambda w: {}, block=4)
+        moving(skewed, ["g"], ["id"], {"p": Lag("id", 5)}, block=4)

@@ -11,7 +11,7 @@ import sys
 sys.path.insert(0, {root!r})
 from pyspark import TaskContext
 from pyspark.sql import SparkSession, Window, functions as F
-from millrace import moving, read_files, write_files
+from millrace import Lag, moving, read_files, write_files
 
 spark = (SparkSession.builder.master("local[4, 4]").config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", {folder!r}).getOrCreate())
@@ -34,7 +34,7 @@ for fmt in ("parquet", "csv", "json"):
         assert back.exceptAll(calm).isEmpty() and calm.exceptAll(back).isEmpty(), (fmt, extra)
 
 window = Window.partitionBy("g").orderBy("v", "id")
-got = moving(df, ["g"], ["v", "id"], 1, lambda w: {{"p": F.lag("id").over(w)}}, "n", 500)
+got = moving(df, ["g"], ["v", "id"], {{"p": Lag("id")}}, "n", 500)
 want = calm.withColumns({{"p": F.lag("id").over(window), "n": F.row_number().over(window).cast("long")}})
 assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 print("whole")
