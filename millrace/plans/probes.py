@@ -2,49 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.sinks.files import write_files
 
-_SCHEMA = "source string, status string, n long, error string"
+_SCHEMA = "source string, status string, n long, error string, rows array<string>"
 
 
 def probe_sources(
-    spark: SparkSession, probes: Mapping[str, Callable[[], DataFrame]], parallel: int = 4
+    spark: SparkSession,
+    probes: Mapping[str, Callable[[], DataFrame]],
+    parallel: int = 4,
+    limit: int = 5,
+    columns: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Count the rows of each named frame; one row per source says ``ok`` or ``failed`` and why.
+    """The first ``limit`` rows of each named frame; one row per source says ``ok`` or ``failed`` and why.
 
-    A source that fails does not stop the others. Each probe is a job of its own, and ``parallel``
-    of them run at a time. Keep database probes small with a limit in their query.
+    ``n`` is the number of rows seen, ``rows`` holds them as JSON. ``columns`` names, per source, the columns to read;
+    only these are. Nothing is counted: a task stops as soon as it has enough rows, so a probe of
+    files or of a database is small whatever it probes. A source that fails does not stop the others. Each
+    probe is a job of its own, and ``parallel`` of them run at a time.
     """
 
+    def seen(name: str) -> list[str]:
+        df = probes[name]()
+        chosen = (columns or {}).get(name)
+        df = df if chosen is None else df.select(*chosen)
+        return [row[0] for row in df.limit(limit).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
+
     with ThreadPoolExecutor(max(1, parallel)) as pool:
-        found = pool.map(lambda name: _outcome(name, lambda: probes[name]().count()), probes)
+        found = pool.map(lambda name: _outcome(name, lambda: seen(name)), probes)
         return spark.createDataFrame(list(found), _SCHEMA)
 
 
 def probe_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write two marker rows to ``path``, replacing what is there, and count them; the row as above.
+    """Write two rows that name this run to ``path``, replacing what is there, and count them; the row as above.
 
     Give it a path kept for this check.
     """
-    now = datetime.now()
-    markers = [("test-connection", "SUCCESS"), ("write-service", "ACTIVE")]
-    rows = [(component, f"{now:%Y-%m-%d}", status, int(now.timestamp() * 1000)) for component, status in markers]
 
-    def write() -> int:
-        df = spark.createDataFrame(rows, "component string, test_date string, status string, timestamp long")
-        return write_files(df, path, fmt, verify=True).rows
+    def written() -> list[str]:
+        marks = spark.range(2).select("id", F.lit(uuid4().hex).alias("run"))
+        write_files(marks, path, fmt, verify=True)
+        return [row[0] for row in marks.select(F.to_json(F.struct("*"))).collect()]
 
-    return spark.createDataFrame([_outcome(path, write)], _SCHEMA)
+    return spark.createDataFrame([_outcome(path, written)], _SCHEMA)
 
 
-def _outcome(name: str, count: Callable[[], int]) -> tuple[str, str, int | None, str | None]:
+def _outcome(name: str, rows: Callable[[], list[str]]) -> tuple[str, str, int | None, str | None, list[str] | None]:
     try:
-        return name, "ok", count(), None
+        found = rows()
+        return name, "ok", len(found), None, found
     except Exception as error:  # whatever is raised is the finding
-        return name, "failed", None, f"{type(error).__name__}: {error}".splitlines()[0]
+        return name, "failed", None, f"{type(error).__name__}: {error}".splitlines()[0], None

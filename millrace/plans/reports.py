@@ -1,7 +1,8 @@
 """Reports over employees, customers and sales.
 
 ``rep_sales_rollup`` is given by its query. The others are known by name and purpose only; their
-definitions are this library's own and stand in the docstrings.
+definitions are this library's own and stand in the docstrings. One table of sales serves all of them:
+``sales(id, employee_id, customer_id, total_amount, sold_at)``; each names the columns that it reads.
 
 Facts are summed per key before they meet a dimension: partial sums fold a hot key on the side of
 the map tasks, and the join then moves one row per key.
@@ -41,11 +42,11 @@ def employee_analytics(employees: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def sales_analytics(sales: DataFrame) -> DataFrame:
-    """Per month: orders, revenue and distinct buyers. ``sales(id, buyer_id, total_amount, sold_at)``."""
+    """Per month: sales, revenue and distinct buyers. ``sales(id, customer_id, total_amount, sold_at)``."""
     return sales.groupBy(F.year("sold_at").alias("year"), F.month("sold_at").alias("month")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         total_of("total_amount").alias("revenue"),
-        F.count_distinct("buyer_id").alias("buyers"),
+        F.count_distinct("customer_id").alias("buyers"),
     )
 
 

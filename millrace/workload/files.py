@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.etl import FileSource, PipelineSpec, Target, run_pipeline, spec_from_maps
@@ -42,10 +42,21 @@ def verified_write(spark, folder):
 
 
 def sorted_write(spark, folder):
-    """Highest price first across all files; rows of equal price may lie in any order."""
+    """Highest price first across all files; rows of equal price may lie in any order.
+
+    Beside the rows: whether each is in order within its file, and its file among the others.
+    """
     path = scratch_path(spark, "sorted")
     write_files(table(spark, folder, "orders"), path, sort_by=[F.desc("o_totalprice")])
-    return read_files(spark, path, "parquet")
+    rows = read_files(spark, path, "parquet").select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    files = rows.groupBy("file").agg(F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most"))
+    after = Window.orderBy(F.desc("most"), F.desc("least"))  # one row per file
+    files = files.select("file", (F.coalesce(F.lag("least").over(after) >= F.col("most"), F.lit(True))).alias("files_in_order"))
+    within = Window.partitionBy("file").orderBy("place")
+    in_order = F.coalesce(F.lag("o_totalprice").over(within) >= F.col("o_totalprice"), F.lit(True))
+    return rows.withColumn("in_order", in_order).join(files, "file").drop("file", "place")
 
 
 def save_modes(spark, folder):
@@ -66,6 +77,48 @@ def dated_partitions(spark, folder):
     return read_files(spark, path, "parquet")
 
 
+def _rerun(spark, path, orders, day, sql, partition_by=()):
+    spec = PipelineSpec(
+        source=orders,
+        target=Target(path, run_date=day, partition_by=partition_by),
+        source_system="shop",
+        sql=sql,
+        clock=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
+    )
+    return run_pipeline(spark, spec)
+
+
+def dated_rerun(spark, folder):
+    """Two days with all orders; the first is run once more and finds nothing, so nothing of it stays."""
+    path, orders = scratch_path(spark, "rerun"), FileSource(f"{folder}/orders.parquet", "parquet")
+    for day, sql in [("2024-01-01", "true"), ("2024-01-02", "true"), ("2024-01-01", "false")]:
+        _rerun(spark, path, orders, day, f"select * from source_data where {sql}")
+    return read_files(spark, path, "parquet").select("o_orderkey", "o_orderstatus", "execution_date")
+
+
+def dated_rerun_partitioned(spark, folder):
+    """The same with folders per status: the second run of the day has one status only, and the others go."""
+    path, orders = scratch_path(spark, "rerun"), FileSource(f"{folder}/orders.parquet", "parquet")
+    for day, sql in [("2024-01-01", "true"), ("2024-01-02", "true"), ("2024-01-01", "o_orderstatus = 'F'")]:
+        _rerun(spark, path, orders, day, f"select * from source_data where {sql}", ("o_orderstatus",))
+    return read_files(spark, path, "parquet").select("o_orderkey", "o_orderstatus", "execution_date")
+
+
+def csv_split_etl(spark, folder):
+    """A configured job on CSV that many tasks read: ``multi_line`` off and a schema, both from the map."""
+    source, path, out = table(spark, folder, "lineitem"), scratch_path(spark, "lines"), scratch_path(spark, "out")
+    write_files(source, path, "csv")
+    spec = spec_from_maps(
+        "gcs",
+        {"file_path": path, "multi_line": "false", "schema": ", ".join(f"{n} {t}" for n, t in source.dtypes)},
+        {"sql_query": "select l_returnflag, l_orderkey, l_linenumber, l_quantity from source_data"},
+        {"output_path": out},
+        source_system="shop",
+    )
+    run_pipeline(spark, spec)
+    return read_files(spark, out, "parquet").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity", "_source_system")
+
+
 def rebalanced_partitions(spark, folder):
     path = scratch_path(spark, "rebalanced")
     write_files(table(spark, folder, "lineitem"), path, partition_by=["l_returnflag"], rebalance=True)
@@ -141,7 +194,20 @@ CASES = {
     "json_inferred": Case(json_inferred, "select * from conversations"),
     "csv_inferred": Case(csv_inferred, "select * from customer"),
     "verified_write": Case(verified_write, "select count(*) as written, count(*) as found from lineitem"),
-    "sorted_write": Case(sorted_write, "select * from orders"),
+    "sorted_write": Case(sorted_write, "select *, true as in_order, true as files_in_order from orders"),
+    "dated_rerun": Case(
+        dated_rerun, "select o_orderkey, o_orderstatus, date '2024-01-02' as execution_date from orders"
+    ),
+    "dated_rerun_partitioned": Case(
+        dated_rerun_partitioned,
+        """
+    select o_orderkey, o_orderstatus, date '2024-01-02' as execution_date from orders
+    union all select o_orderkey, o_orderstatus, date '2024-01-01' from orders where o_orderstatus = 'F'""",
+    ),
+    "csv_split_etl": Case(
+        csv_split_etl,
+        "select l_returnflag, l_orderkey, l_linenumber, l_quantity, 'shop' as _source_system from lineitem",
+    ),
     "save_modes": Case(
         save_modes,
         "select o_orderkey, o_totalprice from orders union all select o_orderkey, o_totalprice from orders",

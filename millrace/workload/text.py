@@ -50,8 +50,7 @@ CASES = {
         "documents labels",
         """
     select d.doc_id as document, l.doc_id as label
-    from (select doc_id from src_documents where lang = 'en') d
-    full join (select doc_id from src_labels where quality = 1) l on d.doc_id = l.doc_id""",
+    from src_documents d full join src_labels l on d.doc_id = l.doc_id""",
     ),
     "sql_inequality_join": _case(
         "lineitem orders",
@@ -105,8 +104,7 @@ CASES = {
     "sql_union": _case(
         "orders customer",
         """
-    select o_custkey as k from src_orders where o_totalprice > 450000
-    union select c_custkey from src_customer where c_acctbal < 0""",
+    select o_custkey as k from src_orders union select c_custkey from src_customer""",
     ),
     "sql_union_all": _case(
         "orders lineitem",
@@ -121,10 +119,7 @@ CASES = {
     intersect select distinct o_custkey from src_orders where o_orderpriority = '1-URGENT'""",
     ),
     "sql_except": _case(
-        "customer orders",
-        """
-    select c_custkey as k from src_customer
-    except select distinct o_custkey from src_orders where o_totalprice > 400000""",
+        "orders lineitem", "select o_orderkey as k from src_orders except select l_orderkey from src_lineitem"
     ),
     "sql_strings": _case(
         "customer",
@@ -189,7 +184,7 @@ CASES = {
     "sql_maps": _case(
         "events",
         """
-    select event_type, map_from_entries(sort_array(collect_list(struct(weekday, n))))[2] as mondays
+    select event_type, coalesce(map_from_entries(sort_array(collect_list(struct(weekday, n))))[2], 0) as mondays
     from (select event_type, cast(dayofweek(ts) as int) as weekday, count(*) as n from src_events group by 1, 2)
     group by event_type""",
         "select event_type, count(*) filter (where dayofweek(ts) = 1) as mondays from src_events group by event_type",

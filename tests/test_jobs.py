@@ -1,7 +1,10 @@
 """Configured jobs, reports by name and probes."""
 
 import datetime as dt
+import json
 import os
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +108,69 @@ def test_a_run_date_is_a_partition_that_a_rerun_replaces(spark, tmp_path):
     assert {str(r.execution_date): r["count"] for r in counts} == {"2024-01-01": 3, "2024-01-02": 1500}
 
 
+@pytest.mark.parametrize("partition_by", [(), ("o_orderstatus",)])
+@pytest.mark.parametrize(("sql", "left"), [("false", 0), ("o_orderstatus = 'F'", 493), ("true", 1500)])
+def test_a_rerun_replaces_the_whole_day(spark, tmp_path, partition_by, sql, left):
+    out = str(tmp_path / "t")
+    for day, condition in (("2024-01-01", "true"), ("2024-01-02", "true"), ("2024-01-01", sql)):
+        target = Target(out, run_date=day, partition_by=partition_by, verify=True)
+        text = f"select * from source_data where {condition}"
+        done = run_pipeline(spark, PipelineSpec(FileSource(ORDERS, "parquet"), target, "shop", sql=text))
+    assert done.rows_out == left and done.path == out
+    counts = spark.read.parquet(out).groupBy("execution_date").count().collect()
+    assert {str(r.execution_date): r["count"] for r in counts} == {"2024-01-02": 1500, **({"2024-01-01": left} if left else {})}
+
+
+def test_modes_look_at_one_day(spark, tmp_path):
+    out = str(tmp_path / "t")
+
+    def run(day, mode):
+        return run_pipeline(spark, PipelineSpec(FileSource(ORDERS, "parquet"), Target(out, mode=mode, run_date=day), "shop"))
+
+    run("2024-01-01", "error")
+    run("2024-01-02", "error")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        run("2024-01-01", "error")
+    assert run("2024-01-02", "ignore").skipped and not run("2024-01-03", "ignore").skipped
+    run("2024-01-01", "append")
+    assert spark.read.parquet(out).count() == 4 * 1500
+    day = FileSource(f"{out}/execution_date=2024-01-02", "parquet")
+    again = PipelineSpec(day, Target(out, run_date="2024-01-02"), "shop", replace_metadata=True)
+    with pytest.raises(ValueError, match="Cannot overwrite"):
+        run_pipeline(spark, again)
+    assert run_pipeline(spark, replace(again, target=Target(out, run_date="2024-01-01"))).rows_out == 1500
+    with pytest.raises(ValueError):
+        run("yesterday", "append")
+
+
+def test_jobs_run_side_by_side(spark, tmp_path):
+    def run(k):
+        sql = f"select o_orderkey, {k} as k from source_data where o_orderkey % 8 = {k}"
+        return run_pipeline(spark, PipelineSpec(FileSource(ORDERS, "parquet"), Target(str(tmp_path / str(k))), "shop", sql=sql)).rows_out
+
+    with ThreadPoolExecutor(8) as pool:
+        counts = list(pool.map(run, range(8)))
+    assert sum(counts) == 1500 and all(counts)
+    assert all({r.k for r in spark.read.parquet(str(tmp_path / str(k))).collect()} == {k} for k in range(8))
+    assert not [t for t in spark.catalog.listTables() if t.name == "source_data"]
+
+
+def test_csv_from_maps_can_be_split(spark, tmp_path):
+    path = str(tmp_path / "c")
+    write_files(spark.range(0, 40000).select("id", F.lit("v" * 200).alias("v")), path, "csv", sort_by=["id"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        maps = {"file_path": path, "schema": "id long, v string"}
+        whole, split = (
+            spec_from_maps("gcs", {**maps, **more}, {}, {"output_path": "x"}).source.load(spark)
+            for more in ({}, {"multi_line": "false"})
+        )
+        assert split.rdd.getNumPartitions() > 2 * whole.rdd.getNumPartitions()
+        assert split.dtypes == whole.dtypes == [("id", "bigint"), ("v", "string")] and split.count() == 40000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_fixed_clock(spark, tmp_path):
     out = str(tmp_path / "t")
     clock = dt.datetime(2024, 5, 6, 7, 8, 9, 123456)
@@ -171,7 +237,7 @@ def tables(spark):
     sales = spark.createDataFrame(
         [(10, 1, 7, 10.10), (11, 1, 7, 0.20), (12, 3, 8, 5.0), (None, 3, 8, 1.0), (13, None, 8, 99.0), (14, 5, 9, 2.5)],
         "id long, employee_id long, customer_id long, total_amount double",
-    ).withColumns({"sold_at": F.lit("2024-01-31 10:00:00").cast("timestamp_ntz"), "buyer_id": F.col("customer_id")})
+    ).withColumn("sold_at", F.lit("2024-01-31 10:00:00").cast("timestamp_ntz"))
     return {
         "employees": employees,
         "sales": sales,
@@ -214,7 +280,7 @@ def test_a_customer_without_sales_and_a_department_without_costs(tables):
     assert (str(report["b"].budget), report["b"].cost, report["b"].variance) == ("1.00", None, None)
 
 
-@pytest.mark.parametrize("name", REPORTS)
+@pytest.mark.parametrize("name", [*REPORTS, "test-connection"])
 def test_every_report_by_name(spark, tables, tmp_path, name):
     out = str(tmp_path / "t")
     result = run_report(name, tables, Target(out), dt.date(2024, 1, 31), "erp")
@@ -244,13 +310,40 @@ def test_probes_do_not_stop_each_other(spark):
         ("orders", "ok", 3), ("gone", "failed", None), ("broken", "failed", None), ("late", "failed", None), ("database", "failed", None),
     ]
     assert got[0].error is None and got[2].error == "RuntimeError: no" and "PATH_NOT_FOUND" in got[1].error
+    assert [r.rows is None for r in got] == [False, True, True, True, True]
+
+
+def test_probes_return_the_rows_they_saw(spark):
+    orders = {"orders": lambda: spark.read.parquet(ORDERS).orderBy("o_orderkey"), "none": lambda: spark.range(0)}
+    got = {r.source: r for r in probe_sources(spark, orders, limit=2, columns={"orders": ["o_orderkey", "o_orderstatus"]}).collect()}
+    first = [json.loads(x) for x in got["orders"].rows]
+    assert got["orders"].n == 2 and [list(x) for x in first] == [["o_orderkey", "o_orderstatus"]] * 2
+    assert (got["none"].status, got["none"].n, got["none"].rows) == ("ok", 0, [])
+
+
+def test_a_probe_stops_when_it_has_enough_rows(spark, tmp_path):
+    """Every row of a file but the first few raises when it is read; so does a column that is not asked for."""
+    late = spark.range(0, 1000, 1, 1).select(
+        F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("read on"))).alias("a"), F.raise_error(F.lit("read")).alias("b")
+    )
+    found = probe_sources(spark, {"late": lambda: late}, limit=3, columns={"late": ["a"]}).first()
+    assert (found.status, found.n, found.rows) == ("ok", 3, ['{"a":0}', '{"a":1}', '{"a":2}'])
+
+
+def test_the_check_covers_tables_and_target(spark, tables, tmp_path):
+    out = str(tmp_path / "t")
+    run_report("test-connection", tables, Target(out), dt.date(2024, 1, 31), "erp")
+    rows = spark.read.parquet(out).collect()
+    assert {(r.source, r.status) for r in rows} == {(name, "ok") for name in [*tables, "target"]}
+    assert spark.read.parquet(f"{out}/_test").count() == 2
 
 
 def test_a_target_is_probed_by_writing_to_it(spark, tmp_path):
     path = str(tmp_path / "check")
     for _ in range(2):
-        assert tuple(probe_target(spark, path).first()) == (path, "ok", 2, None)
-    assert {r.component for r in spark.read.parquet(path).collect()} == {"test-connection", "write-service"}
+        assert tuple(probe_target(spark, path).first())[:4] == (path, "ok", 2, None)
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r.id for r in rows) == [0, 1] and len({r.run for r in rows}) == 1
     put = tmp_path / "file"
     put.write_text("x")
     assert probe_target(spark, f"{put}/below").first().status == "failed"
