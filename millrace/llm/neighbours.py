@@ -115,17 +115,22 @@ def scan(space: Space, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray,
         block = points[first : first + step]
         # Distances on the sphere of the longest row: 2 - 2 <q, x>.
         limit = np.where(np.isfinite(best[:, -1]), 2 - 2 * best[:, -1] / norms, np.inf).astype(np.float32)
-        a = b = None
+        sums = np.zeros((len(queries), len(block)), np.float32)
+        a = b = None  # pairs that are left, once they are few
         for low in range(0, size, COLUMNS):
             high = min(size, low + COLUMNS)
+            # The last block leaves no guess: only rounding is allowed for.
+            slack = (1 + ERROR / math.sqrt(high)) ** 2 * high / size if high < size else 1 + 1e-4
+            q, x = asked[:, low:high], block[:, low:high]
             if a is None:
-                q, x = asked[:, low:high], block[:, low:high]
-                sums = (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * (q @ x.T)
-                a, b = np.nonzero((sums * (size / high) <= limit[:, None] * (1 + ERROR / math.sqrt(high)) ** 2))
-                sums = sums[a, b]
-            elif high < size:
-                sums = sums + ((asked[a, low:high] - block[b, low:high]) ** 2).sum(axis=1)
-                alive = sums * (size / high) <= limit[a] * (1 + ERROR / math.sqrt(high)) ** 2
+                sums += (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * (q @ x.T)
+                alive = sums <= (limit * slack + 1e-4)[:, None]
+                if high == size or alive.sum() * 32 < alive.size:
+                    a, b = np.nonzero(alive)
+                    sums = sums[a, b]
+            else:
+                sums = sums + ((q[a] - x[b]) ** 2).sum(axis=1)
+                alive = sums <= limit[a] * slack + 1e-4
                 a, b, sums = a[alive], b[alive], sums[alive]
         b = b + first
         other = ids[b] != query_ids[a]
