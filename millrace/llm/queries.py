@@ -102,6 +102,31 @@ def suffix_dedup(spark, folder):
     )
 
 
+SUFFIX_DEDUP_SQL = """
+with d as (select row_number() over () as r, doc_id, encode(coalesce(text, '')) as raw from documents),
+w as (
+    select r, i, md5(raw[i + 1:i + 400]) as m
+    from (select r, raw, unnest(range(0, octet_length(raw) - 399)) as i from d where octet_length(raw) >= 400)
+),
+again as (select r, i from (select r, i, count(*) over (partition by m) as n from w) where n > 1),
+marks as (select r, i, case when i <= lag(i) over (partition by r order by i) + 400 then 0 else 1 end as fresh from again),
+runs as (
+    select r, min(i) as a, max(i) + 400 as b
+    from (select r, i, sum(fresh) over (partition by r order by i) as run from marks) group by r, run
+),
+parts as (select r, a, b, coalesce(lag(b) over (partition by r order by a), 0) as since from runs),
+cut as (
+    select r, string_agg(hex(raw[since + 1:a]), '' order by a) as head, max(b) as last,
+        sum(b - a) as n_removed, count(*) as n_spans
+    from parts join d using (r) group by r
+)
+select doc_id, cast(octet_length(raw) as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    cast(coalesce(n_spans, 0) as bigint) as n_spans,
+    sha256(case when last is null then raw else unhex(head || hex(raw[last + 1:])) end) as kept_sha256
+from d left join cut using (r)
+"""
+
+
 def fitted(spark, folder):
     return quality.train(table(spark, folder, "documents"), table(spark, folder, "labels"), F.expr(LEARNED), metadata=METADATA)
 
@@ -139,7 +164,7 @@ CASES = {
     "op3_decontamination": Case(decontamination, DECONTAMINATION_SQL),
     "op4_simhash_near_dedup": Case(near_duplicates),
     "op5_url_filters": Case(url_verdicts),
-    "op6_suffix_array_dedup": Case(suffix_dedup),
+    "op6_suffix_array_dedup": Case(suffix_dedup, SUFFIX_DEDUP_SQL),
     "op7_quality_classifier": Case(quality_scores),
     "op8_substring_dedup": Case(substring_dedup),
     "op9_nearest_neighbours": Case(nearest_neighbours),
