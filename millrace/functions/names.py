@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 
+# The naming rule itself.
 _SEPARATORS = re.compile(r"[\s-]+", re.ASCII)
 _UNWANTED = re.compile(r"[^a-z0-9_]")
 
