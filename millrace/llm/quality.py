@@ -196,8 +196,9 @@ def train(
     shape = "lot long, y int, buckets array<int>, weights array<float>, dense array<double>"
 
     def learn(batches):
-        machine = fit(pd.concat(list(batches), ignore_index=True).sort_values(["lot", "y"], kind="stable"))
-        if machine is not None:
+        some = [x for x in batches if len(x)]
+        if some:
+            machine = fit(pd.concat(some, ignore_index=True).sort_values(["lot", "y"], kind="stable"))
             yield pd.DataFrame(
                 {
                     "bias": [machine.bias],

@@ -1,7 +1,8 @@
 import os
 
+import random
+
 import pytest
-from pyspark.sql import Row
 
 HERE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,8 +37,6 @@ def prose(rng, n, vocabulary=400):
 @pytest.fixture
 def corpus():
     """Texts with copies, near copies, shared passages, repeats within, and the odd ones: null, empty, blank, one very long."""
-    import random
-
     rng = random.Random(5)
     texts = [prose(rng, rng.randint(1, 300)) for _ in range(40)]
     shared = prose(rng, 120)
@@ -53,13 +52,3 @@ def corpus():
     rows += [(400, line + "\n" + prose(rng, 20) + line), (401, "ab" * 700), (402, "ab" * 700 + "c"), (403, prose(rng, 30_000))]
     rows += [(500, None), (501, ""), (502, " \n\t "), (503, "one"), (504, "."), (505, None), (None, "no id"), (None, texts[3]), (0, texts[0])]
     return rows
-
-
-def as_rows(df, key):
-    out = {}
-    for row in df.collect():
-        out.setdefault(row[key], []).append(row)
-    return out
-
-
-__all__ = ["Row", "as_rows", "prose"]
