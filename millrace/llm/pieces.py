@@ -15,7 +15,6 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,11 +146,6 @@ def build(model: Model) -> Tokenizer:
     return tokenizer
 
 
-@cache
-def tokenizer_of(message: bytes) -> Tokenizer:
-    return build(parse(message))
-
-
 def encode(tokenizer: Tokenizer, some: list[str]) -> list[list[int]]:
     return [x.ids for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
 
@@ -171,6 +165,12 @@ class Runs:
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum([len(x) for x in some], dtype=np.int64)))
         self.count += len(some)
 
+    def only(self, which: np.ndarray) -> Runs:
+        out = Runs(self.flat.dtype)
+        ends, out.flat = self.take(which, np.arange(len(which) + 1))
+        out.first, out.count = ends, len(which)
+        return out
+
     def take(self, which: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The chosen arrays one after the other, and where each text's begin (``before`` counts arrays)."""
         first, size = self.first[which], self.first[which + 1] - self.first[which]
@@ -181,12 +181,15 @@ class Codec:
     """Encodes and decodes batches of a model.
 
     If nothing ever joins across the start of a word and the normaliser changes nothing but blanks, a text's ids are
-    those of its units (a word with the blanks before it) in turn, and so is its decoded text. Each unit is
-    encoded and decoded once; up to ``KEPT`` of them are remembered between batches. Other models
-    encode and decode whole texts.
+    those of its units (a word with the blanks before it) in turn, and so is its decoded text. Each unit of a batch is
+    encoded and decoded once. Up to ``KEPT`` units are remembered between batches; when there are more, the half that was met
+    more often stays. Other models encode and decode whole texts.
     """
 
-    KEPT = 1_500_000
+    KEPT = 800_000
+
+    #: Units that the library gets at once: its results are large.
+    BATCH = 8_192
 
     def __init__(self, message: bytes):
         self.model = parse(message)
@@ -199,8 +202,15 @@ class Codec:
             self._forget()
 
     def _forget(self) -> None:
-        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.ids, self.back = Runs(np.int32), Runs(np.uint8)
+        if not hasattr(self, "known") or len(self.known) < 2:
+            self.known, self.slot, self.met = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.ids, self.back = Runs(np.int32), Runs(np.uint8)
+            return
+        stay = np.argsort(-self.met, kind="stable")[: min(len(self.met), self.KEPT) // 2]
+        stay.sort()
+        slot = self.slot[stay]
+        self.known, self.met, self.slot = self.known[stay], self.met[stay] // 2, np.arange(len(stay))
+        self.ids, self.back = self.ids.only(slot), self.back.only(slot)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Offsets of each text's ids, all ids, and each text as decoded from them."""
@@ -220,12 +230,20 @@ class Codec:
         if new.any():
             raw, some = content.tobytes(), example[new]
             units = [MARK * n + raw[a:b].decode() for n, a, b in zip(lead[some].tolist(), begin[some].tolist(), end[some].tolist())]
-            ids = encode(self.bare, units)
             self.slot = np.insert(self.slot, at[new], self.ids.count + np.arange(len(units)))
             self.known = np.insert(self.known, at[new], distinct[new])
-            self.ids.add([np.array(x, np.int32) for x in ids])
-            self.back.add([np.frombuffer(x.encode(), np.uint8) for x in self.bare.decode_batch(ids, skip_special_tokens=False)])
-        slot = self.slot[np.searchsorted(self.known, distinct)][unit] if len(unit) else unit
+            self.met = np.insert(self.met, at[new], 0)
+            every_id, every_back = [], []
+            for k in range(0, len(units), self.BATCH):
+                ids = encode(self.bare, units[k : k + self.BATCH])
+                every_id += [np.array(x, np.int32) for x in ids]
+                every_back += [np.frombuffer(x.encode(), np.uint8) for x in self.bare.decode_batch(ids, skip_special_tokens=False)]
+            self.ids.add(every_id)
+            self.back.add(every_back)
+        found = np.searchsorted(self.known, distinct)
+        if len(unit):
+            self.met[found] += np.bincount(unit, minlength=len(distinct))
+        slot = self.slot[found][unit] if len(unit) else unit
         offsets, ids = self.ids.take(slot, before)
         ends, back = self.back.take(slot, before)
         strip, raw = int(self.model.prefix), back.tobytes()
@@ -298,7 +316,7 @@ def encoded(
 
         codec = Codec(shared.value)
         theirs = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
-        for batch in texts.pieces(batches, "text"):
+        for batch in texts.pieces(batches, "text", 1_000_000):
             column = batch.column("text")
             offsets, ids, back = codec.encode(column)
             some = [x or "" for x in column.to_pylist()]
@@ -328,7 +346,7 @@ def decoded(rows: DataFrame, message: bytes, id_col: str = "doc_id", ids_col: st
     shared = rows.sparkSession.sparkContext.broadcast(message)
 
     def convert(batches):
-        tokenizer = tokenizer_of(shared.value)
+        tokenizer = build(parse(shared.value))
         for batch in batches:
             some = batch.column("ids").to_pylist()
             back = decode(tokenizer, [x or [] for x in some])
