@@ -12,9 +12,11 @@ text. Very long texts are encoded whole.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,9 @@ from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalize
 from millrace.llm import texts
 from millrace.llm.rows import quoted
 
+#: Threads that a task encodes a batch with; more would take cores that other tasks have.
+THREADS = 2
+
 #: Marks blanks in pieces.
 MARK = "▁"
 
@@ -276,11 +281,23 @@ _NOT_BLANK = np.ones(256, dtype=bool)
 _NOT_BLANK[0x20] = False
 
 
-def probe(message: bytes, some: list[str]) -> None:
-    """Raises if the rebuilt tokenizer and the sentencepiece library disagree on ``some`` texts."""
+@cache
+def codec_of(message: bytes) -> Codec:
+    """One for all tasks of a worker: building it takes longer than encoding a small partition, and most units are known then."""
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library first encodes
+    return Codec(message)
+
+
+@cache
+def library_of(message: bytes):
     import sentencepiece
 
-    theirs = sentencepiece.SentencePieceProcessor(model_proto=message)
+    return sentencepiece.SentencePieceProcessor(model_proto=message)
+
+
+def probe(message: bytes, some: list[str]) -> None:
+    """Raises if the rebuilt tokenizer and the sentencepiece library disagree on ``some`` texts."""
+    theirs = library_of(message)
     codec = Codec(message)
     offsets, ids, back = codec.encode(pa.array(some, pa.string()))
     for k, (text, wanted) in enumerate(zip(some, theirs.encode(some, num_threads=1))):
@@ -312,10 +329,7 @@ def encoded(
     schema = pa.schema(schema + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def convert(batches):
-        import sentencepiece
-
-        codec = Codec(shared.value)
-        theirs = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
+        codec, theirs = codec_of(shared.value), library_of(shared.value)
         for batch in texts.pieces(batches, "text", 1_000_000):
             column = batch.column("text")
             offsets, ids, back = codec.encode(column)
@@ -346,7 +360,7 @@ def decoded(rows: DataFrame, message: bytes, id_col: str = "doc_id", ids_col: st
     shared = rows.sparkSession.sparkContext.broadcast(message)
 
     def convert(batches):
-        tokenizer = build(parse(shared.value))
+        tokenizer = codec_of(shared.value).whole
         for batch in batches:
             some = batch.column("ids").to_pylist()
             back = decode(tokenizer, [x or [] for x in some])
