@@ -124,6 +124,9 @@ def scan(space: Space, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray,
             q, x = asked[:, low:high], block[:, low:high]
             if a is None:
                 sums += (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * (q @ x.T)
+                if high == size and len(block) > k + 1:
+                    # Beyond the k best of the block, one more for the query's own row, none can be among the k best of all.
+                    limit = np.minimum(limit, np.partition(sums, k, axis=1)[:, k])
                 alive = sums <= (limit * slack + 1e-4)[:, None]
                 if high == size or alive.sum() * 32 < alive.size:
                     a, b = np.nonzero(alive)
