@@ -15,7 +15,6 @@ items count once by their id. An empty benchmark hits nothing; an empty table gi
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -230,7 +229,3 @@ def remove(
             yield batch.set_column(k, batch.schema.field(k), pa.array(new, batch.schema.field(k).type))
 
     return docs.mapInArrow(clean, docs.schema)
-
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -85,7 +85,3 @@ def test_empty_tables(frame, corpus):
     assert decontaminate.find(frame([]), none).count() == 0
     found = decontaminate.find(frame(corpus), none).collect()
     assert len(found) == len(corpus) and all(r.n_hit == 0 and r["items"] == [] for r in found)
-
-
-def test_digest_of_no_item():
-    assert decontaminate.digest([]) == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
