@@ -127,10 +127,12 @@ def _dynamic(partition_by: list[str], options: Mapping[str, object] | None) -> b
 
 def _checked(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """An empty text among the partition values stops the write."""
-    for name in partition_by:
-        if df.schema[name].dataType.simpleString() == "string":
-            told = F.raise_error(F.lit(f"Partition column {name} holds an empty text"))
-            df = df.withColumn(name, F.when(F.col(f"`{name}`") == "", told).otherwise(F.col(f"`{name}`")))
+    wanted = {name.lower() for name in partition_by}
+    for column in df.schema:
+        if column.name.lower() in wanted and column.dataType.simpleString() == "string":
+            value = F.col(f"`{column.name}`")
+            told = F.raise_error(F.lit(f"Partition column {column.name} holds an empty text"))
+            df = df.withColumn(column.name, F.when(value == "", told).otherwise(value))
     return df
 
 

@@ -299,7 +299,7 @@ def test_an_empty_text_is_no_partition(spark, tmp_path):
     with pytest.raises(Exception, match="empty text"):
         write_files(df, str(tmp_path / "t"), partition_by=["p"])
     path = str(tmp_path / "u")
-    assert write_files(df.where("id <> 2"), path, partition_by=["p"]).rows == 2
+    assert write_files(df.where("id <> 2"), path, partition_by=["P"]).rows == 2
     assert sorted(map(str, spark.read.parquet(path).select("id", "p").collect())) == ["Row(id=1, p='a')", "Row(id=3, p=None)"]
 
 
