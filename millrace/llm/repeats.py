@@ -119,7 +119,10 @@ def _candidates(rows: DataFrame) -> DataFrame:
     """Distinct anchors (run, k1, k2, at) whose run stands in two places at least."""
     found = materialize(_places(rows), "anchors")
     twice = found.groupBy("run").agg(F.min(_place()).alias("a"), F.max(_place()).alias("b")).where("a <> b").select("run")
-    return materialize(found.join(twice, "run").distinct(), "candidates")
+    # Written, so that the join has a plain scan on both sides and Spark can split a run that very many places have;
+    # as one column, so that rows that a common run has are told apart by hashes of their own.
+    rows = found.join(materialize(twice, "runs"), "run").select(F.struct("run", "k1", "k2", "at").alias("row"))
+    return materialize(rows.distinct().select("row.*"), "candidates")
 
 
 def _cut(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -288,7 +291,9 @@ def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
         around.where("not single").select("run", "around", "fewest", "most"), ["run", "around"]
     )
     whole = whole.select("k1", "k2", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("fewest") + LENGTH).alias("end"))
-    several = around.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 and any").select("run")
+    several = materialize(
+        around.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 and any").select("run"), "runs"
+    )
     windows = (
         around.join(several, "run")
         .withColumn("n", F.explode(F.sequence("fewest", "most")))
@@ -301,6 +306,7 @@ def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
     )
     windows = materialize(windows, "windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    twice = materialize(twice, "twice")
     found = windows.where("single").join(twice, ["w1", "w2"]).select("k1", "k2", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
     return whole.unionByName(found)
 
@@ -340,6 +346,7 @@ def _texts_with_repeats(docs: DataFrame, text_col: str) -> DataFrame:
     rows = _keyed(docs, text_col)
     places = _candidates(rows.select("k1", "k2", "text"))
     crowds = places.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("run", F.lit(True).alias("crowded"))
+    crowds = materialize(crowds, "crowds")
     lists = (
         places.join(crowds, "run", "left")
         .groupBy("k1", "k2")
