@@ -3,8 +3,8 @@
 Each round links every vertex's larger neighbours to the smallest of its neighbourhood (large star),
 then its smaller neighbours likewise (small star), until nothing changes. Every round is written
 to the shared scratch folder, so lineage stays short and a lost executor costs one round at most. A
-vertex with very many links is summed by partial aggregation and joined back with the skew handling
-of Spark's joins; no neighbourhood is collected.
+vertex with very many links is summed by partial aggregation; the sums are written too, so that the join
+with them has a plain scan on both sides and Spark can split such a vertex. No neighbourhood is collected.
 """
 
 from __future__ import annotations
@@ -36,11 +36,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("at", "other")
-    least = both.groupBy("at").agg(F.least(F.min("other"), F.first("at")).alias("m"))
+    least = materialize(both.groupBy("at").agg(F.least(F.min("other"), F.col("at")).alias("m")), "least")
     return both.where("other > at").join(least, "at").select(F.col("other").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     linked = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.union(least.select("u", F.col("m").alias("v"))).distinct()

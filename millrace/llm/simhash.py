@@ -249,8 +249,8 @@ def _named(marked: DataFrame, most: int) -> DataFrame:
     """``bits``, root (a fingerprint of the component) and component_id."""
     least = materialize(marked.groupBy("bits").agg(F.min("id").alias("least")), "distinct")
     found = components(links(least, most)).toDF("bits", "root")
-    names = least.join(found, "bits", "left").select("bits", F.coalesce("root", "bits").alias("root"), "least")
-    name_of = names.groupBy("root").agg(F.min("least").alias("component_id"))
+    names = materialize(least.join(found, "bits", "left").select("bits", F.coalesce("root", "bits").alias("root"), "least"), "roots")
+    name_of = materialize(names.groupBy("root").agg(F.min("least").alias("component_id")), "names")
     return materialize(names.join(name_of, "root").select("bits", "root", "component_id"), "named")
 
 
