@@ -18,6 +18,7 @@ an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,34 +51,50 @@ def log_factorial(n: Column) -> Column:
     return F.when(n <= 20, F.log(F.factorial(F.greatest(n, F.lit(0)).cast("int")).cast("double"))).otherwise(series)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(good: Column, bad: Column, draws: Column, *keys: Column | int) -> Column:
     """How many of ``draws`` balls out of good + bad are good: a draw by the ratio of uniforms.
 
     A candidate is floor(a + h (v - 1/2) / u) and stands if u squared is at most its probability relative to the mode's.
     """
-    total = good + bad
-    share = good.cast("double") / total
-    mean = draws * share
-    variance = mean * (1 - share) * (total - draws) / F.greatest(total - 1, F.lit(1))
-    center, width = mean + 0.5, math.sqrt(8 / math.e) * F.sqrt(variance + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
-    least, most = F.greatest(F.lit(0).cast("long"), draws - bad), F.least(draws, good)
 
-    def weight(k: Column) -> Column:
-        return -(log_factorial(k) + log_factorial(good - k) + log_factorial(draws - k) + log_factorial(bad - draws + k))
+    def prepared(x: Column) -> Column:
+        good, bad, draws = x["good"], x["bad"], x["draws"]
+        total = good + bad
+        share = good.cast("double") / F.greatest(total, F.lit(1))
+        mean = draws * share
+        variance = mean * (1 - share) * (total - draws) / F.greatest(total - 1, F.lit(1))
+        least, most = F.greatest(F.lit(0).cast("long"), draws - bad), F.least(draws, good)
+        mode = F.floor((draws + 1) * ((good + 1) / (total + 2)))
+        return F.struct(
+            *(c.alias(n) for n, c in (("good", good), ("bad", bad), ("draws", draws), ("least", least), ("most", most))),
+            (mean + 0.5).alias("center"),
+            (math.sqrt(8 / math.e) * F.sqrt(variance + 0.5) + (3 - 2 * math.sqrt(3 / math.e))).alias("width"),
+            F.least(most, F.greatest(least, mode)).alias("mode"),
+        )
+
+    def weight(x: Column, k: Column) -> Column:
+        parts = F.array(k, x["good"] - k, x["draws"] - k, x["bad"] - x["draws"] + k)
+        return -F.aggregate(parts, F.lit(0.0), lambda total, n: total + log_factorial(n))
 
-    mode = F.least(most, F.greatest(least, F.floor((draws + 1) * ((good + 1) / (total + 2)))))
-    top = weight(mode)
+    def drawn(x: Column, top: Column) -> Column:
+        def candidate(i: Column) -> Column:
+            u, v = uniform(*keys, i, 1), uniform(*keys, i, 2)
+            return let(u, lambda u: F.struct(u.alias("u"), F.floor(x["center"] + x["width"] * (v - 0.5) / u).alias("k")))
 
-    def candidate(i: Column) -> Column:
-        u, v = uniform(*keys, i, 1), uniform(*keys, i, 2)
-        return F.struct(u.alias("u"), F.floor(center + width * (v - 0.5) / u).alias("k"))
+        def stands(c: Column) -> Column:
+            inside = (c["k"] >= x["least"]) & (c["k"] <= x["most"])
+            return inside & (2 * F.log(c["u"]) <= weight(x, F.when(inside, c["k"]).otherwise(x["mode"])) - top)
 
-    def stands(x: Column) -> Column:
-        inside = (x["k"] >= least) & (x["k"] <= most)
-        return inside & (2 * F.log(x["u"]) <= weight(F.when(inside, x["k"]).otherwise(mode)) - top)
+        first = F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(TRIES - 1)), candidate), stands), 1)["k"]
+        return F.when(x["least"] >= x["most"], x["least"]).otherwise(F.coalesce(first, x["mode"])).cast("long")
 
-    first = F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(TRIES - 1)), candidate), stands), 1)["k"]
-    return F.when(least >= most, least).otherwise(F.coalesce(first, mode)).cast("long")
+    balls = F.struct(good.alias("good"), bad.alias("bad"), draws.alias("draws"))
+    return let(balls, lambda x: let(prepared(x), lambda x: let(weight(x, x["mode"]), lambda top: drawn(x, top))))
 
 
 def split_room(room: Column, draws: Column, *keys: Column | int) -> Column:
