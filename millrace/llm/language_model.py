@@ -40,8 +40,8 @@ ORDER = 2
 STRENGTH = 4.0
 
 #: Bytes of text in a chunk (a longer text is a chunk of its own), and n-grams that a range gets.
-CHUNK = 8_000_000
-ENTRIES = 4_000_000
+CHUNK = 4_000_000
+ENTRIES = 3_000_000
 
 #: Ranges there are at least, so that small inputs use all cores too.
 RANGES = 64
