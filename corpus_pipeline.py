@@ -38,7 +38,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encoded(docs, queries.model_bytes(), parity_of=64)
+    return pieces.encoded(docs, queries.model_bytes())
 
 
 STAGES = [

@@ -155,7 +155,7 @@ def model_bytes() -> bytes:
 
 
 def encoded(spark, folder):
-    return pieces.encoded(table(spark, folder, "documents"), model_bytes(), parity_of=8, with_ids=False)
+    return pieces.encoded(table(spark, folder, "documents"), model_bytes(), with_ids=False)
 
 
 CASES = {

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import struct
 
 import numpy as np
@@ -46,6 +47,16 @@ def test_parity_is_asked_for_a_share(frame, corpus):
     assert None in asked and True in asked and False not in asked
 
 
+def test_the_query_and_the_pipeline_compare_every_text(spark):
+    import corpus_pipeline
+    from millrace.llm import queries
+
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    docs = queries.table(spark, folder, "documents")
+    for found in (queries.encoded(spark, folder), corpus_pipeline.encoded(spark, docs, folder)):
+        assert found.count() == docs.count() and found.where("parity").count() == docs.count()
+
+
 def test_empty_table(frame):
     assert pieces.encoded(frame([]), model_bytes()).count() == 0
 
