@@ -10,7 +10,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, urls
+from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, urls, warc
+from millrace.scratch import scratch_path
 from millrace.workload.case import Case, table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -158,6 +159,38 @@ def encoded(spark, folder):
     return pieces.encoded(table(spark, folder, "documents"), model_bytes(), with_ids=False)
 
 
+def archived(captures):
+    page = F.col("metadata.fields")["page-id"]
+    again = F.col("response.type") == "revisit"
+    return captures.select(
+        page.cast("long").alias("page_id"),
+        F.when(again, F.col("origin.payload_bytes")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.when(again, F.col("origin.metadata.fields")["page-id"].cast("long")).alias("refers_to"),
+    )
+
+
+def warc_transactions(spark, folder):
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path)
+    return archived(warc.captures(warc.read(spark, path, payloads=False)))
+
+
+WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as h, row_number() over () as r from pages),
+f as (select *, first_value(r) over w as f, first_value(page_id) over w as o
+      from p window w as (partition by h order by page_id desc nulls last, r)),
+d as (select *, sha1(h) as x from f)
+select page_id, cast(octet_length(encode(h)) as bigint) as payload_bytes,
+    translate(to_base(cast('0x' || x[1:10] as bigint), 32, 8) || to_base(cast('0x' || x[11:20] as bigint), 32, 8)
+        || to_base(cast('0x' || x[21:30] as bigint), 32, 8) || to_base(cast('0x' || x[31:40] as bigint), 32, 8),
+        '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest,
+    case when r = f then 'response' else 'revisit' end as record_type, case when r <> f then o end as refers_to
+from d
+"""
+
+
 CASES = {
     "op1_language_model": Case(language_model_scores),
     "op2_sharding": Case(sharding),
@@ -169,4 +202,5 @@ CASES = {
     "op8_substring_dedup": Case(substring_dedup),
     "op9_nearest_neighbours": Case(nearest_neighbours),
     "op10_sentencepiece": Case(encoded),
+    "op13_warc_transactions": Case(warc_transactions, WARC_SQL),
 }
