@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, urls, warc
+from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, spelling, urls, warc
 from millrace.scratch import scratch_path
 from millrace.workload.case import Case, table
 
@@ -159,6 +159,10 @@ def encoded(spark, folder):
     return pieces.encoded(table(spark, folder, "documents"), model_bytes(), with_ids=False)
 
 
+def spelling_variants(spark, folder):
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents"), garble=31))
+
+
 def archived(captures):
     page = F.col("metadata.fields")["page-id"]
     again = F.col("response.type") == "revisit"
@@ -202,5 +206,6 @@ CASES = {
     "op8_substring_dedup": Case(substring_dedup),
     "op9_nearest_neighbours": Case(nearest_neighbours),
     "op10_sentencepiece": Case(encoded),
+    "op11_spelling_variants": Case(spelling_variants),
     "op13_warc_transactions": Case(warc_transactions, WARC_SQL),
 }

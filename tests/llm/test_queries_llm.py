@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_substring_dedup": "doc_id:bigint n_words:bigint n_repeated:bigint n_passages:bigint n_links:bigint class_id:bigint",
     "op9_nearest_neighbours": "query_id:bigint rank:int vec_id:bigint score:double",
     "op10_sentencepiece": "doc_id:bigint n_bytes:bigint n_tokens:bigint ids_sha256:string round_trip:boolean parity:boolean",
+    "op11_spelling_variants": "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
     "op13_warc_transactions": "page_id:bigint payload_bytes:bigint payload_digest:string record_type:string refers_to:bigint",
 }
 
