@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, spelling, urls, warc
+from millrace.llm import decontaminate, hard_negatives, language_model, neighbours, passages, pieces, quality, repeats, shards, simhash, spelling, urls, warc
 from millrace.scratch import scratch_path
 from millrace.workload.case import Case, table
 
@@ -163,6 +163,32 @@ def spelling_variants(spark, folder):
     return spelling.variants(spelling.vocabulary(table(spark, folder, "documents"), garble=31))
 
 
+def hard_negative_mining(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, label)
+
+
+HARD_NEGATIVE_SQL = """
+with e as (
+    select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where label is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+),
+s as (
+    select a.r as ar, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+    from e a join e b on a.vec_id % 50 = 0 and a.r <> b.r and len(a.v) = len(b.v)
+),
+p as (select * from s where same qualify row_number() over (partition by ar order by score desc, vec_id, r) <= 5),
+n as (
+    select p.ar, p.r, p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+        row_number() over (partition by p.ar, p.r order by s.score desc, s.vec_id, s.r) as rank
+    from p join s on p.ar = s.ar and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
+
+
 def archived(captures):
     page = F.col("metadata.fields")["page-id"]
     again = F.col("response.type") == "revisit"
@@ -207,5 +233,6 @@ CASES = {
     "op9_nearest_neighbours": Case(nearest_neighbours),
     "op10_sentencepiece": Case(encoded),
     "op11_spelling_variants": Case(spelling_variants),
+    "op12_hard_negatives": Case(hard_negative_mining, HARD_NEGATIVE_SQL),
     "op13_warc_transactions": Case(warc_transactions, WARC_SQL),
 }

@@ -1,0 +1,126 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import hard_negatives
+
+LONG = (1 << 63) - 1
+
+
+def table(spark, rows, kind="float"):
+    """Rows (vec_id, vector, label), with further columns whose names clash."""
+    clashing = "row size id vector lot part turn block anchor place rank score".split()
+    schema = f"vec_id long, embedding array<{kind}>, label int, " + ", ".join(f"{c} string" for c in clashing)
+    return spark.createDataFrame([(*r, *["x"] * len(clashing)) for r in rows], schema).repartition(4)
+
+
+def brute(rows, positives=5, negatives=3, kind=np.float32):
+    found = []
+    rows = [
+        (i, [math.floor(256 * float(kind(x))) for x in v], label)
+        for i, v, label in rows
+        if label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    for k, (i, v, label) in enumerate(rows):
+        if i is None or i % 50:
+            continue
+        scored = [
+            (-max(-LONG - 1, min(LONG, sum(a * b for a, b in zip(v, w)))), (j is None, j or 0), j, other)
+            for m, (j, w, other) in enumerate(rows)
+            if m != k and len(w) == len(v)
+        ]
+        scored.sort(key=lambda x: x[:2])
+        for minus, _, j, _ in [x for x in scored if x[3] == label][:positives]:
+            p = -minus
+            close = [(-m, n) for m, _, n, other in scored if other != label and 50 * p <= -100 * m <= 95 * p]
+            found += [(i, j, r, n, p, s) for r, (s, n) in enumerate(close[:negatives], 1)]
+    return sorted(found, key=str)
+
+
+def mined(df):
+    rows = hard_negatives.mine(df, F.col("id") % 50 == 0)
+    assert rows.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+def vectors(n, size, labels, seed, scale=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(labels, size))
+    out = []
+    for i in range(n):
+        label = 0 if rng.random() < 0.4 else int(rng.integers(0, labels))
+        v = (0.3 * centres[label] + rng.normal(size=size)) * scale
+        out.append((i, [float(x) for x in v.astype(np.float32)], label))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"BYTES": 3000, "TURN": 3}, {"BYTES": 40_000, "TURN": 5}])
+def test_against_brute_force(spark, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(hard_negatives, name, value)
+    rows = vectors(700, 24, 6, 1)
+    want = brute(rows)
+    assert mined(table(spark, rows)) == want and len(want) > 150
+
+
+def test_ties_and_repeated_rows(spark, monkeypatch):
+    """Few distinct vectors: most scores tie; ids repeat, some are null; every label its own or one for all."""
+    monkeypatch.setattr(hard_negatives, "BYTES", 500)
+    rng = np.random.default_rng(2)
+    shapes = [[1.0, 0.5, 0.0], [0.9, 0.4, 0.1], [0.5, 0.5, 0.0], [-1.0, 0.0, 0.2], [0.0, 0.0, 0.0]]
+    rows = [(int(rng.integers(0, 120)) if rng.random() < 0.9 else None, shapes[rng.integers(0, 5)], int(rng.integers(0, 3))) for _ in range(300)]
+    want = brute(rows)
+    assert mined(table(spark, rows)) == want and len(want) > 10
+    assert mined(table(spark, [(i, v, k) for k, (i, v, _) in enumerate(rows)])) == []
+    assert mined(table(spark, [(i, v, 1) for i, v, _ in rows])) == []
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.7, 0.0], 2), (3, [0.7, 0.0], None), (4, None, 2), (5, [0.7, None], 2)]
+    rows += [(6, [0.7, nan], 2), (7, [0.7, inf], 2), (8, [0.7], 2), (9, [0.7, 0.0, 1.0], 2), (10, [], 2), (50, [], 2), (100, [0.5, 0.0, 1.0], 3)]
+    assert mined(table(spark, rows)) == brute(rows) == [(0, 1, 1, 2, 65536, 45824)]
+
+
+@pytest.mark.parametrize("scale", [1e5, 1e9, 1e18, 1e37])
+def test_large_components(spark, scale):
+    """Sums beyond what doubles, then 64 bits, hold exactly."""
+    rows = vectors(220, 7, 3, 3, scale)
+    assert mined(table(spark, rows)) == brute(rows)
+
+
+def test_doubles_and_very_large_ones(spark):
+    rows = vectors(220, 5, 3, 4)
+    rows += [(50, [1e306] * 5, 0), (51, [1e300] * 5, 0), (52, [-1e300] * 5, 1)]
+    kept = [r for r in rows if max(r[1]) < 7e305]
+    assert mined(table(spark, rows, "double")) == brute(kept, kind=float)
+
+
+def test_empty_tables(spark):
+    assert mined(table(spark, [])) == []
+    assert mined(table(spark, [(1, [1.0], 1), (2, [1.0], 2)])) == []  # no anchor
+    assert mined(table(spark, [(50, [1.0], 1)])) == []
+
+
+def test_bounds_shrink_the_candidates():
+    """A block whose rows differ most in the first dimensions read is settled before the last."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    rows = np.floor(256 * rng.normal(size=(500, 40)) * np.array([20.0] * 4 + [0.05] * 36))
+    block = hard_negatives.Block(
+        pa.table({"id": np.arange(500), "row": np.arange(500), "label": np.zeros(500, np.int64), "vector": pa.array(list(rows))}), 40
+    )
+    left = []
+    scan = block.scan
+
+    def watched(anchor, alive, settle):
+        return scan(anchor, alive, lambda low, high: (left.append(len(low)), settle(low, high))[1])
+
+    block.scan = watched
+    found, scores = hard_negatives.best(block, rows[0], 0, 5)
+    exact = rows @ rows[0]
+    assert scores.tolist() == sorted(exact, reverse=True)[:5] and exact[found].tolist() == scores.tolist()
+    assert left[0] == 500 and left[1] < 50

@@ -21,6 +21,7 @@ COLUMNS = {
     "op9_nearest_neighbours": "query_id:bigint rank:int vec_id:bigint score:double",
     "op10_sentencepiece": "doc_id:bigint n_bytes:bigint n_tokens:bigint ids_sha256:string round_trip:boolean parity:boolean",
     "op11_spelling_variants": "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
+    "op12_hard_negatives": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
     "op13_warc_transactions": "page_id:bigint payload_bytes:bigint payload_digest:string record_type:string refers_to:bigint",
 }
 
