@@ -1,8 +1,13 @@
 """Configured batch data jobs on Spark DataFrames."""
 
 from millrace.operators import (
+    DenseRank,
     Lag,
+    Lead,
+    NTile,
+    Rank,
     Rolling,
+    Running,
     add_metadata,
     apply_transformations,
     moving,
@@ -28,12 +33,17 @@ from millrace.sinks import WriteResult, WriteVerificationError, write_files
 from millrace.sources import read_files, read_jdbc
 
 __all__ = [
+    "DenseRank",
     "FileSource",
     "JdbcSource",
     "Lag",
+    "Lead",
+    "NTile",
     "PipelineResult",
     "PipelineSpec",
+    "Rank",
     "Rolling",
+    "Running",
     "Target",
     "WriteResult",
     "WriteVerificationError",

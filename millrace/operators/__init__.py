@@ -1,11 +1,16 @@
 from millrace.operators.columns import add_metadata, apply_transformations, standardize, standardize_columns
-from millrace.operators.ordered import Lag, Rolling, moving, positions
+from millrace.operators.ordered import DenseRank, Lag, Lead, NTile, Rank, Rolling, Running, moving, positions
 from millrace.operators.preview import preview
 from millrace.operators.sql import sql_transform
 
 __all__ = [
+    "DenseRank",
     "Lag",
+    "Lead",
+    "NTile",
+    "Rank",
     "Rolling",
+    "Running",
     "add_metadata",
     "apply_transformations",
     "moving",

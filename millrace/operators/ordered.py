@@ -1,10 +1,12 @@
-"""Row numbers, lags and rolling frames that never hold a big group in one task.
+"""Row numbers, ranks, lags and leads, rolling and running frames that never hold a big group in one task.
 
 A plain window sorts each group in one task, which is right as long as groups are small. So groups
 are counted first. The rows of those above a bound are range-partitioned by group and order and
 numbered from end to end; the numbers cut them into blocks, and the window runs per block. A group
 of any size so spreads over many tasks, and all other rows take the plain window. Columns are declared, so that
-both ways give the same values: they look back a known number of rows and no further.
+both ways give the same values. Some look back or ahead a known number of rows, which the block then sees too. Others
+depend on all rows before: each block is summed up (totals, last values, the rank of its last peers), a prefix over
+the blocks of a group carries that into every block, and the block's rows add it to what they have.
 """
 
 from __future__ import annotations
@@ -25,8 +27,45 @@ _MAX_BIG = 100_000  # groups above the bound: a window over one row each of them
 _HOW = {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count}
 
 
+def _last(value: Column) -> Column:
+    return F.last(value, ignorenulls=True)
+
+
+_RUNNING = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count, "last": _last}
+
+
+class _Ordered:
+    """A window column: rows seen before and after, and how it is made of a block and what is carried into it."""
+
+    reach = 0
+    ahead = 0
+
+    def over(self, window: WindowSpec) -> Column:
+        raise NotImplementedError
+
+
+class _Carried(_Ordered):
+    """A column that depends on all rows before."""
+
+    def local(self, window: WindowSpec, order: list[Column], own: Column) -> dict[str, Column]:
+        """Columns of a block's rows; ``own`` tells them from rows of its neighbours."""
+        raise NotImplementedError
+
+    def total(self, part: dict[str, Column], own: Column, earlier: Column, place: Column) -> dict[str, Column]:
+        """Aggregates of a block; ``part`` are its local columns, ``earlier`` tells rows of the block before."""
+        raise NotImplementedError
+
+    def carry(self, total: dict[str, Column], before: WindowSpec, start: Column, copied: Column) -> dict[str, Column]:
+        """What comes into a block, which begins at place ``start`` and sees ``copied`` rows of the one before."""
+        raise NotImplementedError
+
+    def whole(self, part: dict[str, Column], carry: dict[str, Column], start: Column, copied: Column) -> Column:
+        """The column, made of both."""
+        raise NotImplementedError
+
+
 @dataclass(frozen=True)
-class Lag:
+class Lag(_Ordered):
     """The value of ``column`` ``n`` rows before; null where the group does not reach back so far."""
 
     column: str
@@ -41,7 +80,22 @@ class Lag:
 
 
 @dataclass(frozen=True)
-class Rolling:
+class Lead(_Ordered):
+    """The value of ``column`` ``n`` rows after; null where the group does not go on so far."""
+
+    column: str
+    n: int = 1
+
+    @property
+    def ahead(self) -> int:
+        return self.n
+
+    def over(self, window: WindowSpec) -> Column:
+        return F.lead(_named(self.column), self.n).over(window)
+
+
+@dataclass(frozen=True)
+class Rolling(_Ordered):
     """``how`` (sum, min, max, avg, count) of ``column`` over the last ``rows`` rows, this one included."""
 
     how: str
@@ -56,6 +110,115 @@ class Rolling:
         return _HOW[self.how](_named(self.column)).over(window.rowsBetween(1 - self.rows, 0))
 
 
+@dataclass(frozen=True)
+class Running(_Carried):
+    """``how`` of ``column`` over all rows up to this one: sum, min, max, count, avg (sum through count) or last.
+
+    ``last`` is the latest value that is not null. Sums of doubles may differ in their last bits between blocks and
+    a plain window, as the order of additions does; sums of decimals and whole numbers are the same.
+    """
+
+    how: str
+    column: str
+
+    def over(self, window: WindowSpec) -> Column:
+        frame = window.rowsBetween(Window.unboundedPreceding, 0)
+        return self._value({how: _RUNNING[how](_named(self.column)).over(frame) for how in self._parts})
+
+    @property
+    def _parts(self) -> tuple[str, ...]:
+        return ("sum", "count") if self.how == "avg" else (self.how,)
+
+    def _value(self, parts: dict[str, Column]) -> Column:
+        return parts["sum"] / parts["count"] if self.how == "avg" else parts[self.how]
+
+    def local(self, window: WindowSpec, order: list[Column], own: Column) -> dict[str, Column]:
+        frame, value = window.rowsBetween(Window.unboundedPreceding, 0), F.when(own, _named(self.column))
+        return {how: _RUNNING[how](value).over(frame) for how in self._parts}
+
+    def total(self, part: dict[str, Column], own: Column, earlier: Column, place: Column) -> dict[str, Column]:
+        value = _named(self.column)
+        last = F.max_by(value, F.when(own & value.isNotNull(), place))
+        return {how: last if how == "last" else _RUNNING[how](F.when(own, value)) for how in self._parts}
+
+    def carry(self, total: dict[str, Column], before: WindowSpec, start: Column, copied: Column) -> dict[str, Column]:
+        return {how: (F.sum if how == "count" else _RUNNING[how])(value).over(before) for how, value in total.items()}
+
+    def whole(self, part: dict[str, Column], carry: dict[str, Column], start: Column, copied: Column) -> Column:
+        joined = {}
+        for how in self._parts:
+            here, before = part[how], carry[how]
+            if how in ("sum", "count"):
+                joined[how] = F.coalesce(here + before, here, before)
+            else:
+                joined[how] = F.coalesce(here, before) if how == "last" else {"min": F.least, "max": F.greatest}[how](here, before)
+        return self._value(joined)
+
+
+@dataclass(frozen=True)
+class Rank(_Carried):
+    """One more than the number of rows that come earlier in the order; rows that tie have the same."""
+
+    reach = 1
+
+    def over(self, window: WindowSpec) -> Column:
+        return F.rank().over(window).cast("long")
+
+    def local(self, window: WindowSpec, order: list[Column], own: Column) -> dict[str, Column]:
+        return {"rank": F.rank().over(window.orderBy(*order)).cast("long")}
+
+    def total(self, part: dict[str, Column], own: Column, earlier: Column, place: Column) -> dict[str, Column]:
+        return {"rank": F.max(F.when(own, part["rank"]))}
+
+    def carry(self, total: dict[str, Column], before: WindowSpec, start: Column, copied: Column) -> dict[str, Column]:
+        # The rank of a block's last row, if its peers begin in the block; the last one known is that of all its peers.
+        return {"known": _last(F.when(total["rank"] > copied, start - copied + total["rank"])).over(before)}
+
+    def whole(self, part: dict[str, Column], carry: dict[str, Column], start: Column, copied: Column) -> Column:
+        return F.when(part["rank"] > copied, start - copied + part["rank"]).otherwise(carry["known"])
+
+
+@dataclass(frozen=True)
+class DenseRank(_Carried):
+    """One more than the number of different places in the order that come earlier."""
+
+    reach = 1
+
+    def over(self, window: WindowSpec) -> Column:
+        return F.dense_rank().over(window).cast("long")
+
+    def local(self, window: WindowSpec, order: list[Column], own: Column) -> dict[str, Column]:
+        return {"rank": F.dense_rank().over(window.orderBy(*order)).cast("long")}
+
+    def total(self, part: dict[str, Column], own: Column, earlier: Column, place: Column) -> dict[str, Column]:
+        seen = F.coalesce(F.max(F.when(earlier, part["rank"])), F.lit(0))
+        return {"seen": seen, "more": F.max(F.when(own, part["rank"])) - seen}
+
+    def carry(self, total: dict[str, Column], before: WindowSpec, start: Column, copied: Column) -> dict[str, Column]:
+        return {"base": F.coalesce(F.sum(total["more"]).over(before), F.lit(0)) - total["seen"]}
+
+    def whole(self, part: dict[str, Column], carry: dict[str, Column], start: Column, copied: Column) -> Column:
+        return carry["base"] + part["rank"]
+
+
+@dataclass(frozen=True)
+class NTile(_Ordered):
+    """Which of ``n`` parts of the group, as equal as can be and the larger ones first, the row is in."""
+
+    n: int
+
+    def over(self, window: WindowSpec) -> Column:
+        return F.ntile(self.n).over(window).cast("long")
+
+    def at(self, place: Column, rows: Column) -> Column:
+        """From the place in the group and the group's rows."""
+        small, more = F.floor(rows / self.n), rows % self.n
+        wide = more * (small + 1)
+        # With fewer rows than parts every row is a part: those of ``small`` rows have none.
+        later = more + F.floor((place - wide) / F.greatest(small, F.lit(1)))
+        return (F.when(place < wide, F.floor(place / (small + 1))).otherwise(later) + 1).cast("long")
+
+
 def positions(
     df: DataFrame,
     by: Sequence[str],
@@ -71,17 +234,19 @@ def moving(
     df: DataFrame,
     by: Sequence[str],
     order_by: Sequence[str | Column],
-    columns: Mapping[str, Lag | Rolling],
+    columns: Mapping[str, _Ordered],
     position: str | None = None,
     block: int | None = 1 << 20,
 ) -> DataFrame:
     """Add window columns by name, and the row number if ``position`` names it.
 
+    Columns are declared as ``Lag``, ``Lead``, ``Rolling``, ``Running``, ``Rank``, ``DenseRank`` or ``NTile``.
+
     A group of more than ``block`` rows is cut into blocks of that size, each of which also sees as many
-    rows of the one before as the columns look back. At most 100,000 groups may be that big; with
+    rows of its neighbours as the columns look back or ahead. At most 100,000 groups may be that big; with
     more the call is refused, and a bigger ``block`` is needed. ``block=None`` is for callers who know that
     their groups are small: groups are not counted then and none is cut. Without ``by`` all rows are one group.
-    ``order_by`` should end in a key of the group; rows that tie come in any order.
+    ``order_by`` should end in a key of the group; rows that tie come in any order (and share ranks).
 
     Groups are counted, and big ones sorted and written, when this is called, not when its result is read.
     ``df`` is read several times, so write one that is costly or not deterministic to the scratch
@@ -113,8 +278,10 @@ def moving(
     if not n_big:
         return done(plain(rows))
     placed = _placed(_joined(rows, big, by, "left_semi"), big, by, order_by, names)
-    blocked = _blocked(placed, by, columns, position, block, names)
-    return done(plain(_joined(rows, big, by, "left_anti"))).unionByName(done(blocked))
+    small = done(plain(_joined(rows, big, by, "left_anti")))
+    blocked = done(_blocked(placed, by, order_by, columns, position, block, names))
+    # Totals of totals may be of a wider type than a total.
+    return small.unionByName(blocked.select(*[_named(c.name).cast(c.dataType).alias(c.name) for c in small.schema]))
 
 
 @dataclass(frozen=True)
@@ -130,18 +297,25 @@ class _Names:
     place: str
     home: str
     block: str
+    total: str
+    local: str
+    carry: str
 
 
-def _check(df: DataFrame, columns: Mapping[str, Lag | Rolling], position: str | None, block: int | None) -> None:
+def _check(df: DataFrame, columns: Mapping[str, _Ordered], position: str | None, block: int | None) -> None:
     for name, column in columns.items():
-        if not isinstance(column, (Lag, Rolling)):
-            raise TypeError(f"{name}: declare the column as Lag or Rolling")
-        if isinstance(column, Lag) and column.n < 1 or isinstance(column, Rolling) and column.rows < 1:
-            raise ValueError(f"{name}: a column looks back, by one row at least")
-        if isinstance(column, Rolling) and column.how not in _HOW:
-            raise ValueError(f"{name}: unknown {column.how!r}; expected one of {', '.join(_HOW)}")
-        if block is not None and column.reach > block:
-            raise ValueError(f"{name}: reach {column.reach} must not exceed the block of {block} rows")
+        if not isinstance(column, _Ordered):
+            kinds = ", ".join(kind.__name__ for kind in (Lag, Lead, Rolling, Running, Rank, DenseRank))
+            raise TypeError(f"{name}: declare the column as Lag or Rolling, or another of {kinds} or NTile")
+        if isinstance(column, (Lag, Lead)) and column.n < 1 or isinstance(column, Rolling) and column.rows < 1:
+            raise ValueError(f"{name}: a column looks back or ahead, by one row at least")
+        if isinstance(column, NTile) and column.n < 1:
+            raise ValueError(f"{name}: one part at least")
+        known = _RUNNING.keys() | {"avg"} if isinstance(column, Running) else _HOW
+        if isinstance(column, (Rolling, Running)) and column.how not in known:
+            raise ValueError(f"{name}: unknown {column.how!r}; expected one of {', '.join(sorted(known))}")
+        if block is not None and max(column.reach, column.ahead) > block:
+            raise ValueError(f"{name}: reach {max(column.reach, column.ahead)} must not exceed the block of {block} rows")
     if block is not None and block < 1:
         raise ValueError("block must be one row at least")
     results = [*columns, *([position] if position else [])]
@@ -159,7 +333,7 @@ def _named(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def _results(window: WindowSpec, columns: Mapping[str, Lag | Rolling], number: Column | None, position: str | None):
+def _results(window: WindowSpec, columns: Mapping[str, _Ordered], number: Column | None, position: str | None):
     found = {name: column.over(window) for name, column in columns.items()}
     return found if position is None else {**found, position: number}
 
@@ -181,12 +355,13 @@ def _placed(rows: DataFrame, big: DataFrame, by: list[str], order_by: list[Colum
         .select(names.part, _before(names, F.col(names.part)).alias(names.offset)),
         "offsets",
     )
-    starts = big.select(*map(_named, by), _before(names, *map(_named, by)).alias(names.start))
+    total = F.col(names.rows).alias(names.total)
+    starts = big.select(*map(_named, by), total, _before(names, *map(_named, by)).alias(names.start))
     starts = materialize(starts, "starts")
     index = F.col(names.offset) + F.col(names.mark).bitwiseAND((1 << _ID_BITS) - 1)
     indexed = ordered.join(offsets, part == F.col(names.part))
     return _joined(indexed, starts, by, "inner").select(
-        *map(_named, rows.columns), (index - F.col(names.start)).alias(names.place)
+        *map(_named, rows.columns), (index - F.col(names.start)).alias(names.place), names.total
     )
 
 
@@ -197,22 +372,59 @@ def _before(names: _Names, *order: Column) -> Column:
 
 
 def _blocked(
-    rows: DataFrame, by: list[str], columns: Mapping[str, Lag | Rolling], position: str | None, block: int, names: _Names
+    rows: DataFrame,
+    by: list[str],
+    order_by: list[Column],
+    columns: Mapping[str, _Ordered],
+    position: str | None,
+    block: int,
+    names: _Names,
 ) -> DataFrame:
-    place, reach = F.col(names.place), max([0, *(column.reach for column in columns.values())])
+    place, home, at = F.col(names.place), F.col(names.home), F.col(names.block)
+    reach, ahead = (max([0, *(getattr(column, side) for column in columns.values())]) for side in ("reach", "ahead"))
     rows = rows.withColumn(names.home, ((place - place % block) / block).cast("long"))
+    places = [home]
     if reach:
-        copied = F.when(place % block >= block - reach, F.array(names.home, F.col(names.home) + 1))
-        rows = rows.withColumn(names.block, F.explode(F.coalesce(copied, F.array(names.home))))
-    else:
-        rows = rows.withColumn(names.block, F.col(names.home))
-    window = Window.partitionBy(*map(_named, by), names.block).orderBy(names.place)
-    found = rows.withColumns(_results(window, columns, place + 1, position))
-    return found.where(F.col(names.block) == F.col(names.home))
+        places.append(F.when(place % block >= block - reach, home + 1))
+    if ahead:
+        places.append(F.when((place % block < ahead) & (home > 0), home - 1))
+    # A block after the last one has only rows of the one before; they are not its own, so it gives none.
+    copies = F.explode(F.array_compact(F.array(*places))) if len(places) > 1 else home
+    rows = rows.withColumn(names.block, copies)
+    window, own = Window.partitionBy(*map(_named, by), names.block).orderBy(names.place), at == home
+    carried = {name: column for name, column in columns.items() if isinstance(column, _Carried)}
+    tiles = {name: column.at(place, F.col(names.total)) for name, column in columns.items() if isinstance(column, NTile)}
+    seen = {name: column for name, column in columns.items() if name not in carried and name not in tiles}
+    found = rows.withColumns({**_results(window, seen, place + 1, position), **tiles})
+    if not carried:
+        return found.where(own)
+
+    def parts(some: dict[str, Column], kind: str, name: str) -> dict[str, tuple[str, Column]]:
+        """Helper columns of the result ``name``: what they are called, and what they are."""
+        return {part: (f"{kind}{list(carried).index(name)}_{part}", value) for part, value in some.items()}
+
+    def flat(made: dict[str, dict[str, tuple[str, Column]]]) -> dict[str, Column]:
+        return {called: value for one in made.values() for called, value in one.values()}
+
+    def named(made: dict[str, tuple[str, Column]]) -> dict[str, Column]:
+        return {part: F.col(called) for part, (called, _) in made.items()}
+
+    local = {name: parts(column.local(window, order_by, own), names.local, name) for name, column in carried.items()}
+    # Written: rows are summed up by block, and then meet what the sums carry into their block.
+    found = materialize(found.withColumns(flat(local)), "blocks")
+    total = {name: parts(column.total(named(local[name]), own, home < at, place), names.total, name) for name, column in carried.items()}
+    sums = found.groupBy(*map(_named, by), at).agg(*[value.alias(called) for called, value in flat(total).items()])
+    before = Window.partitionBy(*map(_named, by)).orderBy(names.block).rowsBetween(Window.unboundedPreceding, -1)
+    start, copied = at * block, F.when(at > 0, F.lit(reach)).otherwise(F.lit(0))
+    carry = {name: parts(column.carry(named(total[name]), before, start, copied), names.carry, name) for name, column in carried.items()}
+    sums = sums.select(*map(_named, by), names.block, *[value.alias(called) for called, value in flat(carry).items()])
+    sums = materialize(sums, "carried")
+    joined = _joined(found.where(own), sums, [*by, names.block], "inner")
+    return joined.withColumns({name: column.whole(named(local[name]), named(carry[name]), start, copied) for name, column in carried.items()})
 
 
 def _joined(rows: DataFrame, few: DataFrame, by: list[str], how: str) -> DataFrame:
-    """Join on the group, null being a group, to a frame with one row per big group."""
+    """Join on the group, null being a group, to a frame with one row per big group (or block of one)."""
     own = {c: unused([*rows.columns, *few.columns], f"__few_{i}") for i, c in enumerate(by)}
     renamed = few.select(*[_named(c).alias(own.get(c, c)) for c in few.columns])
     same = reduce(and_, [_named(c).eqNullSafe(_named(own[c])) for c in by])

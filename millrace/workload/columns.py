@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.money import cents, total_of, wide
 from millrace.operators import (
+    DenseRank,
     Lag,
+    Lead,
+    NTile,
+    Rank,
     Rolling,
+    Running,
     add_metadata,
     apply_transformations,
     moving,
@@ -106,6 +111,29 @@ def blocks_rolling(spark, folder):
     )
 
 
+def blocks_running(spark, folder):
+    """Frames from the first row on, carried across blocks."""
+    events = table(spark, folder, "events").select("event_type", "ts", "event_id", "user_id", cents("value").alias("value"))
+    clicked = events.withColumn("clicker", F.when(F.col("event_id") % 7 == 0, F.col("user_id")))
+    columns = {
+        "total": Running("sum", "value"),
+        "least": Running("min", "value"),
+        "most": Running("max", "value"),
+        "clickers": Running("count", "clicker"),
+        "last_clicker": Running("last", "clicker"),
+        "next": Lead("event_id", 2),
+        "tenth": NTile(10),
+    }
+    found = moving(clicked, ["event_type"], ["ts", "event_id"], columns, block=100)
+    return found.select("event_id", *[wide(F.col(c)).alias(c) for c in ("total", "least", "most")], "clickers", "last_clicker", "next", "tenth")
+
+
+def blocks_rank(spark, folder):
+    """Lines of a flag ranked by quantity: many tie, and those that do lie in several blocks."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return moving(lines, ["l_returnflag"], [F.desc("l_quantity")], {"place": Rank(), "step": DenseRank()}, block=1000).drop("l_returnflag")
+
+
 def group_totals(spark, folder):
     lines = table(spark, folder, "lineitem")
     return lines.groupBy("l_returnflag", "l_linestatus").agg(
@@ -185,6 +213,22 @@ CASES = {
            lag(event_id, 3) over (partition by event_type order by ts, event_id) as prev
     from events window w as (partition by event_type order by ts, event_id rows between 4 preceding and current row)""",
     ),
+    "window_blocks_running": Case(
+        blocks_running,
+        """
+    select event_id, cast(sum(v) over w as decimal(38,2)) as total, cast(min(v) over w as decimal(38,2)) as least,
+           cast(max(v) over w as decimal(38,2)) as most, count(clicker) over w as clickers,
+           last_value(clicker ignore nulls) over w as last_clicker, lead(event_id, 2) over o as next, ntile(10) over o as tenth
+    from (select *, cast(value as decimal(18,2)) as v, case when event_id % 7 = 0 then user_id end as clicker from events)
+    window o as (partition by event_type order by ts, event_id),
+           w as (partition by event_type order by ts, event_id rows between unbounded preceding and current row)""",
+    ),
+    "window_blocks_rank": Case(
+        blocks_rank,
+        """
+    select l_orderkey, l_linenumber, l_partkey, l_quantity, rank() over w as place, dense_rank() over w as step
+    from lineitem window w as (partition by l_returnflag order by l_quantity desc)""",
+    ),
     "window_rolling_sum": Case(
         rolling_sum,
         """

@@ -1,10 +1,12 @@
 """Distributed row numbers and frames against plain windows, hot and null groups included."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import Lag, Rolling, moving, ordered, positions
+from millrace.operators import DenseRank, Lag, Lead, NTile, Rank, Rolling, Running, moving, ordered, positions
 
 
 @pytest.fixture(scope="module")
@@ -135,3 +137,95 @@ def test_two_group_columns_and_no_rows(skewed):
 def test_reach_must_fit_in_a_block(skewed):
     with pytest.raises(ValueError, match="reach"):
         moving(skewed, ["g"], ["id"], {"p": Lag("id", 5)}, block=4)
+
+
+CARRIED = {
+    "s": Running("sum", "v"),
+    "lo": Running("min", "w"),
+    "hi": Running("max", "w"),
+    "n": Running("count", "w"),
+    "a": Running("avg", "v"),
+    "last": Running("last", "w"),
+    "next": Lead("id", 2),
+    "prev": Lag("id", 3),
+    "rk": Rank(),
+    "dr": DenseRank(),
+    "part": NTile(7),
+}
+
+
+def plain_columns(window):
+    running = window.rowsBetween(Window.unboundedPreceding, 0)
+    return {
+        "s": F.sum("v").over(running),
+        "lo": F.min("w").over(running),
+        "hi": F.max("w").over(running),
+        "n": F.count("w").over(running),
+        "a": F.sum("v").over(running) / F.count("v").over(running),
+        "last": F.last("w", ignorenulls=True).over(running),
+        "next": F.lead("id", 2).over(window),
+        "prev": F.lag("id", 3).over(window),
+        "rk": F.rank().over(window).cast("long"),
+        "dr": F.dense_rank().over(window).cast("long"),
+        "part": F.ntile(7).over(window).cast("long"),
+    }
+
+
+@pytest.fixture(scope="module")
+def gappy(skewed):
+    """Some values are null: at the start of a group, here and there, and in all of a small group."""
+    return skewed.withColumn("w", F.when((F.col("id") % 5 == 0) & (F.col("id") > 300), (F.col("id") * 31) % 997))
+
+
+@pytest.mark.parametrize("block", [3, 7, 50, 999, 4000, 1 << 20, None])
+def test_running_columns_and_ranks_across_blocks(gappy, window, block):
+    got = moving(gappy, ["g"], [F.desc("v"), "id"], CARRIED, "rn", block)
+    want = gappy.withColumns({**plain_columns(window), "rn": F.row_number().over(window).cast("long")})
+    assert got.schema == want.schema or got.dtypes == want.dtypes
+    assert rows_of(got) == rows_of(want)
+
+
+@pytest.mark.parametrize("block", [2, 3, 10, 64, 500, 1 << 20])
+@pytest.mark.parametrize("values", [1, 3, 400])
+def test_ranks_of_peers_that_reach_across_blocks(skewed, block, values):
+    """Of one value, all rows are peers; a run of peers may begin any number of blocks before."""
+    some = skewed.withColumn("p", F.when(F.col("id") % 13 != 0, F.col("v") * F.col("id") % values))
+    order = Window.partitionBy("g").orderBy(F.desc_nulls_first("p"))
+    got = moving(some, ["g"], [F.desc_nulls_first("p")], {"rk": Rank(), "dr": DenseRank()}, None, block)
+    want = some.withColumns({"rk": F.rank().over(order).cast("long"), "dr": F.dense_rank().over(order).cast("long")})
+    assert rows_of(got) == rows_of(want)
+
+
+@pytest.mark.parametrize("block", [5, 1 << 20])
+def test_ranks_beside_columns_that_look_back_further(skewed, window, block):
+    order = Window.partitionBy("g").orderBy("v")
+    got = moving(skewed, ["g"], ["v"], {"rk": Rank(), "dr": DenseRank(), "c": Rolling("count", "id", 5)}, None, block)
+    want = skewed.withColumns({"rk": F.rank().over(order).cast("long"), "dr": F.dense_rank().over(order).cast("long")})
+    assert rows_of(got.drop("c")) == rows_of(want)  # peers come in any order, so their counts differ
+
+
+@pytest.mark.parametrize("block", [10, 1 << 20])
+def test_running_columns_of_odd_types_and_without_groups(spark, block):
+    rows = [(i, None if i % 3 else f"t{i % 7}", Decimal(i) / 100, i / 7, {"a": i} if i % 4 == 0 else None) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, `t.x` string, d decimal(12,2), f double, __total map<string,int>")
+    columns = {"lo": Running("min", "t.x"), "d2": Running("sum", "d"), "da": Running("avg", "d"), "f2": Running("max", "f"), "m": Running("last", "__total"), "k": NTile(200)}
+    got = moving(df, [], ["id"], columns, None, block)
+    running = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns(
+        {
+            "lo": F.min("`t.x`").over(running),
+            "d2": F.sum("d").over(running),
+            "da": F.sum("d").over(running) / F.count("d").over(running),
+            "f2": F.max("f").over(running),
+            "m": F.last("__total", ignorenulls=True).over(running),
+            "k": F.ntile(200).over(Window.orderBy("id")).cast("long"),
+        }
+    )
+    assert got.dtypes == want.dtypes
+    assert rows_of(got) == rows_of(want)
+
+
+def test_bad_declarations_are_refused(skewed):
+    for bad in (Lead("id", 0), Running("median", "v"), NTile(0), Lead("id", 200)):
+        with pytest.raises(ValueError):
+            moving(skewed, ["g"], ["id"], {"r": bad}, None, 100)
