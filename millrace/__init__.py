@@ -10,12 +10,15 @@ from millrace.operators import (
     Running,
     add_metadata,
     apply_transformations,
+    asof_join,
     moving,
+    overlap_join,
     positions,
     preview,
     sql_transform,
     standardize,
     standardize_columns,
+    top_k,
 )
 from millrace.plans import (
     FileSource,
@@ -49,7 +52,9 @@ __all__ = [
     "WriteVerificationError",
     "add_metadata",
     "apply_transformations",
+    "asof_join",
     "moving",
+    "overlap_join",
     "positions",
     "preview",
     "probe_sources",
@@ -62,5 +67,6 @@ __all__ = [
     "sql_transform",
     "standardize",
     "standardize_columns",
+    "top_k",
     "write_files",
 ]

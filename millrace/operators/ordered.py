@@ -281,7 +281,8 @@ def moving(
     small = done(plain(_joined(rows, big, by, "left_anti")))
     blocked = done(_blocked(placed, by, order_by, columns, position, block, names))
     # Totals of totals may be of a wider type than a total.
-    return small.unionByName(blocked.select(*[_named(c.name).cast(c.dataType).alias(c.name) for c in small.schema]))
+    kinds = {c.name: c.dataType for c in small.schema if c.dataType.simpleString() != blocked.schema[c.name].dataType.simpleString()}
+    return small.unionByName(blocked.withColumns({name: _named(name).cast(kind) for name, kind in kinds.items()}) if kinds else blocked)
 
 
 @dataclass(frozen=True)

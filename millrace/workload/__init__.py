@@ -1,5 +1,5 @@
 """The registered queries, each with its oracle."""
 
-from millrace.workload import columns, files, reports, text
+from millrace.workload import columns, files, joins, reports, text
 
-CASES = {**reports.CASES, **columns.CASES, **files.CASES, **text.CASES}
+CASES = {**reports.CASES, **columns.CASES, **files.CASES, **text.CASES, **joins.CASES}
