@@ -11,6 +11,7 @@ from millrace.operators import (
     add_metadata,
     apply_transformations,
     asof_join,
+    difference,
     moving,
     overlap_join,
     positions,
@@ -26,11 +27,15 @@ from millrace.plans import (
     PipelineResult,
     PipelineSpec,
     Target,
+    UpsertResult,
+    merge_sketches,
     probe_sources,
     probe_target,
     run_pipeline,
     run_report,
     spec_from_maps,
+    upsert_days,
+    write_sketches,
 )
 from millrace.sinks import WriteResult, WriteVerificationError, write_files
 from millrace.sources import read_files, read_jdbc
@@ -48,11 +53,14 @@ __all__ = [
     "Rolling",
     "Running",
     "Target",
+    "UpsertResult",
     "WriteResult",
     "WriteVerificationError",
     "add_metadata",
     "apply_transformations",
     "asof_join",
+    "difference",
+    "merge_sketches",
     "moving",
     "overlap_join",
     "positions",
@@ -68,5 +76,7 @@ __all__ = [
     "standardize",
     "standardize_columns",
     "top_k",
+    "upsert_days",
     "write_files",
+    "write_sketches",
 ]

@@ -1,6 +1,7 @@
 from millrace.operators.asof import asof_join
 from millrace.operators.best import top_k
 from millrace.operators.columns import add_metadata, apply_transformations, standardize, standardize_columns
+from millrace.operators.difference import difference
 from millrace.operators.intervals import overlap_join
 from millrace.operators.ordered import DenseRank, Lag, Lead, NTile, Rank, Rolling, Running, moving, positions
 from millrace.operators.preview import preview
@@ -17,6 +18,7 @@ __all__ = [
     "add_metadata",
     "apply_transformations",
     "asof_join",
+    "difference",
     "moving",
     "overlap_join",
     "positions",

@@ -17,6 +17,8 @@ from millrace.plans.reports import (
     sample_data_processing,
 )
 from millrace.plans.routes import REPORTS, run_report
+from millrace.plans.sketches import merge_sketches, sketches, write_sketches
+from millrace.plans.upsert import UpsertResult, upsert_days
 
 __all__ = [
     "FileSource",
@@ -25,9 +27,11 @@ __all__ = [
     "PipelineSpec",
     "REPORTS",
     "Target",
+    "UpsertResult",
     "customer_analytics",
     "department_report",
     "employee_analytics",
+    "merge_sketches",
     "probe_sources",
     "probe_target",
     "rep_sales_rollup",
@@ -35,5 +39,8 @@ __all__ = [
     "run_report",
     "sales_analytics",
     "sample_data_processing",
+    "sketches",
     "spec_from_maps",
+    "upsert_days",
+    "write_sketches",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.formats import CSV_NULL, TIMESTAMP_FORMATS, checked_format
+from millrace.operators.contents import checksum
 from millrace.operators.spread import with_hashes, with_numbers
 from millrace.paths import overlap, path_exists, qualified, read_paths
 from millrace.sources.files import read_files
@@ -43,7 +44,7 @@ def write_files(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str | Column] = (),
     rebalance: bool = False,
-    verify: bool = False,
+    verify: bool | str = False,
     options: Mapping[str, object] | None = None,
     split_copies: bool = False,
 ) -> WriteResult:
@@ -57,13 +58,16 @@ def write_files(
     ``sort_by`` orders the rows across all output files and lets rows of equal keys lie in several of them;
     ``split_copies`` lets even copies of one row, at the price of a sort within each task before. ``rebalance`` shuffles rows of equal
     partition values together and evens out the file sizes; Spark splits values that are too big
-    for one task. ``verify`` reads the target back and compares counts. ``mode="ignore"`` leaves an
-    existing target alone.
+    for one task. ``verify`` reads the target back and compares counts; ``verify="content"`` compares checksums of whole
+    rows too, which are summed in the stage that writes, and over what is read back: a changed cell, a row too many or cells
+    that changed places raise. ``mode="ignore"`` leaves an existing target alone.
 
     Overwriting a path that ``df`` still reads from is refused, as it would lose the data. Replacing
     partitions of it is fine: Spark puts them in place after everything has been read.
     """
     fmt, mode = checked_format(fmt), checked_mode(mode)
+    if verify not in (True, False, "content"):
+        raise ValueError(f"verify is True, False or 'content', not {verify!r}")
     spark = df.sparkSession
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     sort_by = [sort_by] if isinstance(sort_by, (str, Column)) else list(sort_by)
@@ -74,34 +78,47 @@ def write_files(
     if mode == "ignore" and path_exists(spark, path):
         return WriteResult(path, fmt, mode, 0, skipped=True)
 
-    def stored() -> int:
-        return read_files(spark, path, fmt, schema=df.schema, options=options).count()
+    # Counts of rows or, for their contents, counts and checksums: sums, so that those of an append add up.
+    sums = checksum(df) if verify == "content" else [F.count(F.lit(1)).alias("rows")]
 
-    before = stored() if verify and mode == "append" and path_exists(spark, path) else 0
-    counted = Observation()
+    def summed(rows: DataFrame) -> list:
+        return list(rows.agg(*sums).first())
+
+    def stored() -> list:
+        # In the order of the data, as readers put partition columns last.
+        return summed(read_files(spark, path, fmt, schema=df.schema, options=options).select(*[_named(c) for c in df.columns]))
+
+    before = stored() if verify and mode == "append" and path_exists(spark, path) else [0] * len(sums)
+    observed = Observation()
     # The count sits in the stage that writes: a stage before a shuffle may run a task twice,
     # or once more to sample sort ranges, and would count it again.
-    placed = _placed(_checked(df, partition_by), partition_by, sort_by, rebalance, split_copies).observe(counted, F.count(F.lit(1)).alias("rows"))
+    placed = _placed(_checked(df, partition_by), partition_by, sort_by, rebalance, split_copies).observe(observed, *sums)
     writer = placed.write.mode(mode).format(fmt).options(**_options(df, fmt, partition_by))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.options(**(options or {})).save(path)
-    rows = _reported(counted)
+    written = _reported(observed)
     if verify:
-        found = stored() - before
-        if rows is None:  # not a mismatch: the count was lost, so the data is counted once more
-            rows = df.count()
-        if found != rows:
-            raise WriteVerificationError(f"Wrote {rows} rows to {path} but found {found}")
-    return WriteResult(path, fmt, mode, rows)
+        found = [now - then for now, then in zip(stored(), before)]
+        if written is None:  # not a mismatch: what was observed was lost, so the data is summed once more
+            written = dict(zip(("rows", "sum_1", "sum_2"), summed(df)))
+        if found[0] != written["rows"]:
+            raise WriteVerificationError(f"Wrote {written['rows']} rows to {path} but found {found[0]}")
+        if found != list(written.values()):
+            raise WriteVerificationError(f"Wrote {written['rows']} rows to {path} but found others")
+    return WriteResult(path, fmt, mode, written and written["rows"])
+
+
+def _named(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
 
 
-def _reported(counted: Observation) -> int | None:
+def _reported(observed: Observation) -> dict | None:
     """The count, which comes through the listener bus; an overloaded driver may drop it there."""
-    found: list[int] = []
-    waiting = Thread(target=lambda: found.append(counted.get["rows"]), daemon=True)
+    found: list[dict] = []
+    waiting = Thread(target=lambda: found.append(observed.get), daemon=True)
     waiting.start()
     waiting.join(_PATIENCE)
     return found[0] if found else None
