@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.formats import CSV_NULL, checked_format
@@ -34,6 +35,34 @@ def read_files(
     of that name, which is null for all others. It needs ``schema``, and there is then no check of
     a CSV header.
     """
+    return _set(spark.read, fmt, header, schema, multi_line, options, corrupt_column).load(path)
+
+
+def stream_files(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    header: bool = True,
+    schema: StructType | str | None = None,
+    multi_line: bool | None = None,
+    options: Mapping[str, object] | None = None,
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """The same files as a stream: each is read once, when it has come. A stream needs a schema."""
+    if schema is None:
+        raise ValueError("A stream of files needs a schema")
+    return _set(spark.readStream, fmt, header, schema, multi_line, options, corrupt_column).load(path)
+
+
+def _set(
+    reader: DataFrameReader | DataStreamReader,
+    fmt: str,
+    header: bool,
+    schema: StructType | str | None,
+    multi_line: bool | None,
+    options: Mapping[str, object] | None,
+    corrupt_column: str | None,
+):
     fmt = checked_format(fmt)
     if corrupt_column is not None and (schema is None or fmt == "parquet"):
         raise ValueError("corrupt_column needs CSV or JSON and a schema")
@@ -42,7 +71,6 @@ def read_files(
         shape = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         schema = StructType([*shape.fields, StructField(corrupt_column, StringType())])
         strict = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
-    reader = spark.read
     if fmt == "csv":
         reader = reader.options(
             header=header,
@@ -57,4 +85,4 @@ def read_files(
         reader = reader.options(multiLine=bool(multi_line), **strict)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.options(**(options or {})).format(fmt).load(path)
+    return reader.options(**(options or {})).format(fmt)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from millrace.functions.money import cents, total_of, wide
@@ -20,8 +22,10 @@ from millrace.operators import (
     standardize,
     standardize_columns,
 )
+from millrace.scratch import materialize
 from millrace.workload.case import Case, money, table
 
+
 def _clock():
     return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -134,6 +138,19 @@ def blocks_rank(spark, folder):
     return moving(lines, ["l_returnflag"], [F.desc("l_quantity")], {"place": Rank(), "step": DenseRank()}, block=1000).drop("l_returnflag")
 
 
+def live_clock(spark, folder):
+    """The default clock: one moment for all rows, not before the call and not after the read, and its day."""
+    before = F.lit(datetime.now(timezone.utc))
+    rows = materialize(add_metadata(table(spark, folder, "customer"), "crm"), "clock")
+    moment = F.col("_ingestion_timestamp")
+    return rows.groupBy("_source_system").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(moment).alias("moments"),
+        F.bool_and(moment.between(before, F.current_timestamp())).alias("between_start_and_now"),
+        F.bool_and(F.col("_processing_date") == moment.cast("date")).alias("its_day"),
+    )
+
+
 def group_totals(spark, folder):
     lines = table(spark, folder, "lineitem")
     return lines.groupBy("l_returnflag", "l_linestatus").agg(
@@ -169,6 +186,10 @@ CASES = {
     from customer""",
     ),
     "add_metadata": Case(audited, f"select *, {_AUDIT}, 'crm' as _source_system from customer"),
+    "live_clock": Case(
+        live_clock,
+        "select 'crm' as _source_system, count(*) as n, cast(1 as bigint) as moments, true as between_start_and_now, true as its_day from customer",
+    ),
     "standardize": Case(
         standardized,
         f"""
