@@ -1,4 +1,7 @@
-"""Suffix-array dedup: bytes covered by a string of ``LENGTH`` bytes that starts anywhere else are removed.
+"""Suffix-array dedup: bytes covered by a string of a given length that starts anywhere else are removed.
+
+The length is that of a :class:`Window`, 400 bytes if none is given; LENGTH, ANCHOR and WIDTH below are its parts. A window may also say
+how many words or bytes a removed run has to hold, so that short strings find passages but are not passages themselves.
 
 Texts are UTF-8 bytes, a null is an empty text. The string may start elsewhere in the same text, and
 occurrences may overlap. What is removed is judged on the input, not on what is left.
@@ -21,7 +24,7 @@ pass over the transform of all texts. So the texts are cut first, without losing
   by hash. Every step there is an aggregation or a join that Spark can split.
 
 Texts are identified by 128 bits, runs and windows by 96 to 128. Rows of equal texts are one text; a text that
-several rows have and that is LENGTH or longer is removed whole. So repeated rows and repeated or null ids need no
+several rows have and that is LENGTH or longer (and holds what a window asks for) is removed whole. So repeated rows and repeated or null ids need no
 care. An empty table gives an empty result.
 """
 
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +44,38 @@ from millrace.llm import texts
 from millrace.llm.rows import fresh, quoted, text_key
 from millrace.scratch import materialize
 
-LENGTH = 400
-ANCHOR = 128
-WIDTH = LENGTH - ANCHOR + 1
 GROUP = 16_384
 BAND = 35
 
-#: Length of the anchors that a crowded anchor is refined to.
-INNER = LENGTH - BAND + 1
+
+@dataclass(frozen=True)
+class Window:
+    """What repeats: strings of ``length`` bytes, found by anchors of ``anchor`` bytes.
+
+    If ``words`` is given, a run of bytes so covered is removed only if it holds that many words (between blanks) or ``enough`` bytes.
+    """
+
+    length: int = 400
+    anchor: int = 128
+    words: int | None = None
+    enough: int = 400
+
+    @property
+    def width(self) -> int:
+        """Runs of an anchor's length in a window."""
+        return self.length - self.anchor + 1
+
+    @property
+    def inner(self) -> int:
+        """Length of the anchors that a crowded anchor is refined to."""
+        return self.length - BAND + 1
+
+    def holds(self, run: bytes) -> bool:
+        """Is a run to be removed?"""
+        return self.words is None or len(run) >= self.enough or len(run.split(None, self.words)) >= self.words
+
+
+WINDOW = Window()
 
 #: Bytes of a long text looked at together.
 SLICE = 1_000_000
@@ -63,28 +91,29 @@ def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(content: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: Window = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors of all windows that lie within a text."""
-    if len(content) < LENGTH:
+    length, anchor, width = window.length, window.anchor, window.width
+    if len(content) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    first = np.arange(len(content) - ANCHOR + 1)
-    runs = texts.hashes(texts.prefix_sums(content.astype(np.uint64) + np.uint64(1)), first, first + ANCHOR)
-    least = _sliding(runs, WIDTH, True)
+    first = np.arange(len(content) - anchor + 1)
+    runs = texts.hashes(texts.prefix_sums(content.astype(np.uint64) + np.uint64(1)), first, first + anchor)
+    least = _sliding(runs, width, True)
     inside = np.zeros(len(content) + 1, dtype=np.int64)
-    long = ends - starts >= LENGTH
+    long = ends - starts >= length
     np.add.at(inside, starts[long], 1)
-    np.add.at(inside, ends[long] - LENGTH + 1, -1)
+    np.add.at(inside, ends[long] - length + 1, -1)
     least[np.cumsum(inside)[: len(least)] == 0] = 0
-    padded = np.concatenate((np.zeros(WIDTH - 1, np.uint64), least, np.zeros(WIDTH - 1, np.uint64)))
-    at = np.flatnonzero((_sliding(padded, WIDTH, False) == runs) & (runs > 0))
+    padded = np.concatenate((np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)))
+    at = np.flatnonzero((_sliding(padded, width, False) == runs) & (runs > 0))
     return at, runs[at]
 
 
-def _sliced(content: np.ndarray):
+def _sliced(content: np.ndarray, window: Window):
     """Anchors of one text, a slice at a time; a slice sees every window around its places."""
     for first in range(0, len(content), SLICE):
-        low, high = max(0, first - WIDTH + 1), min(len(content), first + SLICE + LENGTH)
-        at, runs = anchors(content[low:high], np.array([0]), np.array([high - low]))
+        low, high = max(0, first - window.width + 1), min(len(content), first + SLICE + window.length)
+        at, runs = anchors(content[low:high], np.array([0]), np.array([high - low]), window)
         at += low
         own = (at >= first) & (at < first + SLICE)
         yield at[own], runs[own]
@@ -95,29 +124,29 @@ def _keyed(docs: DataFrame, text_col: str, *more) -> DataFrame:
     return docs.select(*more, k1.alias("k1"), k2.alias("k2"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def _places(rows: DataFrame) -> DataFrame:
+def _places(rows: DataFrame, window: Window) -> DataFrame:
     """``run`` (hash of an anchor), k1 and k2, at: every anchor of every text."""
 
     def find(batches):
         for batch in texts.pieces(batches, "text", SLICE):
             starts, ends, content = texts.spans(batch.column("text"))
-            for at, runs in _sliced(content) if len(batch) == 1 else [anchors(content, starts, ends)]:
+            for at, runs in _sliced(content, window) if len(batch) == 1 else [anchors(content, starts, ends, window)]:
                 row = pa.array(np.searchsorted(ends, at, side="right"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(runs.view(np.int64)), batch.column("k1").take(row), batch.column("k2").take(row), pa.array(at - starts[row.to_numpy()])],
                     names=["run", "k1", "k2", "at"],
                 )
 
-    return rows.where(F.octet_length("text") >= LENGTH).mapInArrow(find, "run long, k1 long, k2 long, at long")
+    return rows.where(F.octet_length("text") >= window.length).mapInArrow(find, "run long, k1 long, k2 long, at long")
 
 
 def _place() -> Column:
     return F.xxhash64("k1", "k2", "at")
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, window: Window) -> DataFrame:
     """Distinct anchors (run, k1, k2, at) whose run stands in two places at least."""
-    found = materialize(_places(rows), "anchors")
+    found = materialize(_places(rows, window), "anchors")
     twice = found.groupBy("run").agg(F.min(_place()).alias("a"), F.max(_place()).alias("b")).where("a <> b").select("run")
     # Written, so that the join has a plain scan on both sides and Spark can split a run that very many places have;
     # as one column, so that rows that a common run has are told apart by hashes of their own.
@@ -125,9 +154,9 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return materialize(rows.distinct().select("row.*"), "candidates")
 
 
-def _cut(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _cut(chosen: DataFrame, window: Window) -> tuple[DataFrame, DataFrame]:
     """Strings around the anchors of ``chosen`` (k1, k2, text, anchors); those of crowded anchors refined."""
-    reach = WIDTH - 1
+    reach, anchor, inner = window.width - 1, window.anchor, window.inner
 
     def plain(batches):
         for batch in batches:
@@ -138,7 +167,7 @@ def _cut(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
                     for one in found:
                         if one["crowded"]:
                             continue
-                        a, b = one["at"], one["at"] + ANCHOR
+                        a, b = one["at"], one["at"] + anchor
                         row = (one["run"], zlib.crc32(raw[a:b]), k1, k2, a, raw[max(0, a - reach) : a], raw[b : b + reach])
                         for c, value in zip(out, row):
                             out[c].append(value)
@@ -151,8 +180,8 @@ def _cut(chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
                 for k1, k2, text, found in zip(*(part.column(c).to_pylist() for c in ("k1", "k2", "text", "anchors"))):
                     raw = text.encode()
                     for one in found:
-                        for a in range(one["at"], one["at"] - WIDTH, -BAND) if one["crowded"] else ():
-                            b = a + INNER
+                        for a in range(one["at"], one["at"] - reach - 1, -BAND) if one["crowded"] else ():
+                            b = a + inner
                             if a >= 0 and b <= len(raw):
                                 row = (xxhash.xxh128_digest(raw[a:b]), k1, k2, a, raw[max(0, a - BAND + 1) : a], raw[b : b + BAND - 1])
                                 for c, value in zip(out, row):
@@ -224,13 +253,13 @@ def _symbols(strings: list[bytes], reach: int) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def _repeated(strings: DataFrame) -> DataFrame:
+def _repeated(strings: DataFrame, window: Window) -> DataFrame:
     """k1, k2, start, end: bytes covered by repeated windows around anchors that are not crowded."""
 
     def construct(batches):
         for table in _collections(batches):
             group = np.concatenate(([0], np.cumsum((table["run"][1:] != table["run"][:-1]) | (table["check"][1:] != table["check"][:-1]))))
-            found = columns(group, table["left"], table["right"], ANCHOR, WIDTH - 1)
+            found = columns(group, table["left"], table["right"], window.anchor, window.width - 1)
             edges = np.diff(np.pad(found.view(np.int8), ((0, 0), (1, 1))), axis=1)
             row, first = np.nonzero(edges == 1)
             _, last = np.nonzero(edges == -1)
@@ -239,7 +268,7 @@ def _repeated(strings: DataFrame) -> DataFrame:
                     pa.array(table["k1"][row]),
                     pa.array(table["k2"][row]),
                     pa.array(table["at"][row] - last + 1),
-                    pa.array(table["at"][row] - first + LENGTH),
+                    pa.array(table["at"][row] - first + window.length),
                 ],
                 names=["k1", "k2", "start", "end"],
             )
@@ -272,7 +301,7 @@ def _collections(batches, most: int = 8_000):
         yield table(pa.Table.from_batches(rest))
 
 
-def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
+def _repeated_in_crowds(bands: DataFrame, window: Window) -> DataFrame:
     """The same for refined anchors. Rows of an anchor are never brought together: they meet in sums and joins.
 
     What stands around an anchor in several places repeats as a whole. What stands around it once is compared
@@ -290,7 +319,7 @@ def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
     whole = bands.select("run", "around", "k1", "k2", "at").join(
         around.where("not single").select("run", "around", "fewest", "most"), ["run", "around"]
     )
-    whole = whole.select("k1", "k2", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("fewest") + LENGTH).alias("end"))
+    whole = whole.select("k1", "k2", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("fewest") + window.length).alias("end"))
     several = materialize(
         around.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 and any").select("run"), "runs"
     )
@@ -307,7 +336,7 @@ def _repeated_in_crowds(bands: DataFrame) -> DataFrame:
     windows = materialize(windows, "windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
     twice = materialize(twice, "twice")
-    found = windows.where("single").join(twice, ["w1", "w2"]).select("k1", "k2", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("end"))
+    found = windows.where("single").join(twice, ["w1", "w2"]).select("k1", "k2", F.col("at").alias("start"), (F.col("at") + window.length).alias("end"))
     return whole.unionByName(found)
 
 
@@ -341,10 +370,10 @@ def kept_text(raw: bytes, cut: list[tuple[int, int]]) -> str:
     return kept(raw, [(a, b) for a, b in whole if a < b]).decode()
 
 
-def _texts_with_repeats(docs: DataFrame, text_col: str) -> DataFrame:
+def _texts_with_repeats(docs: DataFrame, text_col: str, window: Window) -> DataFrame:
     """k1, k2, cut (merged runs), kept_sha256 and kept_text of texts in which something repeats and that one row has."""
     rows = _keyed(docs, text_col)
-    places = _candidates(rows.select("k1", "k2", "text"))
+    places = _candidates(rows.select("k1", "k2", "text"), window)
     crowds = places.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("run", F.lit(True).alias("crowded"))
     crowds = materialize(crowds, "crowds")
     lists = (
@@ -354,8 +383,8 @@ def _texts_with_repeats(docs: DataFrame, text_col: str) -> DataFrame:
     )
     distinct = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     chosen = materialize(distinct.join(lists, ["k1", "k2"]), "chosen")
-    strings, bands = _cut(chosen)
-    found = materialize(_repeated(strings).unionByName(_repeated_in_crowds(bands)), "found")
+    strings, bands = _cut(chosen, window)
+    found = materialize(_repeated(strings, window).unionByName(_repeated_in_crowds(bands, window)), "found")
     # Runs of one text lie close together, so that they are joined once before they are collected.
     runs = found.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     single = chosen.where("copies = 1").select("k1", "k2", "text").join(runs, ["k1", "k2"])
@@ -365,6 +394,7 @@ def _texts_with_repeats(docs: DataFrame, text_col: str) -> DataFrame:
         for batch in texts.pieces(batches, "text"):
             raws = [x.encode() for x in batch.column("text").to_pylist()]
             cuts = [_merged(x) for x in batch.column("found").to_pylist()]
+            cuts = [[(a, b) for a, b in x if window.holds(raw[a:b])] for raw, x in zip(raws, cuts)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("k1"),
@@ -380,17 +410,21 @@ def _texts_with_repeats(docs: DataFrame, text_col: str) -> DataFrame:
     return single.mapInArrow(cut, shape)
 
 
-def _copied(docs: DataFrame, text_col: str) -> DataFrame:
-    """k1 and k2 of texts of ``LENGTH`` or more that several rows have."""
-    rows = _keyed(docs, text_col).where(F.octet_length("text") >= LENGTH)
+def _copied(docs: DataFrame, text_col: str, window: Window) -> DataFrame:
+    """k1 and k2 of texts of the window's length or more that several rows have."""
+    rows = _keyed(docs, text_col).where(F.octet_length("text") >= window.length)
+    if window.words is not None:
+        # Counted up to the number wanted.
+        words = F.size(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+", window.words + 2), lambda word: word != ""))
+        rows = rows.where((F.octet_length("text") >= window.enough) | (words >= window.words))
     return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: Window = WINDOW) -> DataFrame:
     """``id_col``, n_bytes, cut (runs of removed bytes) and kept_sha256 of each row."""
-    some = materialize(_texts_with_repeats(docs, text_col).select("k1", "k2", "cut", "kept_sha256"), "cut")
+    some = materialize(_texts_with_repeats(docs, text_col, window).select("k1", "k2", "cut", "kept_sha256"), "cut")
     # A text is in one of the two tables at most.
-    all_of = _copied(docs, text_col).select("k1", "k2", F.lit(None).cast(some.schema["cut"].dataType).alias("cut"), F.sha2(F.lit(""), 256).alias("kept_sha256"), F.lit(True).alias("whole"))
+    all_of = _copied(docs, text_col, window).select("k1", "k2", F.lit(None).cast(some.schema["cut"].dataType).alias("cut"), F.sha2(F.lit(""), 256).alias("kept_sha256"), F.lit(True).alias("whole"))
     known = some.withColumn("whole", F.lit(False)).unionByName(all_of).withColumnsRenamed({"kept_sha256": "sha"})
     rows = _keyed(docs, text_col, quoted(id_col).alias("id")).select(
         "id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own")
@@ -401,14 +435,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return joined.select(F.col("id").alias(id_col), "n_bytes", cut.alias("cut"), F.coalesce("sha", "own").alias("kept_sha256"))
 
 
-def remove(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = None) -> DataFrame:
+def remove(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = None, window: Window = WINDOW) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text; all rows and columns stay.
 
     A character of which a run covers only some bytes stays. A null text stays null. ``n_chars_col`` names
     a column that gets the new number of characters.
     """
-    some = _texts_with_repeats(docs, text_col).select("k1", "k2", F.col("kept_text").alias("new"))
-    known = materialize(some.unionByName(_copied(docs, text_col).withColumn("new", F.lit(""))), "kept")
+    some = _texts_with_repeats(docs, text_col, window).select("k1", "k2", F.col("kept_text").alias("new"))
+    known = materialize(some.unionByName(_copied(docs, text_col, window).withColumn("new", F.lit(""))), "kept")
     names = fresh(docs, "k1", "k2", "new")
     keyed = docs.withColumns(dict(zip(names, text_key(quoted(text_col)))))
     same = fresh(keyed, "own_k1", "own_k2")

@@ -48,7 +48,7 @@ def test_each_stage_does_to_its_input_what_its_operator_says(spark, pipeline):
     assert texts("near_duplicates") == sorted(first.values())
 
     before = texts("near_duplicates")
-    runs = {int(i): cut for i, _, cut, _ in cuts(before)}
+    runs = {int(i): cut for i, _, cut, _ in cuts(before, pipeline.PASSAGE.length, pipeline.PASSAGE.words)}
     assert texts("repeats") == [(i, repeats.kept_text(t.encode(), runs[i])) for i, t in before]
     assert all(r.n_chars == len(r.text) for r in kept["repeats"].collect() if runs[r.doc_id])
 

@@ -1,13 +1,15 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 
+from conftest import prose
 from millrace.llm import repeats
 
 
-def brute(rows, length=400):
+def brute(rows, length=400, words=None):
     raws = [(t or "").encode() for _, t in rows]
     seen = Counter(raw[i : i + length] for raw in raws for i in range(len(raw) - length + 1))
     out = []
@@ -19,6 +21,7 @@ def brute(rows, length=400):
                     cut[-1] = (cut[-1][0], a + length)
                 else:
                     cut.append((a, a + length))
+        cut = [(a, b) for a, b in cut if words is None or b - a >= 400 or len(raw[a:b].split()) >= words]
         out.append((str(i), len(raw), cut, hashlib.sha256(repeats.kept(raw, cut)).hexdigest()))
     return sorted(out)
 
@@ -34,6 +37,18 @@ def test_removed_bytes_equal_those_of_brute_force(frame, corpus, monkeypatch, gr
     assert sum(bool(w[2]) for w in wanted) > 15
 
 
+@pytest.mark.parametrize("group", [repeats.GROUP, 2])
+@pytest.mark.parametrize("window", [repeats.Window(250, 80, 50), repeats.Window(120, 40), repeats.Window(120, 40, 12)])
+def test_windows_of_other_lengths(frame, corpus, monkeypatch, group, window):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    rng = random.Random(1)
+    passage = "".join(prose(rng, 52).split("\n"))
+    rows = corpus + [(600 + k, prose(rng, 40) + passage + prose(rng, 25)) for k in range(3)]
+    rows += [(700 + k, "x" * 300) for k in range(2)] + [(710 + k, "ab " * 60) for k in range(2)]
+    got = sorted((str(r.doc_id), r.n_bytes, [(c.start, c.end) for c in r.cut], r.kept_sha256) for r in repeats.repeats(frame(rows), window=window).collect())
+    assert got == brute(rows, window.length, window.words)
+
+
 def test_long_texts_are_looked_at_in_slices(frame, corpus, monkeypatch):
     monkeypatch.setattr(repeats, "SLICE", 1000)
     got = sorted((str(r.doc_id), r.n_bytes, [(c.start, c.end) for c in r.cut], r.kept_sha256) for r in repeats.repeats(frame(corpus)).collect())
