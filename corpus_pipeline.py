@@ -2,8 +2,8 @@
 
 1. quality: documents that the classifier scores below 0.5 go.
 2. near_duplicates: one document of each group of near-equal fingerprints stays, that of the smallest id.
-3. repeats: bytes covered by a string of 400 bytes that starts elsewhere too are cut out of the texts
-   (characters covered in part stay); documents stay, even if nothing of their text is left.
+3. repeats: passages that repeat are cut out of the texts: runs of bytes, each covered by a string of 250 bytes that starts
+   elsewhere too, that hold 50 words or 400 bytes (characters covered in part stay); documents stay, even if nothing of their text is left.
 4. benchmark: documents contaminated by benchmark texts go.
 5. encoding: ids of the pieces of each text.
 
@@ -20,6 +20,10 @@ from millrace.scratch import materialize
 from millrace.workload.case import Case, table
 
 
+#: Fifty words of prose take some 316 bytes, seldom less than 250.
+PASSAGE = repeats.Window(length=250, anchor=80, words=50)
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     machine = quality.train(docs, table(spark, sf_dir, "labels"), F.expr(queries.LEARNED), metadata=queries.METADATA)
     return quality.keep_good(docs, machine, metadata=queries.METADATA)
@@ -30,7 +34,7 @@ def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.remove(docs, n_chars_col="n_chars" if "n_chars" in docs.columns else None)
+    return repeats.remove(docs, n_chars_col="n_chars" if "n_chars" in docs.columns else None, window=PASSAGE)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
