@@ -15,9 +15,10 @@ The centres are fitted on a bounded sample (``SAMPLE`` rows of the smallest hash
 tests measure it against brute force. Lists are cut into blocks of at most ``ROWS`` rows and ``QUERIES``
 queries, so that neither a crowded list nor many equal vectors gather in a task.
 
-Nulls and ties: vectors that are null, zero, or hold null or non-finite components, and rows without an id, take no
-part, nor do vectors of another length than most have (of equally common lengths, the longest). Of rows that share
-an id the one with the smallest vector counts. Equal scores rank by id. A query with fewer candidates gets all of those found.
+Nulls and ties: vectors that are null, zero, or hold null or non-finite components take no part. Rows are told apart by a number
+of their own: of rows that share an id each is a query and a candidate, of the others too. A row without an id is no query; as
+a candidate it comes after others of its score. Vectors of different lengths have no inner product, so each length is searched among its
+own, with centres of its own. Equal scores rank by id. A query with fewer candidates gets all of those found.
 """
 
 from __future__ import annotations
@@ -44,14 +45,11 @@ SEED = 11
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id`` and ``vector`` (doubles) of the rows that take part."""
+    """``row`` (a number of its own), ``id``, ``size`` and ``vector`` (doubles) of the rows that take part."""
     vectors = rows.select(quoted(id_col).alias("id"), quoted(vector_col).cast("array<double>").alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    vectors = vectors.where(F.col("id").isNotNull() & sound & F.exists("vector", lambda x: x != 0))
-    size = vectors.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), F.desc("n")).first()
-    if size is not None:
-        vectors = vectors.where(F.size("vector") == size["n"])
-    return vectors.groupBy("id").agg(F.min("vector").alias("vector"))
+    vectors = vectors.where(sound & F.exists("vector", lambda x: x != 0))
+    return vectors.select(F.monotonically_increasing_id().alias("row"), "id", F.size("vector").alias("size"), "vector")
 
 
 def _matrix(array: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -167,7 +165,7 @@ def fit(vectors: DataFrame, lists: int = LISTS, sample: int = SAMPLE) -> Space |
     if about["square"] is None:
         return None
     longest, size = math.sqrt(about["square"]), about["size"]
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).repartition(1)
+    chosen = vectors.orderBy(F.xxhash64("id"), "id", "row").limit(sample).repartition(1)
 
     def centre(batches):
         found = list(batches)
@@ -185,47 +183,64 @@ def search(
 ) -> DataFrame:
     """query_id, rank (from 1), ``id_col`` and score: the k nearest rows found of each row that ``asks`` (on id) names."""
     vectors = materialize(usable(rows, id_col, vector_col), "vectors")
+    sizes = [r["size"] for r in vectors.where(asks).select("size").distinct().orderBy("size").collect()]
     kind = vectors.schema["id"].dataType.simpleString()
+    found = [_near(vectors.where(F.col("size") == size).drop("size"), asks, kind, k, lists, probes) for size in sizes or [0]]
+    near = found[0]
+    for more in found[1:]:
+        near = near.unionByName(more)
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "row")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int, probes: int) -> DataFrame:
+    """query, query_id, row, id and score of the best rows in each list, for vectors of one length."""
     space = fit(vectors, lists)
-    shared = rows.sparkSession.sparkContext.broadcast(space)
+    shared = vectors.sparkSession.sparkContext.broadcast(space)
 
     def assign(batches):
         for batch in batches:
             if len(batch):
                 at = shared.value.nearest(shared.value.place(_matrix(batch.column("vector"))), shared.value.centres)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32))], names=["id", "vector", "list"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32))], names=["row", "id", "vector", "list"])
 
     def probe(batches):
         for batch in batches:
             if len(batch):
                 at = shared.value.probes(shared.value.ask(_matrix(batch.column("vector"))), probes).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(at), pa.list_(pa.int32()))], names=["id", "vector", "lists"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(at), pa.list_(pa.int32()))], names=["row", "id", "vector", "lists"])
 
-    listed = materialize(vectors.mapInArrow(assign, f"id {kind}, vector array<double>, list int"), "lists")
-    asked = vectors.where(asks).mapInArrow(probe, f"id {kind}, vector array<double>, lists array<int>")
+    listed = materialize(vectors.mapInArrow(assign, f"row long, id {kind}, vector array<double>, list int"), "lists")
+    asked = vectors.where(asks).mapInArrow(probe, f"row long, id {kind}, vector array<double>, lists array<int>")
     asked = materialize(asked, "queries")
     turns = max(1, math.ceil(asked.count() / QUERIES))
     sizes = listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ROWS).alias("blocks"))
     deal = F.sequence(F.lit(0), F.lit(turns - 1))
     left = (
         listed.join(sizes, "list")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .select("list", "block", F.explode(deal).alias("turn"), "id", "vector")
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
+        .select("list", "block", F.explode(deal).alias("turn"), "row", "id", "vector")
     )
     right = (
-        asked.select("id", "vector", F.explode("lists").alias("list"), F.pmod(F.xxhash64("id"), F.lit(turns)).cast("int").alias("turn"))
+        asked.select("row", "id", "vector", F.explode("lists").alias("list"), F.pmod(F.xxhash64("row"), F.lit(turns)).cast("int").alias("turn"))
         .join(sizes, "list")
-        .select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "turn", "id", "vector")
+        .select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "turn", "row", "id", "vector")
     )
 
     def compare(one: pa.Table, other: pa.Table) -> pa.Table:
-        ids, query_ids = one.column("id").to_numpy(), other.column("id").to_numpy()
-        if not len(ids) or not len(query_ids):
-            return pa.table({"query_id": ids[:0], "id": ids[:0], "score": np.zeros(0)})
-        a, found, score = scan(shared.value, ids, _matrix(one.column("vector")), query_ids, _matrix(other.column("vector")), k)
-        return pa.table({"query_id": query_ids[a], "id": found, "score": score})
+        # By id, and rows that share one by their number: a row's place then is what breaks ties.
+        one = one.sort_by([("id", "ascending"), ("row", "ascending")]) if len(one) else one
+        rows, queries = one.column("row").to_numpy(), other.column("row").to_numpy()
+        a = found = np.zeros(0, np.int64)
+        score = np.zeros(0)
+        if len(rows) and len(queries):
+            sort = np.argsort(rows)
+            at = sort[np.minimum(np.searchsorted(rows, queries, sorter=sort), len(rows) - 1)]
+            own = np.where(rows[at] == queries, at, -1)
+            a, found, score = scan(shared.value, np.arange(len(rows)), _matrix(one.column("vector")), own, _matrix(other.column("vector")), k)
+        columns = [other.column("row").take(pa.array(a)), other.column("id").take(pa.array(a)), one.column("row").take(pa.array(found)), one.column("id").take(pa.array(found))]
+        return pa.table([*columns, pa.array(score)], names=["query", "query_id", "row", "id", "score"])
 
     keys = ("list", "block", "turn")
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, f"query_id {kind}, id {kind}, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, f"query long, query_id {kind}, row long, id {kind}, score double")

@@ -59,12 +59,21 @@ def test_vectors_that_take_no_part(spark):
     vectors = [[1, 0], None, [0, 0], [nan, 1], [inf, 1], [None, 1], [1, 2, 3], [0.5, 1], [], [2, 2], [9, 9]]
     ids = [0, 1, 2, 3, 4, 5, 6, 20, 8, 9, None]
     found = neighbours.search(table(spark, vectors, ids), F.col("id") % 20 == 0).collect()
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == [(0, 1, 9, 2.0), (0, 2, 20, 0.5), (20, 1, 9, 3.0), (20, 2, 0, 0.5)]
+    wanted = [(0, 1, None, 9.0), (0, 2, 9, 2.0), (0, 3, 20, 0.5), (20, 1, None, 13.5), (20, 2, 9, 3.0), (20, 3, 0, 0.5)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == wanted
 
 
-def test_rows_that_share_an_id_count_once(spark):
-    found = neighbours.search(table(spark, [[1, 1], [1, 1], [3, 0], [2, 0]], [0, 0, 5, 5]), F.col("id") % 20 == 0).collect()
-    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in found] == [(0, 1, 5, 2.0)]
+def test_lengths_are_searched_among_their_own(spark):
+    vectors = [[1, 0], [1, 2, 3], [2, 0], [0, 1, 0], [3, 1], [1, 1, 1], [5]]
+    found = neighbours.search(table(spark, vectors, [0, 20, 1, 2, 3, 40, 60]), F.col("id") % 20 == 0).collect()
+    wanted = [(0, 1, 3, 3.0), (0, 2, 1, 2.0), (20, 1, 40, 6.0), (20, 2, 2, 2.0), (40, 1, 20, 6.0), (40, 2, 2, 1.0)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == wanted
+
+
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    found = neighbours.search(table(spark, [[1, 1], [1, 1], [3, 0], [2, 0], [2, 0]], [0, 0, 5, 5, 4]), F.col("id") % 20 == 0).collect()
+    one = [(0, 1, 5, 3.0), (0, 2, 0, 2.0), (0, 3, 4, 2.0), (0, 4, 5, 2.0)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == sorted(one * 2)
 
 
 def test_empty_tables_and_a_single_row(spark):
