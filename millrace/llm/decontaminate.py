@@ -5,9 +5,10 @@ A text is lower-cased (A-Z) and cut into words of 0-9, a-z and bytes beyond ASCI
 none has no window. A document's word is hit if it lies in an occurrence of a window. A document is
 contaminated if words are hit and they are at least one in ``share``.
 
-The windows are looked up by hash and every hit is compared word by word. They are broadcast in
-blocks of at most ``block_mb``; a benchmark of more blocks is looked up block by block within the
-same pass, so no broadcast grows with the benchmark.
+The windows are looked up by hash and every hit is compared word by word. They are broadcast, as a block of at most
+``block_mb``. A benchmark of more windows is dealt into blocks, and the texts are read once per block: only one block is fetched,
+broadcast and held at a time, the hits it finds are written, and in the end those of all blocks are merged per text. So
+neither the driver nor a task ever holds more than a block, however large the benchmark.
 
 Nulls: a null text has no words; an item without id counts as hit words but is not named. Repeated
 items count once by their id. An empty benchmark hits nothing; an empty table gives an empty result.
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import texts
-from millrace.llm.rows import quoted
+from millrace.llm.rows import fresh, quoted
+from millrace.scratch import materialize
 
 WIDTH = 13
 SHARE = 20
@@ -98,7 +100,7 @@ def _read(column: pa.Array):
 
 
 def scan(column: pa.Array, blocks: list[Windows]):
-    """For each text: number of words, number of hit words, items, byte spans of the hit runs."""
+    """For each text: number of words, number of hit words, items, byte spans of the hit runs, and these runs in words."""
     low, begin, end, before, starts = _read(column)
     rows = len(column)
     change = np.zeros(len(begin) + 1, dtype=np.int64)
@@ -127,33 +129,95 @@ def scan(column: pa.Array, blocks: list[Windows]):
     out = []
     for k in range(rows):
         a, b = before[k], before[k + 1]
-        out.append((int(b - a), int(hit_before[b] - hit_before[a]), items[k], _spans(hit[a:b], begin[a:b], end[a:b], starts[k])))
+        out.append(_told(hit[a:b], begin[a:b], end[a:b], starts[k], items[k], int(hit_before[b] - hit_before[a])))
     return out
 
 
-def _spans(hit: np.ndarray, begin: np.ndarray, end: np.ndarray, start: int) -> list[tuple[int, int]]:
+def _told(hit: np.ndarray, begin: np.ndarray, end: np.ndarray, start: int, items: set[str], n_hit: int):
+    first, last = _hit_runs(hit)
+    spans = [(int(begin[a] - start), int(end[b] - start)) for a, b in zip(first, last)]
+    return len(hit), n_hit, items, spans, list(zip(first.tolist(), last.tolist()))
+
+
+def _hit_runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last word of each run of hit words."""
     if not hit.any():
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     edges = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
-    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
-    return [(int(begin[a] - start), int(end[b] - start)) for a, b in zip(first, last)]
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
+
 
+_RUNS = "array<struct<first:int,last:int>>"
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_mb: float) -> list[Broadcast]:
-    """The windows, broadcast in blocks of a bounded size."""
+
+def _found(docs: DataFrame, text_col: str, benchmark: DataFrame, id_col: str, item_text: str, width: int, block_mb: float):
+    """``docs`` (and columns ``runs`` and ``items``, if there are several blocks), and what finds the hits of a batch of them."""
     spark = benchmark.sparkSession
-    rows = windows(benchmark, id_col, text_col, width)
+    rows = windows(benchmark, id_col, item_text, width)
     size = rows.agg(F.sum(F.length("window") + F.coalesce(F.length("item"), F.lit(0)) + 64)).first()[0] or 0
     parts = math.ceil(size / (block_mb * (1 << 20)))
-    if parts > 1:
-        rows = rows.persist()
-    share = []
+
+    def fetched(some: DataFrame):
+        return spark.sparkContext.broadcast([(r.n, bytes(r.window), r.item) for r in some.collect()])
+
+    if parts <= 1:
+        share = fetched(rows) if parts else None
+
+        def opened():
+            blocks = [Windows(share.value)] if share is not None else []
+            return lambda batch: scan(batch.column(text_col), blocks)
+
+        return docs, opened
+    rows = materialize(rows, "windows")
+    (row,) = fresh(docs, "row")
+    # Written, so that a text keeps its number from block to block.
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    found = []
     for k in range(parts):
-        one = rows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == k) if parts > 1 else rows
-        share.append(spark.sparkContext.broadcast([(r.n, bytes(r.window), r.item) for r in one.collect()]))
-    if parts > 1:
-        rows.unpersist()
-    return share
+        share = fetched(rows.where(F.pmod(F.xxhash64("window", "item"), F.lit(parts)) == k))
+        found.append(materialize(_of_block(docs, row, text_col, share), "hits"))
+        share.destroy()
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    # A text has a row per block at most, so what is gathered is bounded by its words.
+    merged = every.groupBy("row").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    names = fresh(docs, "runs", "items")
+    merged = merged.toDF("own_row", *names)
+    docs = docs.join(merged, quoted(row) == F.col("own_row"), "left").drop("own_row", row)
+
+    def opened():
+        def told(batch: pa.RecordBatch):
+            _, begin, end, before, starts = _read(batch.column(text_col))
+            out = []
+            for k, (runs, items) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
+                a, b = before[k], before[k + 1]
+                hit = np.zeros(b - a, dtype=bool)
+                for run in runs or ():
+                    hit[run["first"] : run["last"] + 1] = True
+                out.append(_told(hit, begin[a:b], end[a:b], starts[k], set(items or ()), int(hit.sum())))
+            return out
+
+        return told
+
+    return docs, opened
+
+
+def _of_block(docs: DataFrame, row: str, text_col: str, share: Broadcast) -> DataFrame:
+    """row, runs and items of the texts that windows of a block hit."""
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+    def look(batches):
+        blocks = [Windows(share.value)]
+        for batch in texts.pieces(batches, "text"):
+            found = scan(batch.column("text"), blocks)
+            some = [k for k, x in enumerate(found) if x[4]]
+            runs = pa.array([[{"first": a, "last": b} for a, b in found[k][4]] for k in some], kind)
+            items = pa.array([sorted(found[k][2]) for k in some], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(some, pa.int64())), runs, items], names=["row", "runs", "items"])
+
+    slim = docs.select(quoted(row).alias("row"), quoted(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(look, f"row long, runs {_RUNS}, items array<string>")
 
 
 def find(
@@ -167,15 +231,17 @@ def find(
     block_mb: float = BLOCK_MB,
 ) -> DataFrame:
     """``id_col``, n_words, n_hit, items (ids as strings, sorted) and spans (bytes of hit runs) of each text."""
-    share = _blocks(benchmark, item_col, item_text, width, block_mb)
     schema = pa.schema(
         [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
     )
+    slim = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
+    kind = slim.schema["id"].dataType.simpleString()
+    slim, opened = _found(slim, "text", benchmark, item_col, item_text, width, block_mb)
 
     def look(batches):
-        blocks = [Windows(x.value) for x in share]
+        told = opened()
         for batch in texts.pieces(batches, "text"):
-            found = scan(batch.column("text"), blocks)
+            found = told(batch)
             columns = [
                 pa.array([x[0] for x in found], pa.int64()),
                 pa.array([x[1] for x in found], pa.int64()),
@@ -184,8 +250,6 @@ def find(
             ]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", *schema.names])
 
-    slim = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
-    kind = slim.schema["id"].dataType.simpleString()
     return slim.mapInArrow(look, f"id {kind}, {FOUND}").withColumnRenamed("id", id_col)
 
 
@@ -202,23 +266,20 @@ def remove(
     """
     if how not in ("documents", "spans"):
         raise ValueError(f"how is 'documents' or 'spans', not {how!r}")
-    blocks_of = _blocks(
-        benchmark,
-        options.get("item_col", "item_id"),
-        options.get("item_text", "text"),
-        options.get("width", WIDTH),
-        options.get("block_mb", BLOCK_MB),
-    )
+    item_col, item_text = options.get("item_col", "item_id"), options.get("item_text", "text")
+    rows, opened = _found(docs, text_col, benchmark, item_col, item_text, options.get("width", WIDTH), options.get("block_mb", BLOCK_MB))
+    columns = docs.columns
 
     def clean(batches):
-        blocks = [Windows(x.value) for x in blocks_of]
+        told = opened()
         for batch in texts.pieces(batches, text_col):
-            found = scan(batch.column(text_col), blocks)
+            found = told(batch)
+            batch = batch.select(columns)
             if how == "documents":
                 yield batch.filter(pa.array([not contaminated(x[0], x[1], share) for x in found], pa.bool_()))
                 continue
             new = []
-            for text, (_, _, _, cut) in zip(batch.column(text_col).to_pylist(), found):
+            for text, (_, _, _, cut, _) in zip(batch.column(text_col).to_pylist(), found):
                 if cut:
                     raw, kept, at = text.encode(), b"", 0
                     for a, b in cut:
@@ -228,4 +289,4 @@ def remove(
             k = batch.schema.get_field_index(text_col)
             yield batch.set_column(k, batch.schema.field(k), pa.array(new, batch.schema.field(k).type))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return rows.mapInArrow(clean, docs.schema)

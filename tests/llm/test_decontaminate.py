@@ -52,17 +52,19 @@ def test_hits_equal_those_of_brute_force(frame, corpus, items, block_mb):
     assert sum(n > 0 for _, _, n, _ in got) > 5
 
 
-def test_spans_cover_the_hit_words(frame, corpus, items):
+@pytest.mark.parametrize("block_mb", [32, 0.001])
+def test_spans_cover_the_hit_words(frame, corpus, items, block_mb):
     texts = {i: t for i, t in corpus if i is not None and i != 0}
-    for row in decontaminate.find(frame(corpus), frame(items, "item_id")).where("doc_id > 0").collect():
+    for row in decontaminate.find(frame(corpus), frame(items, "item_id"), block_mb=block_mb).where("doc_id > 0").collect():
         raw = (texts[row.doc_id] or "").encode()
         inside = sum(len(WORDS.findall(plain_words(raw[s.start : s.end].decode()))) for s in row.spans)
         assert inside == row.n_hit
 
 
-def test_contaminated_documents_go_and_others_stay_as_they_are(frame, corpus, items):
+@pytest.mark.parametrize("block_mb", [32, 0.001])
+def test_contaminated_documents_go_and_others_stay_as_they_are(frame, corpus, items, block_mb):
     docs = frame(corpus)
-    kept = decontaminate.remove(docs, frame(items, "item_id"))
+    kept = decontaminate.remove(docs, frame(items, "item_id"), block_mb=block_mb)
     assert kept.schema == docs.schema
     bad = [x for x in brute(corpus, items) if x[2] and 20 * x[2] >= x[1]]
     assert bad and kept.count() == len(corpus) - len(bad)
@@ -71,8 +73,30 @@ def test_contaminated_documents_go_and_others_stay_as_they_are(frame, corpus, it
     )
 
 
-def test_spans_can_be_cut_out(frame, corpus, items):
-    cut = decontaminate.remove(frame(corpus), frame(items, "item_id"), how="spans")
+def test_one_block_is_held_at_a_time(spark, frame, corpus, items, monkeypatch):
+    """A benchmark of more than ten blocks: what is fetched at once is a block, and it is dropped before the next one."""
+    held, most = set(), []
+    broadcast = type(spark.sparkContext).broadcast
+
+    def watched(self, value):
+        share = broadcast(self, value)
+        if isinstance(value, list):
+            held.add(id(share))
+            most.append((len(held), sum(len(w) + 64 for _, w, _ in value)))
+            destroy = share.destroy
+            share.destroy = lambda *a: (held.discard(id(share)), destroy(*a))
+        return share
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", watched)
+    mb = 0.0005
+    decontaminate.find(frame(corpus), frame(items, "item_id"), block_mb=mb).collect()
+    assert len(most) > 10 and {n for n, _ in most} == {1} and not held
+    assert max(size for _, size in most) < 5 * mb * (1 << 20)
+
+
+@pytest.mark.parametrize("block_mb", [32, 0.001])
+def test_spans_can_be_cut_out(frame, corpus, items, block_mb):
+    cut = decontaminate.remove(frame(corpus), frame(items, "item_id"), how="spans", block_mb=block_mb)
     assert cut.count() == len(corpus)
     again = decontaminate.find(cut, frame(items[:1], "item_id")).where("doc_id = 5").first()
     assert again.n_hit == 0
