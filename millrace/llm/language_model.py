@@ -9,7 +9,7 @@ smoothing of strength ``STRENGTH``
     P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1))
 
 an arc weighs log10 P(w | h), a failure arc log10(STRENGTH / (c(h) + STRENGTH)). A text is walked once, from left to
-right: the state is carried along and the weights of the arcs taken are summed. Every distribution
+right: the state is carried along, failure arcs are taken until there is an arc for the token, and all weights are summed. Every distribution
 sums to one over the V known tokens and one unknown.
 
 The automaton grows with the corpus, so no task and no broadcast holds it. The texts are stored as chunks. A
@@ -95,20 +95,69 @@ def grams(hashed: np.ndarray, before: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def log_probabilities(counts: np.ndarray, before: np.ndarray, total: int, kinds: int, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of P(token) and of P(token | context) for each token; counts[m - 1] are those of ``grams``."""
-    place = np.arange(counts.shape[1]) - np.repeat(before[:-1], np.diff(before))
-    root = np.log10((counts[0] + 0.1) / (total + 0.1 * (kinds + 1)))
-    weight = root
-    for m in range(1, len(counts)):
-        context = np.empty(counts.shape[1])
-        context[:1] = 0
-        context[1:] = counts[m - 1][:-1]
-        context[place == 0] = n_texts  # each text has one start
-        fail = np.log10(STRENGTH / (context + STRENGTH))
-        arc = np.log10((counts[m] + STRENGTH * 10**weight) / (context + STRENGTH))
-        weight = np.where(place < m - 1, weight, np.where(counts[m] > 0, arc, fail + weight))
-    return root, weight
+class Automaton:
+    """The part of the automaton that a chunk can reach. ``ids`` number the n-grams of each length that end at each token.
+
+    State 0 is the last one, of no context; state 1 that of the start; state k + 2 that of the context that is n-gram k. An n-gram that
+    the learning rows show is an arc, from the state of all its tokens but the last one.
+    """
+
+    def __init__(self, ids: np.ndarray, before: np.ndarray, counts: np.ndarray, total: int, kinds: int, n_texts: float):
+        self.ids, self.counts, self.order = ids, counts, len(ids)
+        self.place = np.arange(ids.shape[1]) - np.repeat(before[:-1], np.diff(before))
+        n = len(counts)
+        self.weight, self.source, self.token, self.target = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        of_state = np.concatenate(([1.0, n_texts], counts))  # each text has one start
+        self.fail, self.fail_to = np.log10(STRENGTH / (of_state + STRENGTH)), np.zeros(n + 2, np.int64)
+        own = np.unique(ids[0])
+        self.root = np.log10((counts + 0.1) / (total + 0.1 * (kinds + 1)))
+        self.weight[own], self.token[own] = self.root[own], own
+        self.target[own] = np.where((counts[own] > 0) & (self.order > 1), own + 2, 0)
+        for m in range(1, self.order):
+            at = np.flatnonzero(self.place >= m - 1)
+            grams, first = np.unique(ids[m][at], return_index=True)
+            at = at[first]
+            shorter = ids[m - 1][at]
+            source = np.where(self.place[at] == 0, 1, ids[m - 1][np.maximum(at - 1, 0)] + 2)
+            context = of_state[source]
+            arc = np.log10((counts[grams] + STRENGTH * 10 ** self.weight[shorter]) / (context + STRENGTH))
+            # Without an arc the failure arc is taken, and what the shorter context says.
+            self.weight[grams] = np.where(counts[grams] > 0, arc, self.fail[source] + self.weight[shorter])
+            self.source[grams], self.token[grams] = source, ids[0][at]
+            whole = m + 1 < self.order
+            self.target[grams] = grams + 2 if whole else self.target[shorter]
+            if whole:
+                self.fail_to[grams + 2] = shorter + 2
+
+    def walk(self, before: np.ndarray, most: int = 400_000) -> np.ndarray:
+        """Of each text, the sum of the weights on its way. ``most`` tokens at a time have their arcs looked up by hash."""
+        start, n = min(1, self.order - 1), len(self.counts)
+        out, text, state, total = np.zeros(len(before) - 1), 0, start, 0.0
+        ends = before[1:].tolist()
+        for low in range(0, self.ids.shape[1], most):
+            high = min(self.ids.shape[1], low + most)
+            arcs = np.concatenate([np.unique(self.ids[m][low:high][self.place[low:high] >= m - 1]) for m in range(self.order)])
+            arcs = arcs[(self.source[arcs] == 0) | (self.counts[arcs] > 0)]  # state 0 has an arc for every token
+            arc_of = dict(zip((self.source[arcs] * n + self.token[arcs]).tolist(), zip(self.weight[arcs].tolist(), self.target[arcs].tolist())))
+            states = np.unique(np.concatenate(([0, 1, state], self.target[arcs])))
+            while True:  # and those that failure arcs lead to
+                more = np.union1d(states, self.fail_to[states])
+                if len(more) == len(states):
+                    break
+                states = more
+            failure_of = dict(zip(states.tolist(), zip(self.fail[states].tolist(), self.fail_to[states].tolist())))
+            at = low
+            for token in self.ids[0][low:high].tolist():
+                while (arc := arc_of.get(state * n + token)) is None:
+                    weight, state = failure_of[state]
+                    total += weight
+                total += arc[0]
+                state = arc[1]
+                at += 1
+                if at == ends[text]:
+                    out[text] = total
+                    text, state, total = text + 1, start, 0.0
+        return out
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -249,19 +298,19 @@ def scores(
                 replies = sorted(batch.column("replies")[k].as_py(), key=lambda x: x["range"])
                 known = np.concatenate([unpack(x["counts"]) for x in replies]).astype(float)
                 keys, inverse = np.unique(found, return_inverse=True)
-                counts = known[inverse.reshape(found.shape)]
+                grams_of = inverse.reshape(found.shape)
                 ended = known[np.searchsorted(keys, texts.mixed(np.array([END])) | np.uint64(1))][0]
-                root, weight = log_probabilities(counts, before, total, kinds, ended)
-                first = before[:-1]
+                automaton = Automaton(grams_of, before, known, total, kinds, ended)
+                first, own = before[:-1], grams_of[0]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
                         pa.array(learn),
                         pa.array(np.diff(before)),
-                        pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
+                        pa.array(np.add.reduceat((known[own] > 0).astype(np.int64), first)),
                         pa.array(np.full(len(ids), total)),
-                        pa.array(np.add.reduceat(root, first)),
-                        pa.array(np.add.reduceat(weight, first)),
+                        pa.array(np.add.reduceat(automaton.root[own], first)),
+                        pa.array(automaton.walk(before)),
                     ],
                     names=["id", "learned", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )

@@ -96,3 +96,27 @@ def test_packed_numbers_come_back():
         assert (language_model.unpack(language_model.pack(values)) == values).all()
         values = np.unique(values)
         assert (language_model.unpack_sorted(language_model.pack_sorted(values)) == values).all()
+
+
+def test_arcs_failure_arcs_and_states(spark):
+    """A walk in windows of any length carries its state from one to the next."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30))).encode() for _ in range(12)]
+    content = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    hashed, before = language_model.tokens(content, ends - [len(t) for t in texts], ends)
+    for order in (1, 2, 3, 4):
+        keys, inverse = np.unique(language_model.grams(hashed, before, order), return_inverse=True)
+        counts = np.array([rng.choice([0, 0, 1, 3]) for _ in keys], float)
+        ids = inverse.reshape(order, -1)
+        counts[ids[0]] = np.maximum(counts[ids[0]], 1)  # what is in a longer n-gram is in a shorter one
+        for m in range(1, order):
+            counts[ids[m - 1][counts[ids[m]] > 0]] += 1
+        automaton = language_model.Automaton(ids, before, counts, 50, 6, 12.0)
+        whole = automaton.walk(before)
+        for most in (1, 2, 7, 1000):
+            assert automaton.walk(before, most).tolist() == whole.tolist()
+        if order == 1:
+            assert whole == pytest.approx(np.add.reduceat(automaton.root[ids[0]], before[:-1]))
+        else:
+            assert set(automaton.fail_to.tolist()) - {0} or order == 2
