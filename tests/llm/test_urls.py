@@ -60,18 +60,32 @@ def test_segments_have_the_least_cost(spark):
     for name in names:
         assert "".join(found[name]) == name
         assert cost(found[name]) == pytest.approx(min(map(cost, all_of(name))))
-    assert found[long_name] == [long_name]
+    assert found[long_name] == ["th"] * 40
     assert found["ththth"] == ["th"] * 3
 
 
+def test_names_and_words_of_any_length_are_segmented(spark):
+    """Words longer than the substrings that are joined, some alike but for their ends; one very long name."""
+    rng = random.Random(6)
+    long = ["".join(rng.choice("abc") for _ in range(n)) for n in (23, 24, 25, 40, 200)]
+    counts = {w: 50 for w in long} | {long[3][:24] + "x" * 5: 9, long[3][:30]: 7, "the": 90}
+    names = [a + b for a in [*long, "the"] for b in [*long, "the"]] + ["q".join(long), "the" * 1000 + long[4] + "zz" * 200]
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    found = {r.name: r.parts for r in urls.segments(spark.createDataFrame([(n,) for n in set(names)], "name string"), words).collect()}
+    for a in long:
+        assert found[a + "the"] == [a, "the"] and found["the" + a] == ["the", a]
+    assert found["q".join(long)] == [x for w in long for x in (w, "q")][:-1]
+    assert found[names[-1]] == ["the"] * 1000 + [long[4], "zz" * 200]
+
+
 def test_words_are_counted_over_whole_texts(spark):
     html = "<p class='no'>The the</p> cat&é9the <b>" + "x" * 200 + "</b>"
     found = {r.word: r.n for r in urls.word_counts(pages(spark, [(None, html), (None, None), (None, html)]), "html").collect()}
-    assert found == {"the": 6, "cat": 2, "é": 2}
+    assert found == {"the": 6, "cat": 2, "é": 2, "x" * 200: 2}
 
 
 def naive_bayes(rows, parts_of):
-    """log odds by counting tokens in dictionaries; no two tokens of these share a bucket."""
+    """log odds by counting tokens in dictionaries."""
 
     def tokens(text):
         return [t for t in re.split(r"[^\w#]+", re.sub("[0-9]+", " # ", text)) if t]
@@ -84,7 +98,7 @@ def naive_bayes(rows, parts_of):
         if said:
             counts[said].update(features(host, path))
             n[said] += 1
-    smooth = urls.ALPHA * 2 * urls.BUCKETS
+    smooth = urls.ALPHA * (len(counts["allow"].keys() | counts["block"].keys()) + 1)
     sums = {k: c.total() + smooth for k, c in counts.items()}
     out = []
     for host, path, _, _ in rows:
