@@ -8,8 +8,9 @@ smoothing of strength ``STRENGTH``
     P(w | h) = (c(h w) + STRENGTH * P(w | shorter h)) / (c(h) + STRENGTH)
     P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1))
 
-an arc weighs log10 P(w | h), a failure arc log10(STRENGTH / (c(h) + STRENGTH)). A text is walked once, from left to
-right: the state is carried along, failure arcs are taken until there is an arc for the token, and all weights are summed. Every distribution
+an arc weighs log10 P(w | h), a failure arc log10(STRENGTH / (c(h) + STRENGTH)). A text is a walk from left to
+right, which takes failure arcs until there is an arc for the token, and then goes to the state that the arc leads to; all weights are
+summed. All tokens of a chunk take their steps together, as the state before a token is the longest context that is a state. Every distribution
 sums to one over the V known tokens and one unknown.
 
 The automaton grows with the corpus, so no task and no broadcast holds it. The texts are stored as chunks. A
@@ -129,35 +130,34 @@ class Automaton:
             if whole:
                 self.fail_to[grams + 2] = shorter + 2
 
-    def walk(self, before: np.ndarray, most: int = 400_000) -> np.ndarray:
-        """Of each text, the sum of the weights on its way. ``most`` tokens at a time have their arcs looked up by hash."""
-        start, n = min(1, self.order - 1), len(self.counts)
-        out, text, state, total = np.zeros(len(before) - 1), 0, start, 0.0
-        ends = before[1:].tolist()
-        for low in range(0, self.ids.shape[1], most):
-            high = min(self.ids.shape[1], low + most)
-            arcs = np.concatenate([np.unique(self.ids[m][low:high][self.place[low:high] >= m - 1]) for m in range(self.order)])
-            arcs = arcs[(self.source[arcs] == 0) | (self.counts[arcs] > 0)]  # state 0 has an arc for every token
-            arc_of = dict(zip((self.source[arcs] * n + self.token[arcs]).tolist(), zip(self.weight[arcs].tolist(), self.target[arcs].tolist())))
-            states = np.unique(np.concatenate(([0, 1, state], self.target[arcs])))
-            while True:  # and those that failure arcs lead to
-                more = np.union1d(states, self.fail_to[states])
-                if len(more) == len(states):
-                    break
-                states = more
-            failure_of = dict(zip(states.tolist(), zip(self.fail[states].tolist(), self.fail_to[states].tolist())))
-            at = low
-            for token in self.ids[0][low:high].tolist():
-                while (arc := arc_of.get(state * n + token)) is None:
-                    weight, state = failure_of[state]
-                    total += weight
-                total += arc[0]
-                state = arc[1]
-                at += 1
-                if at == ends[text]:
-                    out[text] = total
-                    text, state, total = text + 1, start, 0.0
-        return out
+    def walk(self, before: np.ndarray) -> np.ndarray:
+        """Of each text, the sum of the weights on its way from its first token to its end.
+
+        A state is the longest context that is one. So the state that a walk would carry to a token is known beforehand, and all tokens
+        take their failure arcs and their arc together. That each arc leads to the state of the token after it is checked.
+        """
+        size, order = self.ids.shape[1], self.order
+        state, level = np.full(size, min(1, order - 1)), np.full(size, min(1, order - 1))
+        state[self.place > 0], level[self.place > 0] = 0, 0
+        for m in range(1, order):
+            at = np.flatnonzero(self.place >= max(1, m - 1))
+            context = self.ids[m - 1][at - 1]
+            some = self.counts[context] > 0
+            state[at[some]], level[at[some]] = context[some] + 2, m
+        total, arc, now = np.zeros(size), np.zeros(size, np.int64), state.copy()
+        for m in range(order - 1, -1, -1):
+            at = np.flatnonzero(level == m)
+            grams = self.ids[m][at]
+            known = (self.counts[grams] > 0) | (m == 0)  # state 0 has an arc for every token
+            total[at[known]] += self.weight[grams[known]]
+            arc[at[known]] = grams[known]
+            at = at[~known]
+            total[at] += self.fail[now[at]]
+            now[at], level[at] = self.fail_to[now[at]], m - 1
+        inner = np.flatnonzero(self.place[1:] > 0)
+        if (self.target[arc[inner]] != state[inner + 1]).any():
+            raise AssertionError("An arc leads to another state than that of the token after it")
+        return np.add.reduceat(total, before[:-1]) if size else np.zeros(0)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:

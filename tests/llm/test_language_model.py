@@ -98,25 +98,43 @@ def test_packed_numbers_come_back():
         assert (language_model.unpack_sorted(language_model.pack_sorted(values)) == values).all()
 
 
+def walked(automaton, before):
+    """One token after the other: the state is carried from each to the next."""
+    out = []
+    arcs = {(automaton.source[g], automaton.token[g]): g for m in range(automaton.order) for g in set(automaton.ids[m][automaton.place >= m - 1].tolist())}
+    for a, b in zip(before, before[1:]):
+        state, total = min(1, automaton.order - 1), 0.0
+        for token in automaton.ids[0][a:b].tolist():
+            while (g := arcs.get((state, token))) is None or state and not automaton.counts[g]:
+                assert state
+                total += automaton.fail[state]
+                state = automaton.fail_to[state]
+            total += automaton.weight[g]
+            state = automaton.target[g]
+        out.append(total)
+    return out
+
+
 def test_arcs_failure_arcs_and_states(spark):
-    """A walk in windows of any length carries its state from one to the next."""
+    """All tokens at once go where a walk goes that carries its state."""
     rng = random.Random(4)
-    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30))).encode() for _ in range(12)]
-    content = np.frombuffer(b"".join(texts), np.uint8)
-    ends = np.cumsum([len(t) for t in texts])
-    hashed, before = language_model.tokens(content, ends - [len(t) for t in texts], ends)
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30))).encode() for _ in range(40)]
     for order in (1, 2, 3, 4):
-        keys, inverse = np.unique(language_model.grams(hashed, before, order), return_inverse=True)
-        counts = np.array([rng.choice([0, 0, 1, 3]) for _ in keys], float)
-        ids = inverse.reshape(order, -1)
-        counts[ids[0]] = np.maximum(counts[ids[0]], 1)  # what is in a longer n-gram is in a shorter one
-        for m in range(1, order):
-            counts[ids[m - 1][counts[ids[m]] > 0]] += 1
-        automaton = language_model.Automaton(ids, before, counts, 50, 6, 12.0)
-        whole = automaton.walk(before)
-        for most in (1, 2, 7, 1000):
-            assert automaton.walk(before, most).tolist() == whole.tolist()
-        if order == 1:
-            assert whole == pytest.approx(np.add.reduceat(automaton.root[ids[0]], before[:-1]))
-        else:
-            assert set(automaton.fail_to.tolist()) - {0} or order == 2
+        learned = texts[:25]
+        counts_of = {}
+        for some, count in ((learned, True), (texts, False)):
+            content = np.frombuffer(b"".join(some), np.uint8)
+            ends = np.cumsum([len(t) for t in some])
+            hashed, before = language_model.tokens(content, ends - [len(t) for t in some], ends)
+            found = language_model.grams(hashed, before, order)
+            place = np.arange(len(hashed)) - np.repeat(before[:-1], np.diff(before))
+            if count:
+                for m in range(order):
+                    for g in found[m][place >= m - 1].tolist():
+                        counts_of[g] = counts_of.get(g, 0) + 1
+        keys, inverse = np.unique(found, return_inverse=True)
+        counts = np.array([counts_of.get(k, 0) for k in keys.tolist()], float)
+        automaton = language_model.Automaton(inverse.reshape(order, -1), before, counts, 500, 6, 25.0)
+        assert automaton.walk(before) == pytest.approx(walked(automaton, before))
+        failing = sum(f > 1 for f in automaton.fail_to.tolist())
+        assert failing > 0 or order < 3
