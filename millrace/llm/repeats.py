@@ -19,6 +19,8 @@ pass over the transform of all texts. So the texts are cut first, without losing
 * Anchors that occur once are dropped. The others are collected with the WIDTH - 1 bytes to either
   side; all strings of an anchor form a collection in which equal windows stand in the same column. A round
   then is one pass over the strings of a batch of collections, held in memory and bounded.
+* Where a text repeats itself with a short period, for long enough, all windows within that stretch repeat. It is noted as one run, and
+  of its anchors only one of those that have nothing but the stretch around them is kept.
 * An anchor of more than ``GROUP`` strings is refined instead: each band of ``BAND`` columns becomes an anchor of
   its own that is nearly a window long; where not all of its strings agree, its windows are compared
   by hash. Every step there is an aggregation or a join that Spark can split.
@@ -119,39 +121,69 @@ def _sliced(content: np.ndarray, window: Window):
         yield at[own], runs[own]
 
 
+def _collapsed(content: np.ndarray, at: np.ndarray, runs: np.ndarray, text: np.ndarray, window: Window) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which anchors to keep, and the stretches (start, end) of periods of an anchor's length at most, in which all windows repeat."""
+    keep, stretches = np.ones(len(at), dtype=bool), []
+    step = np.diff(at)
+    # Equal anchors that overlap or touch: what lies between the first and the last of a row has their distance as its period.
+    linked = (runs[1:] == runs[:-1]) & (text[1:] == text[:-1]) & (step <= window.anchor)
+    edges = np.flatnonzero(np.concatenate(([True], ~linked[1:] | ~linked[:-1] | (step[1:] != step[:-1]), [True]))) if len(step) else np.zeros(1, np.int64)
+    for a, b in zip(edges[:-1], edges[1:]):
+        start, end, period = int(at[a]), int(at[b]) + window.anchor, int(step[a])
+        if not linked[a] or end - start < 2 * window.length or (content[start : end - period] != content[start + period : end]).any():
+            continue
+        stretches.append((start, end))
+        inner = np.flatnonzero((at[a : b + 1] - window.width + 1 >= start) & (at[a : b + 1] + window.length <= end))
+        keep[a + inner[1:]] = False
+    return keep, stretches
+
+
 def _keyed(docs: DataFrame, text_col: str, *more) -> DataFrame:
     k1, k2 = text_key(quoted(text_col))
     return docs.select(*more, k1.alias("k1"), k2.alias("k2"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"))
 
 
 def _places(rows: DataFrame, window: Window) -> DataFrame:
-    """``run`` (hash of an anchor), k1 and k2, at: every anchor of every text."""
+    """``run`` (hash of an anchor), k1 and k2, at: every anchor of every text; with ``end`` and no ``run``, a stretch that repeats."""
 
     def find(batches):
         for batch in texts.pieces(batches, "text", SLICE):
             starts, ends, content = texts.spans(batch.column("text"))
             for at, runs in _sliced(content, window) if len(batch) == 1 else [anchors(content, starts, ends, window)]:
-                row = pa.array(np.searchsorted(ends, at, side="right"))
+                text = np.searchsorted(ends, at, side="right")
+                keep, stretches = _collapsed(content, at, runs, text, window)
+                first = np.array([a for a, _ in stretches], np.int64)
+                last = np.array([b for _, b in stretches], np.int64)
+                text = np.concatenate((text[keep], np.searchsorted(ends, first, side="right")))
+                n, begin, row = int(keep.sum()), starts[text], pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(runs.view(np.int64)), batch.column("k1").take(row), batch.column("k2").take(row), pa.array(at - starts[row.to_numpy()])],
-                    names=["run", "k1", "k2", "at"],
+                    [
+                        pa.array(np.append(runs[keep].view(np.int64), first * 0), mask=np.arange(len(text)) >= n),
+                        batch.column("k1").take(row),
+                        batch.column("k2").take(row),
+                        pa.array(np.append(at[keep], first) - begin),
+                        pa.array(np.append(at[keep] * 0, last) - begin, mask=np.arange(len(text)) < n),
+                    ],
+                    names=["run", "k1", "k2", "at", "end"],
                 )
 
-    return rows.where(F.octet_length("text") >= window.length).mapInArrow(find, "run long, k1 long, k2 long, at long")
+    return rows.where(F.octet_length("text") >= window.length).mapInArrow(find, "run long, k1 long, k2 long, at long, end long")
 
 
 def _place() -> Column:
     return F.xxhash64("k1", "k2", "at")
 
 
-def _candidates(rows: DataFrame, window: Window) -> DataFrame:
-    """Distinct anchors (run, k1, k2, at) whose run stands in two places at least."""
-    found = materialize(_places(rows, window), "anchors")
+def _candidates(rows: DataFrame, window: Window) -> tuple[DataFrame, DataFrame]:
+    """Distinct anchors (run, k1, k2, at) whose run stands in two places at least; and stretches (k1, k2, start, end)."""
+    places = materialize(_places(rows, window), "anchors")
+    found = places.where("end is null").drop("end")
     twice = found.groupBy("run").agg(F.min(_place()).alias("a"), F.max(_place()).alias("b")).where("a <> b").select("run")
     # Written, so that the join has a plain scan on both sides and Spark can split a run that very many places have;
     # as one column, so that rows that a common run has are told apart by hashes of their own.
     rows = found.join(materialize(twice, "runs"), "run").select(F.struct("run", "k1", "k2", "at").alias("row"))
-    return materialize(rows.distinct().select("row.*"), "candidates")
+    stretches = places.where("end is not null").select("k1", "k2", F.col("at").alias("start"), "end")
+    return materialize(rows.distinct().select("row.*"), "candidates"), stretches
 
 
 def _cut(chosen: DataFrame, window: Window) -> tuple[DataFrame, DataFrame]:
@@ -373,7 +405,7 @@ def kept_text(raw: bytes, cut: list[tuple[int, int]]) -> str:
 def _texts_with_repeats(docs: DataFrame, text_col: str, window: Window) -> DataFrame:
     """k1, k2, cut (merged runs), kept_sha256 and kept_text of texts in which something repeats and that one row has."""
     rows = _keyed(docs, text_col)
-    places = _candidates(rows.select("k1", "k2", "text"), window)
+    places, stretches = _candidates(rows.select("k1", "k2", "text"), window)
     crowds = places.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("run", F.lit(True).alias("crowded"))
     crowds = materialize(crowds, "crowds")
     lists = (
@@ -384,7 +416,7 @@ def _texts_with_repeats(docs: DataFrame, text_col: str, window: Window) -> DataF
     distinct = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     chosen = materialize(distinct.join(lists, ["k1", "k2"]), "chosen")
     strings, bands = _cut(chosen, window)
-    found = materialize(_repeated(strings, window).unionByName(_repeated_in_crowds(bands, window)), "found")
+    found = materialize(_repeated(strings, window).unionByName(_repeated_in_crowds(bands, window)).unionByName(stretches), "found")
     # Runs of one text lie close together, so that they are joined once before they are collected.
     runs = found.distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     single = chosen.where("copies = 1").select("k1", "k2", "text").join(runs, ["k1", "k2"])

@@ -68,6 +68,33 @@ def test_all_rows_and_columns_stay(frame, corpus):
             assert texts[i] == (None if text is None else repeats.kept_text(text.encode(), dict(cuts)[i]))
 
 
+@pytest.mark.parametrize("size", [repeats.SLICE, 1500])
+def test_periodic_texts(frame, monkeypatch, size):
+    """Periods of one byte to more than an anchor; stretches of all lengths around a window, within texts, at their ends, in several texts."""
+    monkeypatch.setattr(repeats, "SLICE", size)
+    rng = random.Random(11)
+    rows = []
+    for k, period in enumerate((1, 2, 3, 7, 50, 127, 128, 129, 200, 300)):
+        unit = "".join(rng.choice("abcdefgh") for _ in range(period))
+        for j, length in enumerate((399, 400, 400 + period, 799, 800, 900, 1300, 3000)):
+            body = (unit * (length // period + 1))[rng.randrange(period) :][:length]
+            rows.append((1000 * k + j, prose(rng, 3) * (j % 2) + body + prose(rng, 3) * (j % 3)))
+    rows += [(90_000, "a" * 700 + "b" + "a" * 900), (90_001, "a" * 400), (90_002, "ab" * 2000 + "ba" * 2000)]
+    got = sorted((str(r.doc_id), r.n_bytes, [(c.start, c.end) for c in r.cut], r.kept_sha256) for r in repeats.repeats(frame(rows)).collect())
+    assert got == brute(rows)
+    # One of a kind: nothing but the text itself repeats it.
+    alone = [(1, rows[7][1])]
+    assert [[(c.start, c.end) for c in r.cut] for r in repeats.repeats(frame(alone)).collect()] == [brute(alone)[0][2]]
+
+
+def test_a_long_periodic_text_has_few_anchors(frame):
+    rows = [(1, "a" * 3_000_000), (2, "abc" * 1_000_000), (3, "x" * 200)]
+    found = repeats.repeats(frame(rows)).orderBy("doc_id").collect()
+    assert [[(c.start, c.end) for c in r.cut] for r in found] == [[(0, 3_000_000)], [(0, 3_000_000)], []]
+    places = repeats._places(repeats._keyed(frame(rows), "text"), repeats.WINDOW)
+    assert places.count() < 10_000
+
+
 def test_characters_covered_in_part_stay():
     raw = "aéb".encode()
     assert repeats.kept_text(raw, [(2, 4)]) == "aé"
