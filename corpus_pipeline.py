@@ -7,7 +7,13 @@
 4. benchmark: documents contaminated by benchmark texts go.
 5. encoding: ids of the pieces of each text.
 
-Every stage works on all that the one before kept. All but the last return the columns of their input.
+Every stage works on all that the one before kept. All but the last return the columns of their input, further ones and ones that
+are named like an operator's own included.
+
+Nulls and ties: a null text counts as an empty one and stays null until the last stage, which gives it no ids. All texts without words have
+the fingerprint zero, so of those that the classifier lets pass one stays. Of a group the document of the smallest id stays; of repeated rows, or
+where ids are null, one. A row without id is judged like any other. Texts of any length are taken whole. An empty table gives an
+empty result at every stage.
 """
 
 from __future__ import annotations
