@@ -1,7 +1,9 @@
 import math
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import shards
@@ -80,3 +82,89 @@ def test_every_row_is_as_likely_to_go_anywhere(spark):
 def test_only_built_in_functions_run(spark):
     plan = shards.shuffled(spark.range(0, 100, 1, 3), 8)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def hashed(*values):
+    """Spark's xxhash64 of ints (as they are) and longs (as tuples of one)."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", v[0]) if isinstance(v, tuple) else struct.pack("<i", v), seed)
+    return seed
+
+
+def uniform(*keys):
+    return ((hashed(*keys) >> 11) + 0.5) / (1 << 53)
+
+
+def log_factorial(n):
+    if n <= 20:
+        return math.log(math.factorial(max(n, 0)))
+    return n * math.log(n) - n + math.log(n * 2 * math.pi) / 2 + 1 / (12 * n) - 1 / (360 * n**3) + 1 / (1260 * n**5)
+
+
+def drawn(good, bad, draws, *keys):
+    total = good + bad
+    share = good / max(total, 1)
+    mean = draws * share
+    variance = mean * (1 - share) * (total - draws) / max(total - 1, 1)
+    least, most = max(0, draws - bad), min(draws, good)
+    mode = min(most, max(least, math.floor((draws + 1) * ((good + 1) / (total + 2)))))
+    if least >= most:
+        return least
+    width = math.sqrt(8 / math.e) * math.sqrt(variance + 0.5) + (3 - 2 * math.sqrt(3 / math.e))
+
+    def weight(k):
+        return -sum(map(log_factorial, (k, good - k, draws - k, bad - draws + k)))
+
+    for i in range(shards.TRIES):
+        u, v = uniform(*keys, i, 1), uniform(*keys, i, 2)
+        k = math.floor(mean + 0.5 + width * (v - 0.5) / u)
+        if least <= k <= most and 2 * math.log(u) <= weight(k) - weight(mode):
+            return k
+    return mode
+
+
+def plain_matrix(counts, room, seed):
+    """Rows that each partition sends to each target, drawn by halves in plain Python."""
+    nodes = [(1, sorted(counts.items()), room)]
+    for _ in range(math.ceil(math.log2(max(1, len(counts))))):
+        below = []
+        for node, parts, own in nodes:
+            if len(parts) < 2:
+                below.append((2 * node, parts, own))
+                continue
+            half = -(-len(parts) // 2)
+            draws, rest, first = sum(n for _, n in parts[:half]), sum(own), []
+            for j, space in enumerate(own):
+                rest -= space
+                first.append(drawn(space, rest, draws, seed, (node,), j))
+                draws -= first[-1]
+            below += [(2 * node, parts[:half], first), (2 * node + 1, parts[half:], [a - b for a, b in zip(own, first)])]
+        nodes = below
+    return {parts[0][0]: own for _, parts, own in nodes}
+
+
+@pytest.mark.parametrize("n, parts, count", [(1000, 7, 8), (64, 5, 3), (333, 1, 4), (50, 13, 8)])
+def test_every_row_goes_where_plain_python_sends_it(spark, n, parts, count):
+    """The matrix, the order within partitions, the exchange and the order within shards, one row after the other."""
+    table = spark.range(0, n, 1, parts)
+    got = {r.id: (r.shard, r.slot) for r in shards.shuffled(table, count).collect()}
+    held = {}
+    for r in table.withColumn("part", F.spark_partition_id()).collect():
+        held.setdefault(r.part, []).append(r.id)
+    room = [n // count + (j < n % count) for j in range(count)]
+    sends = plain_matrix({p: len(rows) for p, rows in held.items()}, room, shards.SEED)
+    assert [sum(x) for x in zip(*sends.values())] == room
+    targets = [[] for _ in range(count)]
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    for part, rows in held.items():
+        order = sorted(range(len(rows)), key=lambda k: (signed(hashed(shards.SEED, ((part << 33) + k,))), k))
+        ends = [sum(sends[part][: j + 1]) for j in range(count)]
+        for place, k in enumerate(order):
+            target = next(j for j, end in enumerate(ends) if end > place)
+            targets[target].append((signed(hashed(shards.SEED + 1, part, (place,))), part, place, rows[k]))
+    want = {row: (j, slot) for j, own in enumerate(targets) for slot, (_, _, _, row) in enumerate(sorted(own))}
+    assert got == want
