@@ -2,18 +2,19 @@
 
 Vectors get one more dimension that makes all of them equally long, so that the largest inner product with
 a query scaled to length one is the smallest distance. They are rotated at random; then the first d of D dimensions are a
-random sample of a vector's length. Lists around ``LISTS`` centres hold the rows; a query looks at the ``PROBES``
-lists of the nearest centres. In a list, distances are summed block by block of ``COLUMNS`` dimensions. After each block a
+random sample of a vector's length. Lists hold the rows, each that of the nearest centre, as many lists as the square root of
+the rows (``LISTS`` at most); a query looks at the lists of the nearest centres. In a list, distances are summed block by block of ``COLUMNS`` dimensions. After each block a
 candidate is given up if the test says that its whole distance exceeds that of the k-th best so far:
 
     partial * D / d > best * (1 + ERROR / sqrt(d)) ** 2
 
 What survives is scored exactly, in double precision, on the vectors as given.
 
-The centres are fitted on a bounded sample (``SAMPLE`` rows of the smallest hash); every row is in a list.
-``LISTS`` and ``PROBES`` are set for vectors with hardly any clusters, where a recall of 0.9 needs most of the lists;
-tests measure it against brute force. Lists are cut into blocks of at most ``ROWS`` rows and ``QUERIES``
-queries, so that neither a crowded list nor many equal vectors gather in a task.
+The centres are fitted on a bounded sample (the rows of the smallest hash, ``SAMPLE`` or ``SHARE`` for each list); every row is
+in a list. How many lists a query looks at is measured: ``TRIALS`` queries are compared with every row, and so many lists are
+probed that ``AIM`` of their nearest rows lie in them. Vectors with hardly any clusters need most of the lists, others few.
+Tests measure the recall against brute force. A list is cut into blocks of some ``ROWS`` rows and some ``QUERIES`` of the
+queries that look at it, so that neither a crowded list nor many equal vectors gather in a task.
 
 Nulls and ties: vectors that are null, zero, or hold null or non-finite components take no part. Rows are told apart by a number
 of their own: of rows that share an id each is a query and a candidate, of the others too. A row without an id is no query; as
@@ -28,17 +29,20 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.rows import quoted
 from millrace.scratch import materialize
 
-LISTS = 64
-PROBES = 46
+LISTS = 4_096
+TRIALS = 64
+AIM = 0.965
 COLUMNS = 16
 ERROR = 2.1
 SAMPLE = 16_384
+SHARE = 32
 ROWS = 16_384
 QUERIES = 4_096
 SEED = 11
@@ -74,10 +78,9 @@ class Space:
         centres = centres[np.random.default_rng(SEED).permutation(len(centres))[:lists]]
         for _ in range(10):
             nearest = self.nearest(points, centres)
-            for k in range(len(centres)):
-                own = points[nearest == k]
-                if len(own):
-                    centres[k] = own.mean(axis=0)
+            order = np.argsort(nearest, kind="stable")
+            held, first, counts = np.unique(nearest[order], return_index=True, return_counts=True)
+            centres[held] = np.add.reduceat(points[order], first, axis=0) / counts[:, None]
         return centres
 
     def place(self, vectors: np.ndarray) -> np.ndarray:
@@ -92,11 +95,15 @@ class Space:
 
     @staticmethod
     def nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-        return (points @ centres.T - (centres**2).sum(axis=1) / 2).argmax(axis=1)
+        half = (centres**2).sum(axis=1) / 2
+        parts = [(points[k : k + 1024] @ centres.T - half).argmax(axis=1) for k in range(0, len(points), 1024)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def probes(self, points: np.ndarray, n: int) -> np.ndarray:
-        order = np.argsort((self.centres**2).sum(axis=1) / 2 - points @ self.centres.T, axis=1, kind="stable")
-        return order[:, :n]
+        """The ``n`` lists of the nearest centres of each point, the nearest first."""
+        half = (self.centres**2).sum(axis=1) / 2
+        parts = [np.argsort(half - points[k : k + 1024] @ self.centres.T, axis=1, kind="stable")[:, :n] for k in range(0, len(points), 1024)]
+        return np.concatenate(parts)
 
 
 def scan(space: Space, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
@@ -159,12 +166,15 @@ def scan(space: Space, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray,
     return found, best_id[found, place], best[found, place]
 
 
-def fit(vectors: DataFrame, lists: int = LISTS, sample: int = SAMPLE) -> Space | None:
+def fit(vectors: DataFrame, lists: int | None = None, sample: int = SAMPLE) -> Space | None:
     """Centres from the sample, found by one task; None if no vector takes part."""
-    about = vectors.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("square"), F.max(F.size("vector")).alias("size")).first()
+    square = F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    about = vectors.agg(square.alias("square"), F.max(F.size("vector")).alias("size"), F.count(F.lit(1)).alias("rows")).first()
     if about["square"] is None:
         return None
     longest, size = math.sqrt(about["square"]), about["size"]
+    lists = lists or min(LISTS, math.ceil(math.sqrt(about["rows"])))
+    sample = max(sample, SHARE * lists)
     chosen = vectors.orderBy(F.xxhash64("id"), "id", "row").limit(sample).repartition(1)
 
     def centre(batches):
@@ -178,8 +188,46 @@ def fit(vectors: DataFrame, lists: int = LISTS, sample: int = SAMPLE) -> Space |
     return space
 
 
+def measured(listed: DataFrame, asks: Column, shared: Broadcast, k: int) -> int:
+    """So many lists that ``AIM`` of the ``k`` nearest rows of ``TRIALS`` queries, found among all rows, lie in them."""
+    tried = listed.where(asks).orderBy(F.xxhash64("id", F.lit(SEED)), "id", "row").limit(TRIALS).select("row", "vector").collect()
+    if not tried:
+        return 1
+    own, queries = np.array([r["row"] for r in tried]), np.array([r["vector"] for r in tried])
+
+    def best(batches):
+        space = shared.value
+        turns = np.argsort(space.probes(space.ask(queries), len(space.centres)), axis=1)
+        for batch in batches:
+            scores = queries @ _matrix(batch.column("vector")).T if len(batch) else np.zeros((len(queries), 0))
+            scores[own[:, None] == batch.column("row").to_numpy()[None, :]] = -np.inf
+            at = np.argpartition(-scores, k, axis=1)[:, :k] if scores.shape[1] > k else np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
+            trial = np.repeat(np.arange(len(queries)), at.shape[1])
+            at = at.ravel()
+            score, turn = scores[trial, at], turns[trial, batch.column("list").to_numpy()[at]]
+            held = np.isfinite(score)
+            columns = [trial[held].astype(np.int32), score[held], turn[held].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["trial", "score", "turn"])
+
+    order = Window.partitionBy("trial").orderBy(F.desc("score"), "turn")
+    near = listed.select("row", "vector", "list").mapInArrow(best, "trial int, score double, turn int")
+    turns = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).groupBy("turn").count().orderBy("turn").collect()
+    held, wanted = 0, AIM * sum(r["count"] for r in turns)
+    for r in turns:
+        held += r["count"]
+        if held >= wanted:
+            return r["turn"] + 1
+    return 1
+
+
 def search(
-    rows: DataFrame, asks: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, lists: int = LISTS, probes: int = PROBES
+    rows: DataFrame,
+    asks: Column,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    k: int = 20,
+    lists: int | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
     """query_id, rank (from 1), ``id_col`` and score: the k nearest rows found of each row that ``asks`` (on id) names."""
     vectors = materialize(usable(rows, id_col, vector_col), "vectors")
@@ -194,7 +242,7 @@ def search(
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
-def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int, probes: int) -> DataFrame:
+def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int | None, probes: int | None) -> DataFrame:
     """query, query_id, row, id and score of the best rows in each list, for vectors of one length."""
     space = fit(vectors, lists)
     shared = vectors.sparkSession.sparkContext.broadcast(space)
@@ -208,24 +256,27 @@ def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int, probe
     def probe(batches):
         for batch in batches:
             if len(batch):
-                at = shared.value.probes(shared.value.ask(_matrix(batch.column("vector"))), probes).astype(np.int32)
+                at = shared.value.probes(shared.value.ask(_matrix(batch.column("vector"))), looks).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(at), pa.list_(pa.int32()))], names=["row", "id", "vector", "lists"])
 
     listed = materialize(vectors.mapInArrow(assign, f"row long, id {kind}, vector array<double>, list int"), "lists")
+    looks = probes or measured(listed, asks, shared, k)
     asked = vectors.where(asks).mapInArrow(probe, f"row long, id {kind}, vector array<double>, lists array<int>")
     asked = materialize(asked, "queries")
-    turns = max(1, math.ceil(asked.count() / QUERIES))
-    sizes = listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ROWS).alias("blocks"))
-    deal = F.sequence(F.lit(0), F.lit(turns - 1))
+    # Each list is cut by its own rows and its own queries; a list that no query looks at is left out.
+    turns = asked.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("turns"))
+    sizes = listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / ROWS).alias("blocks")).join(turns, "list")
+    zero = F.lit(0).cast("long")
     left = (
         listed.join(sizes, "list")
         .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
-        .select("list", "block", F.explode(deal).alias("turn"), "row", "id", "vector")
+        .select("list", "block", F.explode(F.sequence(zero, F.col("turns") - 1)).alias("turn"), "row", "id", "vector")
     )
     right = (
-        asked.select("row", "id", "vector", F.explode("lists").alias("list"), F.pmod(F.xxhash64("row"), F.lit(turns)).cast("int").alias("turn"))
+        asked.select("row", "id", "vector", F.explode("lists").alias("list"))
         .join(sizes, "list")
-        .select("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "turn", "row", "id", "vector")
+        .withColumn("turn", F.pmod(F.xxhash64("row"), F.col("turns")))
+        .select("list", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"), "turn", "row", "id", "vector")
     )
 
     def compare(one: pa.Table, other: pa.Table) -> pa.Table:

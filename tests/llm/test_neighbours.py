@@ -80,3 +80,46 @@ def test_empty_tables_and_a_single_row(spark):
     assert neighbours.search(table(spark, []), F.col("id") % 20 == 0).count() == 0
     assert neighbours.search(table(spark, [None, [0, 0]]), F.col("id") % 20 == 0).count() == 0
     assert neighbours.search(table(spark, [[1, 2]]), F.col("id") % 20 == 0).count() == 0
+
+
+def looked_at(spark, vectors):
+    """Lists, and how many of them are looked at."""
+    rows = neighbours.materialize(neighbours.usable(table(spark, vectors), "vec_id", "embedding").drop("size"), "vectors")
+    space = neighbours.fit(rows)
+    at = space.nearest(space.place(vectors), space.centres)
+    lists = spark.createDataFrame([(int(i), int(x)) for i, x in enumerate(at)], "id long, list int")
+    listed = neighbours.materialize(rows.join(lists, "id").select("row", "id", "vector", "list"), "lists")
+    return len(space.centres), neighbours.measured(listed, F.col("id") % 20 == 0, spark.sparkContext.broadcast(space), 20)
+
+
+def test_lists_grow_with_the_rows_and_clusters_need_few_of_them(spark):
+    rng = np.random.default_rng(6)
+    clustered = lambda n: (rng.normal(size=(40, 24)) * 3)[rng.integers(0, 40, n)] + rng.normal(size=(n, 24)) / 3
+    few, some = looked_at(spark, clustered(900)), looked_at(spark, clustered(3600))
+    assert (few[0], some[0]) == (30, 60)
+    assert few[1] <= 15 and some[1] <= 20
+    lists, probes = looked_at(spark, rng.normal(size=(900, 24)))
+    assert lists == 30 and 10 < probes <= 30
+
+
+def test_measured_lists_hold_the_share_of_the_nearest_rows(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TRIALS", 10**6)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(400, 16))
+    vectors[50:90] = vectors[50]
+    rows = neighbours.usable(table(spark, vectors), "vec_id", "embedding").drop("size").withColumn("list", F.lit(0)).select("row", "id", "vector", "list")
+    rows = neighbours.materialize(rows, "vectors")
+    space = neighbours.fit(rows)
+    at = space.nearest(space.place(vectors.astype(np.float32).astype(float)), space.centres)
+    listed = rows.drop("list").join(spark.createDataFrame([(int(i), int(x)) for i, x in enumerate(at)], "id long, list int"), "id")
+    listed = neighbours.materialize(listed.select("row", "id", "vector", "list"), "lists")
+    probes = neighbours.measured(listed, F.col("id") % 20 == 0, spark.sparkContext.broadcast(space), 5)
+    exactly = vectors.astype(np.float32).astype(float)
+    turns = []
+    for query in range(0, 400, 20):
+        order = space.probes(space.ask(exactly[query : query + 1]), len(space.centres))[0].tolist()
+        scores = (exactly * exactly[query]).sum(axis=1)
+        scores[query] = -np.inf
+        near = sorted(range(400), key=lambda i: (-scores[i], order.index(at[i])))[:5]
+        turns += [order.index(at[i]) for i in near]
+    assert probes == 1 + min(p for p in range(len(space.centres)) if np.mean(np.array(turns) <= p) >= neighbours.AIM)
