@@ -49,8 +49,10 @@ SEED = 11
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``row`` (a number of its own), ``id``, ``size`` and ``vector`` (doubles) of the rows that take part."""
-    vectors = rows.select(quoted(id_col).alias("id"), quoted(vector_col).cast("array<double>").alias("vector"))
+    """``row`` (a number of its own), ``id``, ``size`` and ``vector`` (floats if they are given so, else doubles) of the rows that take part."""
+    given = rows.select(quoted(vector_col)).schema[0].dataType.simpleString()
+    kind = given if given == "array<float>" else "array<double>"
+    vectors = rows.select(quoted(id_col).alias("id"), quoted(vector_col).cast(kind).alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vectors = vectors.where(sound & F.exists("vector", lambda x: x != 0))
     return vectors.select(F.monotonically_increasing_id().alias("row"), "id", F.size("vector").alias("size"), "vector")
@@ -168,7 +170,7 @@ def scan(space: Space, ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray,
 
 def fit(vectors: DataFrame, lists: int | None = None, sample: int = SAMPLE) -> Space | None:
     """Centres from the sample, found by one task; None if no vector takes part."""
-    square = F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    square = F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     about = vectors.agg(square.alias("square"), F.max(F.size("vector")).alias("size"), F.count(F.lit(1)).alias("rows")).first()
     if about["square"] is None:
         return None
@@ -245,6 +247,7 @@ def search(
 def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int | None, probes: int | None) -> DataFrame:
     """query, query_id, row, id and score of the best rows in each list, for vectors of one length."""
     space = fit(vectors, lists)
+    floats = vectors.schema["vector"].dataType.simpleString()
     shared = vectors.sparkSession.sparkContext.broadcast(space)
 
     def assign(batches):
@@ -259,9 +262,9 @@ def _near(vectors: DataFrame, asks: Column, kind: str, k: int, lists: int | None
                 at = shared.value.probes(shared.value.ask(_matrix(batch.column("vector"))), looks).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(at), pa.list_(pa.int32()))], names=["row", "id", "vector", "lists"])
 
-    listed = materialize(vectors.mapInArrow(assign, f"row long, id {kind}, vector array<double>, list int"), "lists")
+    listed = materialize(vectors.mapInArrow(assign, f"row long, id {kind}, vector {floats}, list int"), "lists")
     looks = probes or measured(listed, asks, shared, k)
-    asked = vectors.where(asks).mapInArrow(probe, f"row long, id {kind}, vector array<double>, lists array<int>")
+    asked = vectors.where(asks).mapInArrow(probe, f"row long, id {kind}, vector {floats}, lists array<int>")
     asked = materialize(asked, "queries")
     # Each list is cut by its own rows and its own queries; a list that no query looks at is left out.
     turns = asked.select(F.explode("lists").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("turns"))
