@@ -4,12 +4,16 @@ Fingerprint: a text is lower-cased (A-Z) and cut at blanks into words; each run
 joined by single blanks and counted as often as it occurs, is hashed (XXH64, seed 42). A bit is 1 if
 it is set in more than half the hashes. Fewer words than ``shingle`` are one shingle; no words give 0.
 
-Two fingerprints link at ``most`` differing bits or fewer. The 64 bits are cut into ``PARTS``; a pair
+Two fingerprints link at ``most`` differing bits or fewer. The 64 bits are cut into parts; a pair
 that links differs in at most most // parts bits of some part. In each part the words of a covering
-code are the anchors: the perfect Hamming code of 15 bits (radius 1) with free bits beside it. A
+code are the anchors: a perfect Hamming code (radius 1) with free bits beside it. A
 fingerprint lives at the anchor nearest to it and visits every anchor within radius plus threshold,
 so every linked pair meets at the home anchor of either one. There, all 64 bits are compared.
 
+Of n random fingerprints one is compared with n / 3,500 others in ``THIRDS`` (2^19 anchors, 45 visits) and with n / 391,000
+in ``HALVES`` (2^28 anchors, 343 visits). Beyond ``WIDE`` distinct fingerprints the comparisons of the thirds
+would cost more than the visits of the halves, which then are taken; the components are the same.
+
 Equal fingerprints are one vertex. At an anchor, homes and visitors are dealt into blocks of at
 most ``BLOCK`` each and a block's links are reduced to a spanning forest, so that neither a task nor the
 result grows with the square of a group. Components of the forest are those of all links.
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 from functools import cache
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -40,8 +45,20 @@ SHINGLE = 4
 MOST = 4
 SEED = 42
 
-#: First bit and number of bits of each part. A part has 15 bits of code, the rest are free.
-PARTS = ((0, 21), (21, 21), (42, 22))
+
+
+class Cut(NamedTuple):
+    """First bit and number of bits of each part, and bits of its code; the rest are free."""
+
+    parts: tuple[tuple[int, int], ...]
+    code: int
+
+
+THIRDS = Cut(((0, 21), (21, 21), (42, 22)), 15)
+HALVES = Cut(((0, 32), (32, 32)), 31)
+
+#: Distinct fingerprints beyond which the bits are cut into halves.
+WIDE = 50_000_000
 
 #: Homes, and visitors, compared at once.
 BLOCK = 2048
@@ -97,40 +114,51 @@ def _balls(bits: int, reach: int) -> np.ndarray:
 
 
 @cache
-def _syndromes() -> np.ndarray:
-    """For each 15-bit word the XOR of the numbers (1 to 15) of its ones; it is 0 for words of the code."""
-    word, out = np.arange(1 << 15), np.zeros(1 << 15, dtype=np.int64)
-    for i in range(15):
-        out ^= np.where(word >> i & 1, i + 1, 0)
+def _parities(code: int) -> tuple[np.ndarray, ...]:
+    """For each byte of a word the XOR of the numbers (from 1) of its ones, as far as they are bits of the code."""
+    numbers = [[8 * byte + i + 1 if 8 * byte + i < code else 0 for i in range(8)] for byte in range(-(-code // 8))]
+    ones = np.arange(256)[:, None] >> np.arange(8) & 1
+    return tuple(np.bitwise_xor.reduce(ones * np.array(n), axis=1) for n in numbers)
+
+
+def syndromes(words: np.ndarray, code: int) -> np.ndarray:
+    """0 for words of the code, else the number (from 1) of the bit that leads to one."""
+    out = np.zeros(len(words), dtype=np.int64)
+    for byte, table in enumerate(_parities(code)):
+        out ^= table[(words >> np.uint64(8 * byte) & np.uint64(255)).astype(np.int64)]
     return out
 
 
-def home(words: np.ndarray) -> np.ndarray:
+def home(words: np.ndarray, code: int) -> np.ndarray:
     """The anchor next to each word: the bit that the syndrome names is flipped, free bits stay."""
-    s = _syndromes()[(words & np.uint64(0x7FFF)).astype(np.int64)]
-    return words ^ np.where(s > 0, 1 << np.maximum(s - 1, 0), 0).astype(np.uint64)
+    s = syndromes(words, code)
+    return words ^ np.where(s > 0, np.uint64(1) << np.maximum(s - 1, 0).astype(np.uint64), np.uint64(0))
 
 
-def visits(words: np.ndarray, bits: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every anchor within ``reach`` of each word: index of the word, anchor."""
+def visits(words: np.ndarray, bits: int, code: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every anchor within ``reach`` of each word: index of the word, anchor.
+
+    A flip leads to the code if its syndrome is the word's.
+    """
+    flips = _balls(bits, reach)
+    of_word, of_flip = syndromes(words, code), syndromes(flips, code)
     index, anchors = [], []
-    for flip in _balls(bits, reach):
-        near = words ^ flip
-        at = np.flatnonzero(_syndromes()[(near & np.uint64(0x7FFF)).astype(np.int64)] == 0)
-        index.append(at)
-        anchors.append(near[at])
+    for s in range(code + 1):
+        at, own = np.flatnonzero(of_word == s), flips[of_flip == s]
+        index.append(np.repeat(at, len(own)))
+        anchors.append((words[at][:, None] ^ own).ravel())
     return np.concatenate(index), np.concatenate(anchors)
 
 
-def cover(bits: pd.Series, most: int = MOST) -> pd.DataFrame:
+def cover(bits: pd.Series, most: int = MOST, cut: Cut = THIRDS) -> pd.DataFrame:
     """Rows (anchor, home, bits) of fingerprints: each at its home and at every anchor it visits, in each part."""
     own = bits.to_numpy(np.int64)
     values, out = own.view(np.uint64), []
-    for k, (first, size) in enumerate(PARTS):
+    for k, (first, size) in enumerate(cut.parts):
         part = values >> np.uint64(first) & np.uint64((1 << size) - 1)
         tag = np.uint64(k << 32)
-        index, anchors = visits(part, size, 1 + most // len(PARTS))
-        out.append(pd.DataFrame({"anchor": (home(part) | tag).astype(np.int64), "home": True, "bits": own}))
+        index, anchors = visits(part, size, cut.code, 1 + most // len(cut.parts))
+        out.append(pd.DataFrame({"anchor": (home(part, cut.code) | tag).astype(np.int64), "home": True, "bits": own}))
         out.append(pd.DataFrame({"anchor": (anchors | tag).astype(np.int64), "home": False, "bits": own[index]}))
     return pd.concat(out, ignore_index=True)
 
@@ -158,14 +186,15 @@ def forest(homes: np.ndarray, visitors: np.ndarray, most: int) -> tuple[np.ndarr
 
 def links(distinct_bits: DataFrame, most: int = MOST) -> DataFrame:
     """``a`` and ``b``: fingerprints that link, as many as connect all that do."""
-    if most // len(PARTS) > 1:
-        raise ValueError(f"The parts allow {2 * len(PARTS) - 1} differing bits at most")
+    if most > 5:
+        raise ValueError("The parts allow 5 differing bits at most")
+    cut = HALVES if distinct_bits.count() > WIDE else THIRDS
     shape = "anchor long, home boolean, bits long"
 
     def spread(batches):
         for pdf in batches:
             for k in range(0, len(pdf), 4096):
-                yield cover(pdf["bits"].iloc[k : k + 4096], most)
+                yield cover(pdf["bits"].iloc[k : k + 4096], most, cut)
 
     placed = materialize(distinct_bits.select("bits").mapInPandas(spread, shape), "anchors")
     sizes = (

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 import xxhash
 
 from conftest_llm import blanked
@@ -34,7 +35,9 @@ def components_of(values, most):
     return [find(i) for i in range(len(values))]
 
 
-def test_fingerprints_and_components_equal_those_of_brute_force(frame, corpus):
+@pytest.mark.parametrize("wide", [simhash.WIDE, 0])
+def test_fingerprints_and_components_equal_those_of_brute_force(frame, corpus, wide, monkeypatch):
+    monkeypatch.setattr(simhash, "WIDE", wide)
     rows = simhash.near_duplicates(frame(corpus)).collect()
     values = [fingerprint(t) for _, t in corpus]
     roots = components_of(values, 4)
@@ -47,14 +50,15 @@ def test_fingerprints_and_components_equal_those_of_brute_force(frame, corpus):
     assert len({w[2] for w in wanted}) < len(wanted) - 10
 
 
-def test_every_linked_pair_meets_at_a_home():
+@pytest.mark.parametrize("cut, times", [(simhash.THIRDS, 300), (simhash.HALVES, 100)])
+def test_every_linked_pair_meets_at_a_home(cut, times):
     rng = np.random.default_rng(3)
-    for _ in range(300):
+    for _ in range(times):
         x = int(rng.integers(0, 2**63))
         y = x
         for bit in rng.choice(64, rng.integers(0, 5), replace=False):
             y ^= 1 << int(bit)
-        placed = simhash.cover(pd.Series(np.array([x, y], np.uint64).view(np.int64)))
+        placed = simhash.cover(pd.Series(np.array([x, y], np.uint64).view(np.int64)), 4, cut)
         homes = placed[placed.home].anchor.groupby(placed.bits).agg(set)
         visits = placed[~placed.home].anchor.groupby(placed.bits).agg(set)
         a, b = np.array([x, y], np.uint64).view(np.int64)
@@ -63,11 +67,41 @@ def test_every_linked_pair_meets_at_a_home():
 
 def test_the_anchors_are_a_perfect_code():
     words = np.arange(1 << 15, dtype=np.uint64)
-    anchors, sizes = np.unique(simhash.home(words), return_counts=True)
+    anchors, sizes = np.unique(simhash.home(words, 15), return_counts=True)
     assert len(anchors) == 1 << 11 and (sizes == 16).all()
 
 
-def test_crowded_anchors_are_dealt_into_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("bits, code, reach", [(21, 15, 2), (32, 31, 3)])
+def test_visits_are_all_anchors_within_reach(bits, code, reach):
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << bits, 20).astype(np.uint64)
+    index, anchors = simhash.visits(words, bits, code, reach)
+    assert (simhash.syndromes(anchors, code) == 0).all()
+    assert (np.bitwise_count(words[index] ^ anchors) <= reach).all()
+    for k, word in enumerate(words):
+        near = word ^ simhash._balls(bits, reach)
+        at_code = [int(x) for x in near if not np.bitwise_xor.reduce([i + 1 for i in range(code) if int(x) >> i & 1] + [0])]
+        assert sorted(anchors[index == k].tolist()) == sorted(at_code)
+
+
+def test_halves_compare_far_fewer_pairs_than_thirds():
+    """Visitors that a fingerprint meets at its homes, among random ones."""
+    rng = np.random.default_rng(9)
+    met = {}
+    for name, cut in (("thirds", simhash.THIRDS), ("halves", simhash.HALVES)):
+        for n in (2_000, 20_000):
+            bits = pd.Series(rng.integers(0, 2**63, n, dtype=np.uint64).view(np.int64))
+            placed = pd.concat([simhash.cover(bits.iloc[k : k + 2_000], 4, cut) for k in range(0, n, 2_000)])
+            sizes = placed.groupby("anchor").home.agg(["sum", "size"])
+            met[name, n] = (sizes["sum"] * (sizes["size"] - sizes["sum"])).sum() / n
+    # At each home a fingerprint meets its own visit; the others grow with n, in halves 110 times slower.
+    assert 3 + 4 < met["thirds", 20_000] < 3 + 10 and 2 <= met["halves", 20_000] < 2 + 0.2
+    assert met["thirds", 20_000] - met["thirds", 2_000] > 20 * max(0.01, met["halves", 20_000] - met["halves", 2_000])
+
+
+@pytest.mark.parametrize("wide", [simhash.WIDE, 0])
+def test_crowded_anchors_are_dealt_into_blocks(spark, monkeypatch, wide):
+    monkeypatch.setattr(simhash, "WIDE", wide)
     rng = random.Random(1)
     seeds = [rng.getrandbits(64) for _ in range(6)]
     values = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for s in seeds for _ in range(60)})
